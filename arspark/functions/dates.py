@@ -31,12 +31,12 @@ def months_between_boundaries(start, end) -> Column:
 
 def hours_between(start, end) -> Column:
     """DATEDIFF(hour, ...) counts hour boundaries: truncate both, then diff."""
-    return F.timestampdiff("HOUR", F.date_trunc("hour", _c(start)), F.date_trunc("hour", _c(end)))
+    return F.timestamp_diff("HOUR", F.date_trunc("hour", _c(start)), F.date_trunc("hour", _c(end)))
 
 
 def minutes_between(start, end) -> Column:
     """DATEDIFF(minute, ...) counts minute boundaries."""
-    return F.timestampdiff("MINUTE", F.date_trunc("minute", _c(start)), F.date_trunc("minute", _c(end)))
+    return F.timestamp_diff("MINUTE", F.date_trunc("minute", _c(start)), F.date_trunc("minute", _c(end)))
 
 
 def month_start(d) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arspark.plans import ar
+from arspark.plans import ar, customer, ops, revenue
 from arspark.plans.common import decimals_to_double
 from arspark.sources.adapter import Domain
 from arspark.sources.tables import load_tables
@@ -26,6 +26,19 @@ for _name in ["ar_aging", "ar_aging_prod", "ar_bucket_summary", "ar_summary_by_c
     register(_name, getattr(ar, _name))
 
 
+for _mod, _names in [
+    (revenue, ["daily_revenue_summary", "payment_method_analysis", "collection_performance", "payment_velocity",
+               "revenue_leakage_prod", "revenue_by_ticket"]),
+    (customer, ["customer_lifetime_value", "customer_lifetime_value_prod", "cancellation_analysis",
+                "customer_acquisition", "monthly_recurring_revenue"]),
+    (ops, ["technician_productivity", "route_efficiency", "service_type_performance", "subscription_performance"]),
+]:
+    for _name in _names:
+        register(_name, getattr(_mod, _name))
+register("fact_customer_cancellation_reasons", customer.customer_cancellation_reasons_fact)
+register("view_customer_cancellation_reasons", customer.customer_cancellation_reasons_view)
+
+
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     d = Domain(load_tables(spark, sf_dir))
     return decimals_to_double(BUILDERS[name](d))

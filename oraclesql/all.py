@@ -4,3 +4,6 @@ from oraclesql import ar
 
 ORACLE: dict[str, str] = {}
 ORACLE.update(ar.Q)
+from oraclesql import marts  # noqa: E402
+
+ORACLE.update(marts.Q)
