@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arspark.plans import ar, customer, ops, revenue
+from arspark.plans import ar, customer, measures, ops, revenue
 from arspark.plans.common import decimals_to_double
 from arspark.sources.adapter import Domain
 from arspark.sources.tables import load_tables
@@ -35,6 +35,8 @@ for _mod, _names in [
 ]:
     for _name in _names:
         register(_name, getattr(_mod, _name))
+for _name in ["measures_by_office", "measures_company", "m_ar_by_office", "m_dso_by_region"]:
+    register(_name, getattr(measures, _name))
 register("fact_customer_cancellation_reasons", customer.customer_cancellation_reasons_fact)
 register("view_customer_cancellation_reasons", customer.customer_cancellation_reasons_view)
 

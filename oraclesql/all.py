@@ -7,3 +7,6 @@ ORACLE.update(ar.Q)
 from oraclesql import marts  # noqa: E402
 
 ORACLE.update(marts.Q)
+from oraclesql import measures as _measures  # noqa: E402
+
+ORACLE.update(_measures.Q)
