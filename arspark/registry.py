@@ -42,5 +42,5 @@ register("view_customer_cancellation_reasons", customer.customer_cancellation_re
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = Domain(load_tables(spark, sf_dir))
+    d = Domain.of(load_tables(spark, sf_dir))
     return decimals_to_double(BUILDERS[name](d))

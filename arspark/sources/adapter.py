@@ -34,12 +34,24 @@ CANCELLATION_REASONS = [(1, "Moved"), (2, "Price too high")]
 
 
 class Domain:
-    """Entity DataFrames derived from the driver tables (built lazily, once)."""
+    """Entity DataFrames derived from the driver tables (built lazily, once).
+
+    ``Domain.of(tables)`` returns one shared instance per table set, so every
+    query of a session reuses the same entity plans."""
+
+    _shared: dict = {}
 
     def __init__(self, tables: Tables):
         self.t = tables
         self._memo: dict[str, DataFrame] = {}
 
+    @classmethod
+    def of(cls, tables: Tables) -> "Domain":
+        d = cls._shared.get(id(tables))
+        if d is None or d.t is not tables:
+            d = cls._shared[id(tables)] = cls(tables)
+        return d
+
     def _get(self, name, build):
         if name not in self._memo:
             self._memo[name] = build()

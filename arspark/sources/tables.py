@@ -34,8 +34,17 @@ class Tables:
         return self.table(name)
 
 
+_OPEN: dict = {}
+
+
 def load_tables(spark: SparkSession, root: str) -> Tables:
+    """Table readers for ``root``, shared by every query of the same session
+    (file listing and footer reads happen once per table, not per query)."""
     # Timestamps in these files are zone-less (TIMESTAMP_NTZ); pin UTC anyway so
     # any zone-aware conversion gives the same answer on every executor.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return Tables(spark, root)
+    key = (id(spark), os.path.abspath(root))
+    hit = _OPEN.get(key)
+    if hit is None or hit.spark is not spark:
+        hit = _OPEN[key] = Tables(spark, root)
+    return hit
