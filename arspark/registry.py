@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arspark.plans import ar, customer, measures, ops, revenue
+from arspark.plans import ar, customer, measures, ops, revenue, staging
 from arspark.plans.common import decimals_to_double
 from arspark.sources.adapter import Domain
 from arspark.sources.tables import load_tables
@@ -41,6 +41,10 @@ register("fact_customer_cancellation_reasons", customer.customer_cancellation_re
 register("view_customer_cancellation_reasons", customer.customer_cancellation_reasons_view)
 
 
+for _name, _fn in staging.registry_entries().items():
+    register(_name, _fn)
+
+
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     d = Domain.of(load_tables(spark, sf_dir))
     return decimals_to_double(BUILDERS[name](d))

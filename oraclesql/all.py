@@ -10,3 +10,6 @@ ORACLE.update(marts.Q)
 from oraclesql import measures as _measures  # noqa: E402
 
 ORACLE.update(_measures.Q)
+from oraclesql import staging as _staging  # noqa: E402
+
+ORACLE.update(_staging.Q)
