@@ -13,3 +13,6 @@ ORACLE.update(_measures.Q)
 from oraclesql import staging as _staging  # noqa: E402
 
 ORACLE.update(_staging.Q)
+from oraclesql import quality as _quality  # noqa: E402
+
+ORACLE.update(_quality.Q)
