@@ -66,9 +66,10 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(out)
 
 
-def read_current(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    """The newest committed version of a versioned table, or None."""
-    vs = _versions(spark, path)
+def read_current(spark: SparkSession, path: str, schema=None, below: int | None = None) -> DataFrame | None:
+    """The newest committed version of a versioned table (only versions
+    < ``below`` when given), or None."""
+    vs = [v for v in _versions(spark, path) if below is None or v < below]
     if not vs:
         return None
     r = spark.read
