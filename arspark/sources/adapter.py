@@ -63,13 +63,16 @@ class Domain:
 
     def _applied_payment(self) -> DataFrame:
         t = self.t
-        li = t.lineitem
-        o = t.orders.select("o_orderkey", "o_custkey")
-        c = t.customer.select("c_custkey", "c_nationkey")
-        j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == F.col("c_custkey"))
-        # lineitem is a re-load log: (orderkey, linenumber) repeats; keep newest.
-        j = latest_per_key(j, ["l_orderkey", "l_linenumber"], "l_shipdate",
-                           tie_breakers=["l_partkey", "l_suppkey", "l_extendedprice"])
+        # One shuffle of lineitem by order key serves both the version dedupe
+        # (clustered on (orderkey, linenumber), satisfied by hash(orderkey)) and
+        # the join to orders; orders+customer are joined first (orders-sized
+        # shuffles only). An order has at most 7 lines, so no partition is hot.
+        li = t.lineitem.repartition("l_orderkey")
+        li = latest_per_key(li, ["l_orderkey", "l_linenumber"], "l_shipdate",
+                            tie_breakers=["l_partkey", "l_suppkey", "l_extendedprice"])
+        oc = t.orders.select("o_orderkey", "o_custkey").join(
+            t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+        j = li.join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
         net = E("CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))")
         return j.select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("appliedPaymentID"),

@@ -66,8 +66,10 @@ def two_versions(df: DataFrame, load: Column, stale: dict[str, Column], office:
 def raw_applied_payment(d: Domain) -> DataFrame:
     """The lineitem re-load log as applied-payment records (all versions)."""
     t = d.t
-    li = t.lineitem.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")) \
-        .join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    # orders+customer first (orders-sized shuffles), then one lineitem shuffle by order key
+    oc = t.orders.select("o_orderkey", "o_custkey").join(t.customer.select("c_custkey", "c_nationkey"),
+                                                         F.col("o_custkey") == F.col("c_custkey"))
+    li = t.lineitem.join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
     net = F.expr("CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))")
     rec = li.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("appliedPaymentID"),
