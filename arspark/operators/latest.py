@@ -75,3 +75,27 @@ def cdc_window(last_run, now, overlap_minutes: int = 15, first_run_hours: int =
 
 def _names(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
+
+
+def lag_split(df: DataFrame, group: Sequence[str], split: str, order: str, value: str, out: str) -> DataFrame:
+    """``lag(value) over (partition by group order by split, order)`` without
+    putting a whole group into one task.
+
+    Rows are windowed per (group, split) - e.g. per customer *and day* - so a
+    customer holding a large share of all rows is spread over many tasks. The
+    first row of each (group, split) bucket takes the last value of the
+    previous bucket, found with a partial aggregate (``max_by``) per bucket and
+    a lag over the bucket table (one row per bucket). The result equals the
+    single-window lag exactly (NULL ``split`` values sort first, as in the
+    window)."""
+    g = list(group)
+    w_in = Window.partitionBy(*g, split).orderBy(order)
+    rows = df.withColumn("__prev_in", F.lag(value).over(w_in)) \
+        .withColumn("__first", F.row_number().over(w_in) == 1)
+    last = df.groupBy(*g, split).agg(F.max_by(value, order).alias("__last"))
+    w_b = Window.partitionBy(*g).orderBy(F.col(split).asc_nulls_first())
+    prev_b = last.withColumn("__prev_b", F.lag("__last").over(w_b)).drop("__last")
+    # a NULL split bucket sorts first, so its previous bucket is NULL anyway
+    j = rows.join(prev_b, [*g, split], "left")
+    return j.withColumn(out, F.when(F.col("__first"), F.col("__prev_b")).otherwise(F.col("__prev_in"))) \
+        .drop("__prev_in", "__first", "__prev_b")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arspark.functions.dates import days_between, month_start, months_between_boundaries
+from arspark.operators.latest import lag_split
 from arspark.functions.scalars import (
     AGE_BUCKET_4_LAST, AGE_BUCKETS_4, age_bucket, age_bucket_sort, bad_email, bad_phone, pct, safe_div,
 )
@@ -246,8 +247,10 @@ def payment_declines(d: Domain, as_of=DEFAULT_AS_OF) -> DataFrame:
     pp = d.payment_profile().groupBy("customerID").agg(
         F.max("failedAttempts").alias("failedAttempts"), F.max("lastDeclineType").alias("lastDeclineType"),
         F.max("retryPoints").alias("retryPoints"))
-    w = Window.partitionBy("customerID", "paymentMethod").orderBy("paymentDate", "paymentID")
-    pa = p.join(pp, "customerID", "left").withColumn("previousStatus", F.lag("status").over(w))
+    # lag(status) over (customer, method order by date, id), split per day so a
+    # customer with a huge payment history is not processed by one task
+    pa = lag_split(p.join(pp, "customerID", "left"), ["customerID", "paymentMethod"], "paymentDate", "paymentID",
+                   "status", "previousStatus")
     ok, dec = F.col("status") == 1, F.col("status") == 2
     retry_ok = ok & (F.col("previousStatus") == 2)
     g = pa.groupBy("officeID", month_start("paymentDate").alias("paymentMonth"), "paymentMethod", "cardType").agg(

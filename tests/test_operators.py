@@ -38,3 +38,20 @@ def test_cdc_window(spark):
     now = dt.datetime(2024, 1, 1, 12, 0)
     got = [r.s for r in df.select(L.cdc_window("last", now).alias("s")).collect()]
     assert got == [dt.datetime(2024, 1, 1, 9, 45), dt.datetime(2024, 1, 1, 10, 0)]
+
+
+def test_lag_split_equals_single_window(spark):
+    import random
+
+    from pyspark.sql import Window
+    rnd = random.Random(7)
+    rows = []
+    for i in range(600):
+        cust = 1 if i % 3 else rnd.randint(2, 20)  # customer 1 holds two thirds of the rows
+        day = None if rnd.random() < 0.05 else dt.date(2024, 1, 1) + dt.timedelta(days=rnd.randint(0, 40))
+        rows.append((cust, rnd.randint(0, 2), day, i, rnd.randint(1, 3)))
+    df = spark.createDataFrame(rows, "c int, m int, d date, id int, s int")
+    w = Window.partitionBy("c", "m").orderBy("d", "id")
+    want = {r.id: r.p for r in df.withColumn("p", F.lag("s").over(w)).collect()}
+    got = {r.id: r.p for r in L.lag_split(df, ["c", "m"], "d", "id", "s", "p").collect()}
+    assert got == want
