@@ -46,9 +46,11 @@ def latest_batch(df: DataFrame, by: str = "OfficeID", load_col: str = "LoadDatet
 
     A two-phase aggregate (max per group, partial-aggregated map side) joined
     back on (group, load time); this avoids a window that would funnel one hot
-    office into one task."""
-    mx = df.groupBy(by).agg(F.max(load_col).alias("__mx"))
-    return df.join(mx, (df[by] == mx[by]) & (df[load_col] == mx["__mx"]), "left_semi")
+    office into one task. The aggregate has one row per office - bounded by the
+    office dimension - and is broadcast, so the newest batch of a large office
+    is not a hot join key either."""
+    mx = df.groupBy(F.col(by).alias("__by")).agg(F.max(load_col).alias("__mx"))
+    return df.join(F.broadcast(mx), (df[by] == F.col("__by")) & (df[load_col] == F.col("__mx")), "left_semi")
 
 
 def recent_window(df: DataFrame, now, hours: int = 48, load_col: str = "LoadDatetimeUTC") -> DataFrame:

@@ -50,8 +50,8 @@ def _agg(df: DataFrame, by, *aggs) -> DataFrame:
 def _with_group_max(df: DataFrame, by, col: str, name: str) -> DataFrame:
     """Attach the group's latest ``col`` (one row per group, joined back)."""
     mx = _agg(df, by, F.max(col).alias(name))
-    if by:
-        return df.join(mx, list(by), "left")
+    if by:  # one row per office/region: bounded by the office dimension
+        return df.join(F.broadcast(mx), list(by), "left")
     return df.crossJoin(F.broadcast(mx))  # a single row by construction
 
 

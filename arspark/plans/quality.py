@@ -141,8 +141,9 @@ def load_detail(d: Domain) -> DataFrame:
         g = raw.groupBy("OfficeID").agg(F.count(F.lit(1)).alias("total_rows"),
                                         F.max("LoadDatetimeUTC").alias("most_recent_load"),
                                         F.countDistinct("LoadDatetimeUTC").alias("distinct_load_times"))
-        latest = raw.join(g.select("OfficeID", "most_recent_load"),
-                          (raw.OfficeID == g.OfficeID) & (raw.LoadDatetimeUTC == g.most_recent_load), "left_semi") \
+        newest = F.broadcast(g.select(F.col("OfficeID").alias("o"), "most_recent_load"))  # one row per office
+        latest = raw.join(newest, (raw.OfficeID == F.col("o")) & (raw.LoadDatetimeUTC == F.col("most_recent_load")),
+                          "left_semi") \
             .groupBy("OfficeID").agg(F.count(F.lit(1)).alias("rows_from_latest_load"))
         parts.append(g.join(latest, "OfficeID", "left").select(F.lit(name).alias("table_name"), "OfficeID",
                                                                "total_rows", "most_recent_load",

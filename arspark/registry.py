@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arspark.plans import ar, customer, measures, ops, quality, revenue, staging
+from arspark.plans import ar, customer, measures, ops, quality, revenue, staging, views
 from arspark.plans.common import decimals_to_double
 from arspark.sources.adapter import Domain
 from arspark.sources.tables import load_tables
@@ -41,7 +41,7 @@ register("fact_customer_cancellation_reasons", customer.customer_cancellation_re
 register("view_customer_cancellation_reasons", customer.customer_cancellation_reasons_view)
 
 
-for _name, _fn in {**staging.registry_entries(), **quality.REGISTRY}.items():
+for _name, _fn in {**staging.registry_entries(), **quality.REGISTRY, **views.REGISTRY}.items():
     register(_name, _fn)
 
 

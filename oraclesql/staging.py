@@ -92,3 +92,11 @@ FROM payment GROUP BY officeID
 UNION ALL
 SELECT CAST(officeID AS BIGINT), 'customer', TIMESTAMP '2001-08-01 03:00:00', 2 * COUNT(*), 0
 FROM customer_v GROUP BY officeID""")
+
+Q["view_applied_payment"] = with_entities("""
+SELECT appliedPaymentID, officeID, paymentID, ticketID, customerID, CAST(appliedAmount AS DOUBLE) AS appliedAmount,
+       CAST(taxCollected AS DOUBLE) AS taxCollected, appliedByEmployeeID, dateApplied, dateApplied AS dateAppliedDate,
+       year(dateApplied) AS appliedYear, month(dateApplied) AS appliedMonth, quarter(dateApplied) AS appliedQuarter,
+       weekofyear(dateApplied) AS appliedWeek, dayofweek(dateApplied) AS appliedDayOfWeek
+FROM applied_payment""")
+Q["view_employee"] = with_entities("SELECT employeeID, fName, lName, officeID, fName || ' ' || lName AS FullName FROM employee")
