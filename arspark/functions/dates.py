@@ -72,3 +72,9 @@ def clean_time_of_day(s) -> Column:
     """TIME(ts) as 'HH:mm:ss' text; empty/zero/unparsable -> NULL."""
     ts = clean_ts(s)
     return F.when(ts.isNull(), F.lit(None).cast("string")).otherwise(F.date_format(ts, "HH:mm:ss"))
+
+
+def utc_to_local(ts, tz: str = "America/Los_Angeles") -> Column:
+    """Shift a zone-less UTC timestamp to local wall-clock time (the change
+    windows are expressed in Pacific time)."""
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), _c(ts))

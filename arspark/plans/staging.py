@@ -80,6 +80,14 @@ def stage_ticket_incremental(d: Domain, cutoff: str = "1998-01-01") -> DataFrame
     return _typed(S.TICKET, merged, ("items",))
 
 
+def stage_ticket_item(d: Domain) -> DataFrame:
+    """Invoices with their item arrays, newest version per ticket."""
+    spec = S.ticket_item_spec()
+    rows = stage(R.raw_ticket(d), spec).rows
+    return rows.select(*[c for c in spec.names if c != "items"],
+                       F.coalesce(F.size("items"), F.lit(0)).alias("itemCount"))
+
+
 def view_ticket_item_details(d: Domain) -> DataFrame:
     return ticket_item_details(stage(R.raw_ticket(d), S.TICKET).rows)
 
@@ -106,7 +114,7 @@ def registry_entries() -> dict:
     out.update({f"stage_{e}": stage_event_entity(e) for e in S.EVENT_ENTITIES})
     out.update({f"dim_{e}": dim(e) for e in DIMS})
     out.update({"stage_ticket_incremental": stage_ticket_incremental,
-                "view_ticket_item_details": view_ticket_item_details,
+                "view_ticket_item_details": view_ticket_item_details, "stage_ticket_item": stage_ticket_item,
                 "fact_customer_cancellation_reasons_raw": fact_customer_cancellation_reasons_raw,
                 "json_bad_count": json_bad_count, "load_watermarks": load_watermark_report})
     return out

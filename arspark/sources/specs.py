@@ -28,6 +28,15 @@ TICKET = EntitySpec("ticket", "ticketID", [
     C("status", t="string"), C("items", t="array"),
 ], plural="tickets")
 
+def ticket_item_spec(key: str = "ticketID") -> EntitySpec:
+    """Ticket line items as one record per invoice. The original job keyed
+    them by ticket id (kept as default); pass another key to stage per item."""
+    return EntitySpec("ticket_item", key, [
+        C("ticketID"), C("customerID"), C("officeID", t="int"), C("ticketDate", "invoiceDate", "ticketDate", t="date"),
+        C("subtotal", t="money"), C("taxAmount", t="money"), C("total", t="money"),
+        C("remainingBalance", "balance", t="money"), C("items", t="array")], plural="ticketItems")
+
+
 CUSTOMER = EntitySpec("customer", "customerID", [
     C("customerID"), C("officeID", t="int"), C("regionID", t="int"),
     C("fName", "fname", "fName", "firstName", t="string"), C("lName", "lname", "lName", "lastName", t="string"),

@@ -100,3 +100,8 @@ SELECT appliedPaymentID, officeID, paymentID, ticketID, customerID, CAST(applied
        weekofyear(dateApplied) AS appliedWeek, dayofweek(dateApplied) AS appliedDayOfWeek
 FROM applied_payment""")
 Q["view_employee"] = with_entities("SELECT employeeID, fName, lName, officeID, fName || ' ' || lName AS FullName FROM employee")
+Q["stage_ticket_item"] = with_entities("""
+SELECT t.ticketID, t.customerID, t.officeID, t.invoiceDate AS ticketDate, CAST(t.subtotal AS DOUBLE) AS subtotal,
+       CAST(t.taxAmount AS DOUBLE) AS taxAmount, CAST(t.total AS DOUBLE) AS total,
+       CAST(t.balance AS DOUBLE) AS remainingBalance, COALESCE(n.c, 0) AS itemCount
+FROM ticket t LEFT JOIN (SELECT ticketID, COUNT(*) AS c FROM applied_payment GROUP BY ticketID) n ON t.ticketID = n.ticketID""")
