@@ -28,6 +28,9 @@ def duck(sf_dir):
     return con
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def norm(v):
     import datetime as dt
     import decimal
@@ -36,9 +39,9 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return repr(v) if EXACT else round(v, 6)
     if isinstance(v, decimal.Decimal):
-        return round(float(v), 6)
+        return repr(float(v)) if EXACT else round(float(v), 6)
     if isinstance(v, dt.datetime):
         return v.isoformat()
     if isinstance(v, dt.date):
