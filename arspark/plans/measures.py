@@ -34,9 +34,14 @@ def divide(a, b, alt=0.0) -> Column:
     return F.when(b.isNull() | (b == 0), F.lit(alt)).otherwise(a.cast("double") / b.cast("double"))
 
 
+ALL = "__all"  # constant grouping key of the company-wide context
+
+
 def _keyed(d: Domain, df: DataFrame, by: Sequence[str], office_col: str) -> DataFrame:
     """Attach the grouping key(s) to a source keyed by office."""
     df = df.withColumnRenamed(office_col, "OfficeID") if office_col != "OfficeID" else df
+    if ALL in by:
+        df = df.withColumn(ALL, F.lit(0))
     if "RegionID" in by:
         office = F.broadcast(d.office().select(F.col("officeID").alias("OfficeID"), F.col("regionID").alias("RegionID")))
         df = df.join(office, "OfficeID", "left")
@@ -44,20 +49,21 @@ def _keyed(d: Domain, df: DataFrame, by: Sequence[str], office_col: str) -> Data
 
 
 def _agg(df: DataFrame, by, *aggs) -> DataFrame:
-    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    return df.groupBy(*by).agg(*aggs)
 
 
 def _with_group_max(df: DataFrame, by, col: str, name: str) -> DataFrame:
-    """Attach the group's latest ``col`` (one row per group, joined back)."""
+    """Attach the group's latest ``col`` (one row per group - bounded by the
+    office dimension - broadcast and joined back on the group key)."""
+    if list(by) == [ALL]:  # company-wide: a scalar subquery
+        return df.withColumn(name, df.agg(F.max(col)).scalar())
     mx = _agg(df, by, F.max(col).alias(name))
-    if by:  # one row per office/region: bounded by the office dimension
-        return df.join(F.broadcast(mx), list(by), "left")
-    return df.crossJoin(F.broadcast(mx))  # a single row by construction
+    return df.join(F.broadcast(mx), list(by), "left")
 
 
 def base_aggregates(d: Domain, by: Sequence[str] = ("OfficeID",), as_of=DEFAULT_AS_OF, where=None) -> DataFrame:
     """Per-group aggregates every measure is computed from."""
-    by = list(by)
+    by = list(by) or [ALL]
     today = as_date(as_of)
     ms = month_start(today)
     where = where or {}
@@ -110,10 +116,14 @@ def base_aggregates(d: Domain, by: Sequence[str] = ("OfficeID",), as_of=DEFAULT_
               count_when(F.col("DaysToPay") <= 30).alias("on_time"), F.count(F.lit(1)).alias("velocity_rows"))
 
     parts = [a, ta, pa, apa, va]
-    if not by:
-        out = parts[0]
-        for x in parts[1:]:
-            out = out.crossJoin(x)  # one row each
+    if by == [ALL]:
+        # company-wide: each source aggregate is one row; attach the others to
+        # the first as scalar subqueries (one struct per source)
+        out = parts[0].drop(ALL)
+        for i, x in enumerate(parts[1:]):
+            cols = [c for c in x.columns if c != ALL]
+            out = out.withColumn(f"__p{i}", x.select(F.struct(*cols)).scalar())
+            out = out.select("*", *[F.col(f"__p{i}.{c}").alias(c) for c in cols]).drop(f"__p{i}")
         return out
     keys = d.office().select(F.col("officeID").alias("OfficeID"), F.col("regionID").alias("RegionID"))
     keys = keys.select(*by).distinct()

@@ -185,10 +185,10 @@ def layer_row_counts(d: Domain) -> DataFrame:
     parts = []
     for name, build, spec in pairs:
         raw = build(d)
-        rc = raw.agg(F.count(F.lit(1)).alias("raw_rows"))
-        sc = stage(raw, spec).rows.agg(F.count(F.lit(1)).alias("staged_rows"))
-        parts.append(rc.crossJoin(sc).select(F.lit(name).alias("table_name"), "raw_rows", "staged_rows",
-                                             (F.col("raw_rows") - F.col("staged_rows")).alias("difference")))
+        staged = stage(raw, spec).rows.agg(F.count(F.lit(1))).scalar()  # scalar subquery
+        rc = raw.agg(F.count(F.lit(1)).alias("raw_rows")).withColumn("staged_rows", staged)
+        parts.append(rc.select(F.lit(name).alias("table_name"), "raw_rows", "staged_rows",
+                               (F.col("raw_rows") - F.col("staged_rows")).alias("difference")))
     return _union(parts)
 
 

@@ -38,6 +38,7 @@ def _plan(df):
 def test_no_python_udf_and_no_global_window(spark, name):
     p = _plan(registry.run(name, spark, SF_SMALL))
     assert "PythonUDF" not in p and "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     for line in p.splitlines():
         if "Window [" in line:
             assert "SinglePartition" not in line
