@@ -20,47 +20,47 @@ from arspark.sources.specs import EVENT_ENTITIES
 FIXED_LOAD = "2001-08-01 03:00:00"
 
 
+def _fmt(c: Column, dtype) -> Column:
+    """Dates/timestamps as the API's text formats (keeps microseconds)."""
+    if isinstance(dtype, (TimestampNTZType, TimestampType)):
+        return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    if isinstance(dtype, DateType):
+        return F.date_format(c, "yyyy-MM-dd")
+    return c
+
+
 def _jsonable(df: DataFrame, skip=()) -> list[Column]:
-    """Payload columns, with dates/timestamps as the API's text formats
-    (keeps microseconds)."""
-    cols = []
-    for f in df.schema.fields:
-        if f.name in skip or f.name.startswith("__"):
-            continue
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (TimestampNTZType, TimestampType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(f.name)
-        elif isinstance(f.dataType, DateType):
-            c = F.date_format(c, "yyyy-MM-dd").alias(f.name)
-        cols.append(c)
-    return cols
-
-
-def _land(df: DataFrame, office: Column, load: Column) -> DataFrame:
-    return df.select(office.cast("bigint").alias("OfficeID"), load.cast("timestamp_ntz").alias("LoadDatetimeUTC"),
-                     F.to_json(F.struct(*_jsonable(df))).alias("RawDataString"))
+    return [_fmt(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields
+            if f.name not in skip and not f.name.startswith("__")]
 
 
 def two_versions(df: DataFrame, load: Column, stale: dict[str, Column], office: Column | None = None,
                  corrupt: Column | None = None, lag: Column | None = None) -> DataFrame:
-    """Land every row twice: the stale version (``stale`` overrides) at
-    ``load`` and the current version at ``load + lag``. Stale rows flagged by
-    ``corrupt`` are landed as truncated, unparsable text."""
+    """Land every row twice in one pass over ``df``: the stale version
+    (``stale`` overrides) at ``load`` and the current version at ``load + lag``.
+    Stale rows flagged by ``corrupt`` are landed as truncated, unparsable text."""
     lag = lag if lag is not None else F.expr("INTERVAL 1 DAY")
     office = office if office is not None else (F.col("officeID") if "officeID" in df.columns else F.lit(0))
-    df = df.withColumn("__office", office).withColumn("__load", load.cast("timestamp_ntz"))
-    cur = _land(df, F.col("__office"), F.col("__load") + lag)
-    st = df
+    payload = [f for f in df.schema.fields if not f.name.startswith("__")]
+    d2 = df.withColumn("__office", office).withColumn("__load", load.cast("timestamp_ntz"))
     for k, v in stale.items():
-        st = st.withColumn(k, v)
-    old = _land(st, F.col("__office"), F.col("__load"))
+        d2 = d2.withColumn(f"__st_{k}", v)
+    types = {f.name: f.dataType for f in d2.schema.fields}
+    cur = F.to_json(F.struct(*[_fmt(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in payload]))
+    old_cols = []
+    for f in payload:
+        if f.name in stale:
+            old_cols.append(_fmt(F.col(f"__st_{f.name}"), types[f"__st_{f.name}"]).alias(f.name))
+        else:
+            old_cols.append(_fmt(F.col(f"`{f.name}`"), f.dataType).alias(f.name))
+    old = F.to_json(F.struct(*old_cols))
     if corrupt is not None:
-        st = st.withColumn("__bad", corrupt)
-        old = st.select(F.col("__office").cast("bigint").alias("OfficeID"),
-                        F.col("__load").cast("timestamp_ntz").alias("LoadDatetimeUTC"),
-                        F.when(F.col("__bad"), F.left(F.to_json(F.struct(*_jsonable(st))), F.lit(20)))
-                        .otherwise(F.to_json(F.struct(*_jsonable(st)))).alias("RawDataString"))
-    return cur.unionByName(old)
+        old = F.when(corrupt, F.left(old, F.lit(20))).otherwise(old)
+    versions = F.array(F.struct((F.col("__load") + lag).alias("l"), cur.alias("j")),
+                       F.struct(F.col("__load").alias("l"), old.alias("j")))
+    return d2.select(F.col("__office").cast("bigint").alias("OfficeID"), F.explode(versions).alias("__v")) \
+        .select("OfficeID", F.col("__v.l").cast("timestamp_ntz").alias("LoadDatetimeUTC"),
+                F.col("__v.j").alias("RawDataString"))
 
 
 def raw_applied_payment(d: Domain) -> DataFrame:
