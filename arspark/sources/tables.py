@@ -35,9 +35,13 @@ class Tables:
             # tasks; spread it once after the scan. Large tables have many
             # splits and are left alone. Column pruning and filters still reach
             # the scan below the repartition.
-            want = self.spark.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() < want and name in SPREAD_IF_FEW_SPLITS:
-                df = df.repartition(want)
+            if name in SPREAD_IF_FEW_SPLITS:
+                try:
+                    want = self.spark.sparkContext.defaultParallelism
+                    if df.rdd.getNumPartitions() < want:
+                        df = df.repartition(want)
+                except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): keep the scan as is
+                    pass
             self._cache[name] = df
         return self._cache[name]
 

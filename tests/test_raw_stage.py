@@ -84,3 +84,14 @@ def test_explode_response_shapes(spark):
     ids = sorted(r.i for r in explode_records(good, "customers")
                  .select(F.try_variant_get("RawData", "$.id", "int").alias("i")).collect())
     assert ids == [1, 2, 3, 4, 5]
+
+
+def test_merge_is_independent_of_batch_order(spark):
+    a = raw(spark, [(1, T0, {"thingID": 1, "name": "a0"}), (1, T1, {"thingID": 2, "name": "a1"})])
+    b = raw(spark, [(1, T1, {"thingID": 1, "name": "b1"}), (1, T0, {"thingID": 2, "name": "b0"}),
+                    (1, T0, {"thingID": 3, "name": "b3"})])
+    ab = stage(b, SPEC, target=stage(a, SPEC).rows).rows
+    ba = stage(a, SPEC, target=stage(b, SPEC).rows).rows
+    once = stage(a.unionByName(b), SPEC).rows
+    as_map = lambda df: {r.thingID: r.name for r in df.collect()}
+    assert as_map(ab) == as_map(ba) == as_map(once) == {1: "b1", 2: "a1", 3: "b3"}
