@@ -101,3 +101,28 @@ def lag_split(df: DataFrame, group: Sequence[str], split: str, order: str, value
     j = rows.join(prev_b, [*g, split], "left")
     return j.withColumn(out, F.when(F.col("__first"), F.col("__prev_b")).otherwise(F.col("__prev_in"))) \
         .drop("__prev_in", "__first", "__prev_b")
+
+
+def exact_median(df: DataFrame, group: Sequence[str], value: str, out: str = "median") -> DataFrame:
+    """PERCENTILE_CONT(0.5) per group without buffering a group's rows.
+
+    Rows are first reduced to a histogram - one row per (group, distinct
+    value) with its count, partially aggregated map side - and the rank
+    positions are found with running counts over that histogram. Interpolation
+    is ``(hi - pos) * v_lo + (pos - lo) * v_hi`` at ``pos = (n - 1) / 2``, the
+    same arithmetic as Spark's exact ``percentile``."""
+    g = list(group)
+    h = df.filter(F.col(value).isNotNull()).groupBy(*g, value).agg(F.count(F.lit(1)).alias("__c"))
+    w_run = Window.partitionBy(*g).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    h = h.withColumn("__cum", F.sum("__c").over(w_run)) \
+        .withColumn("__n", F.sum("__c").over(Window.partitionBy(*g)))
+    pos = (F.col("__n") - 1).cast("double") * 0.5
+    h = h.withColumn("__pos", pos).withColumn("__lo", F.floor(pos)).withColumn("__hi", F.ceil(pos))
+    m = h.groupBy(*g).agg(F.first("__pos").alias("__pos"), F.first("__lo").alias("__lo"),
+                          F.first("__hi").alias("__hi"),
+                          F.min(F.when(F.col("__cum") > F.col("__lo"), F.col(value))).alias("__vlo"),
+                          F.min(F.when(F.col("__cum") > F.col("__hi"), F.col(value))).alias("__vhi"))
+    med = F.when((F.col("__lo") == F.col("__hi")) | (F.col("__vlo") == F.col("__vhi")), F.col("__vlo").cast("double")) \
+        .otherwise((F.col("__hi") - F.col("__pos")) * F.col("__vlo").cast("double")
+                   + (F.col("__pos") - F.col("__lo")) * F.col("__vhi").cast("double"))
+    return m.select(*g, med.alias(out))

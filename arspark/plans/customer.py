@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arspark.functions.dates import days_between, month_start, months_between_boundaries
+from arspark.operators.latest import exact_median
 from arspark.plans.common import as_date, avg_exact, count_when
 from arspark.sources.adapter import Domain
 
@@ -145,8 +146,8 @@ def monthly_recurring_revenue(d: Domain, as_of=EVENTS_AS_OF) -> DataFrame:
     g = s.groupBy("officeID").agg(
         F.countDistinct("customerID").alias("activeCustomers"),
         F.countDistinct("subscriptionID").alias("activeSubscriptions"),
-        F.count("monthlyValue").alias("_n"),
-        F.percentile("monthlyValue", 0.5).alias("medianMRR"), *aggs)
+        F.count("monthlyValue").alias("_n"), *aggs)
+    g = g.join(exact_median(s, ["officeID"], "monthlyValue", "medianMRR"), "officeID", "left")
     total = None
     for k in BILLING_FREQUENCIES:
         part = F.coalesce(F.col(f"_s{k}").cast("double") / F.lit(float(k)), F.lit(0.0))

@@ -55,3 +55,15 @@ def test_lag_split_equals_single_window(spark):
     want = {r.id: r.p for r in df.withColumn("p", F.lag("s").over(w)).collect()}
     got = {r.id: r.p for r in L.lag_split(df, ["c", "m"], "d", "id", "s", "p").collect()}
     assert got == want
+
+
+def test_exact_median_matches_percentile(spark):
+    import random
+    rnd = random.Random(3)
+    rows = [(1 if i % 2 else rnd.randint(2, 9), float(rnd.randint(0, 40)) / 3) for i in range(500)]
+    rows += [(20, 1.5), (21, None)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    want = {r.g: r.m for r in df.groupBy("g").agg(F.percentile("v", 0.5).alias("m")).collect()}
+    got = {r.g: r.median for r in L.exact_median(df, ["g"], "v").collect()}
+    want.pop(21)  # all-NULL group: no histogram row
+    assert got == want
