@@ -64,6 +64,8 @@ def dedupe_stream(df: DataFrame, key_path: str, version_path: str = "$.dateUpdat
 def _batch_upsert(spec: EntitySpec, target_path: str, quarantine_path: str):
     def fn(batch: DataFrame, epoch_id: int):
         spark = batch.sparkSession
+        # the micro-batch feeds two writes (quarantine, merge): read and parse it once
+        batch = batch.persist()
         st = stage(batch, spec)
         # bad records of this micro-batch go to the quarantine (idempotent per epoch)
         st.bad_json.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite") \
@@ -74,6 +76,7 @@ def _batch_upsert(spec: EntitySpec, target_path: str, quarantine_path: str):
             stage(batch, spec, target=cur.select(*st.rows.columns)).rows
         # each epoch writes its own version; a replayed epoch rewrites the same one
         merged.write.mode("overwrite").parquet(os.path.join(target_path, f"v={epoch_id + 1}"))
+        batch.unpersist()
     return fn
 
 
