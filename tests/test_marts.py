@@ -1,7 +1,6 @@
 """Invariants, plan shape and the oracle comparison."""
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from arspark import registry
