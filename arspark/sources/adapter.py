@@ -52,6 +52,19 @@ class Domain:
             d = cls._shared[id(tables)] = cls(tables)
         return d
 
+    def persist(self, *names: str) -> "Domain":
+        """Keep entities that several marts of one dashboard read (memory, then
+        local disk). A lost block is recomputed from its lineage, so this is a
+        cache, not a durability point; call :meth:`unpersist` when done."""
+        from pyspark import StorageLevel
+        for n in names or ("applied_payment", "payment", "ticket", "customer"):
+            self._memo[n] = getattr(self, n)().persist(StorageLevel.MEMORY_AND_DISK)
+        return self
+
+    def unpersist(self) -> None:
+        for df in self._memo.values():
+            df.unpersist()
+
     def _get(self, name, build):
         if name not in self._memo:
             self._memo[name] = build()

@@ -59,3 +59,14 @@ def test_filters_pushed_to_scan(spark):
 def test_oracle_small(spark):
     res = compare(spark, SF_SMALL)
     assert [k for k, v in res.items() if v is False] == []
+
+
+def test_persisted_entities_give_same_results(spark):
+    from arspark.sources import Domain, load_tables
+    d = Domain(load_tables(spark, SF_SMALL)).persist()
+    try:
+        a = sorted(tuple(r) for r in ar.dso_metrics(d).collect())
+        b = sorted(tuple(r) for r in ar.dso_metrics(Domain(load_tables(spark, SF_SMALL))).collect())
+        assert a == b
+    finally:
+        d.unpersist()
