@@ -19,14 +19,14 @@ def _c(x) -> Column:
 
 def days_between(start, end) -> Column:
     """DATEDIFF(day, start, end): whole calendar days from start to end."""
-    return F.datediff(F.to_date(_c(end)), F.to_date(_c(start)))
+    return F.datediff(F.to_date(_c(end)), F.to_date(_c(start))).cast("bigint")
 
 
 def months_between_boundaries(start, end) -> Column:
     """DATEDIFF(month, start, end) counts month boundaries crossed, not whole
     months elapsed (Jan 31 -> Feb 1 is 1)."""
     s, e = _c(start), _c(end)
-    return (F.year(e) - F.year(s)) * 12 + (F.month(e) - F.month(s))
+    return ((F.year(e) - F.year(s)) * 12 + (F.month(e) - F.month(s))).cast("bigint")
 
 
 def hours_between(start, end) -> Column:

@@ -92,7 +92,7 @@ def ticket_item_details(tickets: DataFrame) -> DataFrame:
     ex = tickets.select("ticketID", "customerID", "officeID", F.col("invoiceDate").alias("ticketDate"),
                         F.posexplode_outer("items").alias("lineNumber", "item")).filter(F.col("item").isNotNull())
     it = F.col("item")
-    return ex.select("ticketID", "customerID", "officeID", "ticketDate", "lineNumber",
+    return ex.select("ticketID", "customerID", "officeID", "ticketDate", F.col("lineNumber").cast("bigint"),
                      F.try_variant_get(it, "$.description", "string").alias("itemDescription"),
                      F.try_variant_get(it, "$.quantity", "bigint").alias("quantity"),
                      F.try_variant_get(it, "$.rate", "decimal(18,2)").alias("rate"),

@@ -85,7 +85,7 @@ def stage_ticket_item(d: Domain) -> DataFrame:
     spec = S.ticket_item_spec()
     rows = stage(R.raw_ticket(d), spec).rows
     return rows.select(*[c for c in spec.names if c != "items"],
-                       F.coalesce(F.size("items"), F.lit(0)).alias("itemCount"))
+                       F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("itemCount"))
 
 
 def view_ticket_item_details(d: Domain) -> DataFrame:

@@ -19,9 +19,10 @@ def view_applied_payment(d: Domain) -> DataFrame:
     da = F.col("dateApplied")
     return ap.select("appliedPaymentID", "officeID", "paymentID", "ticketID", "customerID", "appliedAmount",
                      "taxCollected", "appliedByEmployeeID", "dateApplied", da.alias("dateAppliedDate"),
-                     F.year(da).alias("appliedYear"), F.month(da).alias("appliedMonth"),
-                     F.quarter(da).alias("appliedQuarter"), F.weekofyear(da).alias("appliedWeek"),
-                     day_of_week0(da).alias("appliedDayOfWeek"))
+                     F.year(da).cast("bigint").alias("appliedYear"), F.month(da).cast("bigint").alias("appliedMonth"),
+                     F.quarter(da).cast("bigint").alias("appliedQuarter"),
+                     F.weekofyear(da).cast("bigint").alias("appliedWeek"),
+                     day_of_week0(da).cast("bigint").alias("appliedDayOfWeek"))
 
 
 def view_employee(d: Domain) -> DataFrame:

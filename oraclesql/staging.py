@@ -68,12 +68,13 @@ Q["dim_reservice_reason"] = "SELECT CAST(n_nationkey AS BIGINT) AS reserviceReas
 Q["view_ticket_item_details"] = with_entities("""
 SELECT t.ticketID, t.customerID, t.officeID, t.invoiceDate AS ticketDate,
        ROW_NUMBER() OVER (PARTITION BY ap.ticketID ORDER BY ap.appliedPaymentID % 10) - 1 AS lineNumber,
-       'Service ' || CAST(ap.serviceID AS VARCHAR) AS itemDescription, 1 AS quantity,
+       'Service ' || CAST(ap.serviceID AS VARCHAR) AS itemDescription, CAST(1 AS BIGINT) AS quantity,
        CAST(ap.appliedAmount AS DOUBLE) AS rate, CAST(ap.appliedAmount AS DOUBLE) AS amount,
        ap.taxCollected > 0 AS isTaxable, ap.serviceID AS productID, CAST(ap.officeID AS BIGINT) AS glAccountID
 FROM ticket t JOIN applied_payment ap ON t.ticketID = ap.ticketID""")
 
-Q["fact_customer_cancellation_reasons_raw"] = with_entities("SELECT * FROM ccr_fact", {"ccr_fact": CCR_FACT_CTE})
+Q["fact_customer_cancellation_reasons_raw"] = with_entities(
+    "SELECT CAST(OfficeID AS BIGINT) AS OfficeID, * EXCLUDE (OfficeID) FROM ccr_fact", {"ccr_fact": CCR_FACT_CTE})
 
 Q["json_bad_count"] = with_entities("""
 SELECT CAST(officeID AS BIGINT) AS OfficeID, COUNT(CASE WHEN ticketID % 101 = 0 THEN 1 END) AS badRows,

@@ -29,6 +29,8 @@ def duck(sf_dir):
 
 
 EXACT = os.environ.get("ORACLE_EXACT") == "1"
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
 def norm(v):
@@ -78,18 +80,23 @@ def compare(spark, sf_dir, names=None):
             results[name] = None
             continue
         try:
-            cur = con.execute(orc[name])
-            drows = cur.fetchall()
-            dcols = [c[0] for c in cur.description]
+            rel = con.sql(orc[name])
+            dcols, dtypes = rel.columns, [str(t) for t in rel.types]
+            drows = rel.fetchall()
         except Exception as e:  # noqa: BLE001
             print(f"{name:40s} DUCKDB ERROR {str(e)[:300]}")
             results[name] = False
             continue
         same_cols = sorted(scols) == sorted(dcols)
-        ok = same_cols and rows_key(srows, scols) == rows_key(drows, dcols)
+        stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                  for f in df.schema.fields}
+        type_diff = [(c, stypes[c], t) for c, t in zip(dcols, dtypes) if c in stypes and stypes[c] != t]
+        ok = same_cols and not type_diff and rows_key(srows, scols) == rows_key(drows, dcols)
         results[name] = ok
         extra = ""
-        if not same_cols:
+        if type_diff:
+            extra = f" type differences: {type_diff}"
+        elif not same_cols:
             extra = f" cols spark-only={sorted(set(scols)-set(dcols))} duck-only={sorted(set(dcols)-set(scols))}"
         elif not ok:
             a, b = rows_key(srows, scols), rows_key(drows, dcols)
