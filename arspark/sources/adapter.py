@@ -26,11 +26,17 @@ from arspark.sources.tables import Tables
 
 E = F.expr
 
-# Labels of the synthetic lookup dimensions.
-CUSTOMER_SOURCES = [(1, "AUTOMOBILE", "Auto dealers"), (2, "BUILDING", "Builders"),
-                    (3, "FURNITURE", "Furniture stores"), (4, "HOUSEHOLD", "Door to door"),
-                    (5, "MACHINERY", "Trade shows")]
-CANCELLATION_REASONS = [(1, "Moved"), (2, "Price too high")]
+# Labels of the lookup dimensions (id -> label).
+CUSTOMER_SOURCE_NAMES = [(1, "Auto dealers"), (2, "Builders"), (3, "Furniture stores"), (4, "Door to door"),
+                         (5, "Trade shows")]
+CANCELLATION_REASON_NAMES = [(1, "Moved"), (2, "Price too high")]
+
+
+def _label(col, pairs):
+    expr = None
+    for k, v in pairs:
+        expr = F.when(col == k, v) if expr is None else expr.when(col == k, v)
+    return expr
 
 
 class Domain:
@@ -300,12 +306,21 @@ class Domain:
         ))
 
     def customer_source(self) -> DataFrame:
-        return self._get("customer_source", lambda: self.t.spark.createDataFrame(
-            CUSTOMER_SOURCES, "sourceID int, source string, sourceName string"))
+        """Sources present among customers (at most 5 rows: the source id is a
+        5-way CASE of the market segment)."""
+        def build():
+            c = self.customer().groupBy("sourceID").agg(F.min("source").alias("source"))
+            return c.select("sourceID", "source",
+                            _label(F.col("sourceID"), CUSTOMER_SOURCE_NAMES).alias("sourceName"))
+        return self._get("customer_source", build)
 
     def cancellation_reason(self) -> DataFrame:
-        return self._get("cancellation_reason", lambda: self.t.spark.createDataFrame(
-            CANCELLATION_REASONS, "reasonID bigint, description string"))
+        """Known cancellation reasons that occur in the data (at most 2 rows)."""
+        def build():
+            ids = self.customer_cancellation_reason_ids().select(F.explode("cancellationReasonIDs").alias("reasonID"))
+            known = ids.filter(F.col("reasonID").isin([k for k, _ in CANCELLATION_REASON_NAMES])).distinct()
+            return known.select("reasonID", _label(F.col("reasonID"), CANCELLATION_REASON_NAMES).alias("description"))
+        return self._get("cancellation_reason", build)
 
     def customer_cancellation_reason_ids(self) -> DataFrame:
         """Cancelled customers with their reason-id array (1 + custkey % 3, and

@@ -115,11 +115,14 @@ _def("office", "SELECT n_nationkey AS officeID, n_name AS officeName, n_regionke
 _def("region_d", "SELECT r_regionkey AS regionID, r_name AS regionName FROM region")
 _def("employee", "SELECT s_suppkey AS employeeID, s_name AS fName, CAST(NULL AS VARCHAR) AS lName, "
                  "s_nationkey AS officeID FROM supplier")
-_def("customer_source", "SELECT * FROM (VALUES (1, 'AUTOMOBILE', 'Auto dealers'), (2, 'BUILDING', 'Builders'), "
-                        "(3, 'FURNITURE', 'Furniture stores'), (4, 'HOUSEHOLD', 'Door to door'), "
-                        "(5, 'MACHINERY', 'Trade shows')) v(sourceID, source, sourceName)")
-_def("cancellation_reason", "SELECT * FROM (VALUES (CAST(1 AS BIGINT), 'Moved'), (CAST(2 AS BIGINT), 'Price too high')) "
-                            "v(reasonID, description)")
+_def("customer_source", """
+SELECT sourceID, MIN(source) AS source,
+       CASE sourceID WHEN 1 THEN 'Auto dealers' WHEN 2 THEN 'Builders' WHEN 3 THEN 'Furniture stores'
+            WHEN 4 THEN 'Door to door' WHEN 5 THEN 'Trade shows' END AS sourceName
+FROM customer_v GROUP BY sourceID""", ["customer_v"])
+_def("cancellation_reason", """
+SELECT DISTINCT reasonID, CASE reasonID WHEN 1 THEN 'Moved' WHEN 2 THEN 'Price too high' END AS description
+FROM customer_cancellation_ids WHERE reasonID IN (1, 2)""", ["customer_cancellation_ids"])
 _def("customer_cancellation_ids", """
 SELECT officeID, customerID, dateCancelled, customerID % 3 + 1 AS reasonID FROM customer_v WHERE dateCancelled IS NOT NULL
 UNION ALL
