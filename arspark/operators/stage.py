@@ -30,10 +30,12 @@ class Staged:
 
 
 def project_raw(raw_text: DataFrame, spec: EntitySpec, now=None, hours: int | None = None):
-    raw = raw_text if "RawData" in raw_text.columns else None
-    if raw is None:
-        if now is not None and hours:
-            raw_text = recent_window(raw_text, now, hours)
+    """Accepts landed text (``RawDataString``) or an already parsed raw table
+    (``RawData``); ``now``/``hours`` keep only recent loads (partition pruning
+    on a raw table partitioned by load time)."""
+    if now is not None and hours:
+        raw_text = recent_window(raw_text, now, hours)
+    if "RawData" not in raw_text.columns:
         good, bad = parse_raw(raw_text)
     else:
         good, bad = raw_text, raw_text.limit(0)

@@ -95,3 +95,11 @@ def test_merge_is_independent_of_batch_order(spark):
     once = stage(a.unionByName(b), SPEC).rows
     as_map = lambda df: {r.thingID: r.name for r in df.collect()}
     assert as_map(ab) == as_map(ba) == as_map(once) == {1: "b1", 2: "a1", 3: "b3"}
+
+
+def test_incremental_window_on_text_and_parsed_raw(spark):
+    df = raw(spark, [(1, T0, {"thingID": 1, "name": "old"}), (1, T1, {"thingID": 2, "name": "new"})])
+    now = dt.datetime(2024, 1, 2, 12)
+    assert [r.thingID for r in stage(df, SPEC, now=now, hours=24).rows.collect()] == [2]
+    parsed, _ = parse_raw(df)
+    assert [r.thingID for r in stage(parsed, SPEC, now=now, hours=24).rows.collect()] == [2]
