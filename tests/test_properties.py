@@ -31,3 +31,17 @@ def test_boundary_counts(spark, date_pairs, ts_pairs):
         ma, mb = r.a.replace(second=0, microsecond=0), r.b.replace(second=0, microsecond=0)
         assert r.h == int((hb - ha).total_seconds() // 3600)
         assert r.mi == int((mb - ma).total_seconds() // 60)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 15), st.integers(0, 5), st.integers(0, 3), st.integers(0, 1000)),
+                min_size=1, max_size=200))
+def test_latest_per_key_matches_python(spark, rows):
+    from arspark.operators.latest import latest_per_key
+    df = spark.createDataFrame(rows, "k int, ts int, tb int, v int")
+    got = {(r.k, r.ts, r.tb, r.v) for r in latest_per_key(df, "k", "ts", ["tb", "v"]).collect()}
+    want = {}
+    for k, ts, tb, v in rows:
+        if k not in want or (ts, tb, v) > want[k][1:]:
+            want[k] = (k, ts, tb, v)
+    assert got == set(want.values())
