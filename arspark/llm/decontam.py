@@ -221,6 +221,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     spark = docs.sparkSession
     keep_text = text_col in carry
     extra = [c for c in carry if c != text_col]
+    extra = [c for c in extra if c != id_col]
     rows = docs.select(F.col(id_col).alias("__id"), *(F.col(c).alias(f"__c{k}") for k, c in enumerate(extra)),
                        F.col(text_col).cast("string").alias("text"))
     base = rows.schema

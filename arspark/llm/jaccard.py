@@ -239,14 +239,17 @@ def _verify(percent: int):
 BITMAP = 1 << 18
 
 
-def rows_with_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
-    """Rows of ``docs`` whose id may be among ``ids`` (column of that name): all that are, and a few others."""
+def rows_with_ids(docs: DataFrame, ids: DataFrame, id_col: str, others: bool = False) -> DataFrame:
+    """Rows of ``docs`` whose id may be among ``ids`` (column of that name): all that are, and a few others.
+
+    ``others``: the remaining rows instead. The broadcast bitmap has ``BITMAP`` rows at most, whatever the tables.
+    """
     h = F.xxhash64(F.col(id_col), F.lit(3))
     word, bit = F.pmod(h, F.lit(BITMAP)).cast("int"), F.pmod(F.shiftright(h, 40), F.lit(64)).cast("int")
-    mask = ids.groupBy(word.alias("__word")).agg(F.bit_or(F.expr("shiftleft(1L, " + f"cast(pmod(shiftright(xxhash64({id_col}, 3), 40), 64) as int))")).alias("__bits"))
-    marked = docs.withColumn("__word", word).withColumn("__bit", bit)
-    found = marked.join(F.broadcast(mask), "__word").filter(F.expr("(shiftright(__bits, __bit) & 1L) = 1L"))
-    return found.drop("__word", "__bit", "__bits")
+    marked = ids.select(word.alias("__word"), bit.alias("__bit")).groupBy("__word").agg(F.bit_or(F.expr("shiftleft(1L, __bit)")).alias("__bits"))
+    found = docs.withColumn("__word", word).withColumn("__bit", bit).join(F.broadcast(marked), "__word", "left")
+    hit = F.expr("coalesce((shiftright(__bits, __bit) & 1L) = 1L, false)")
+    return found.filter(~hit if others else hit).select(*docs.columns)
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arspark.llm import decontam, jaccard, langid, lm, packing, quality, token_counts, vptree, warc
+from arspark.llm import decontam, jaccard, langid, lm, packing, quality, suffix_dedup, token_counts, vptree, warc
 from arspark.llm.common import Scratch, crc_fold, table
 
 
@@ -72,7 +72,11 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, lm.fit(docs))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op2_decontamination, op3_language_id, op4_warc, op5_token_counts, op6_nearest_neighbours, op7_quality, op8_packing, op9_lm_scoring)
+    f.__name__: f for f in (op1_ngram_jaccard, op2_decontamination, op3_language_id, op4_warc, op5_token_counts, op6_nearest_neighbours, op7_quality, op8_packing, op9_lm_scoring, op10_suffix_dedup)
 }
 ORACLE_SQL: dict[str, str] = {}
