@@ -24,6 +24,9 @@ represented by its smallest id, so copies are never paired with each other.
   verified on whole sets, and groups are joined. Then all pairs of classes of
   different groups that share enough prefix entries are verified: nothing is
   left out, and a large group of near copies brings no square of its size.
+* Counting bounds the overlap before any text is fetched: beyond their c shared
+  prefix entries two documents share at most as much as the longer rest holds,
+  so c must make up for what the threshold asks for their two sizes.
 * Verification brings whole texts of candidates only (found by a bitmap of
   fixed size and an exact join) and streams each set past the set it is paired
   with; a class with many partners is spread over several tasks.
@@ -253,10 +256,14 @@ def rows_with_ids(docs: DataFrame, ids: DataFrame, id_col: str, others: bool = F
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
-    """Of pairs of classes (hub, cls), those that link, as (a, b)."""
-    sizes = lambda c, n: classes.select(F.col("cls").alias(c), F.col("n").alias(n))
-    near = pairs.join(sizes("hub", "n_hub"), "hub").join(sizes("cls", "n_cls"), "cls")
-    near = scratch.save(near.filter(F.least("n_hub", "n_cls") * 100 >= F.greatest("n_hub", "n_cls") * percent).select("hub", "cls"))
+    """Of pairs of classes, those that link, as (a, b). Columns hub, own_hub, cls, own, and shared: prefix entries in common."""
+    size = lambda c: classes.select(F.col("cls").alias(c), F.col("n").alias(f"n_{c}"))
+    near = pairs.join(size("hub"), "hub").join(size("cls"), "cls")
+    rest = lambda n, own: F.ceil(F.col(n) * percent / 100) - F.col(own)  # noqa: E731  elements after the prefix
+    least = F.ceil((F.col("n_hub") + F.col("n_cls")) * percent / (100 + percent))  # overlap that links them
+    near = near.filter((F.least("n_hub", "n_cls") * 100 >= F.greatest("n_hub", "n_cls") * percent)
+                       & (F.col("shared") >= least - F.greatest(rest("n_hub", "own_hub"), rest("n_cls", "own"))))
+    near = scratch.save(near.select("hub", "cls"))
     parts = near.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("parts"))
     # partners of a hub with many of them are dealt over several parts, each of which gets the hub's own set
     member = near.join(parts, "hub").select("hub", F.pmod(F.hash("cls"), F.col("parts")).alias("part"), F.lit(1).alias("member"), "cls")
@@ -292,25 +299,25 @@ def classes_of(docs: DataFrame, scratch: Scratch, words: int = 5, percent: int =
 
     edges = roots = None
     for k in range(ROUNDS):
-        left = shared if roots is None else _mixed(shared, roots)
-        left = left.withColumn("grp", F.col("cls")) if roots is None else left
-        if k and left.isEmpty():
-            break
-        # a star for each shingle; another centre each round
-        turn = F.xxhash64("cls", F.lit(k))
-        centre = left.groupBy("shingle").agg(F.min(F.struct(turn.alias("t"), "cls", "grp")).alias("c"))
-        pairs = left.join(centre, "shingle").filter("grp != c.grp").select(F.col("c.cls").alias("hub"), "cls").distinct()
+        left = shared.withColumn("grp", F.col("cls")) if roots is None else _mixed(shared, roots)
+        # a star for each shingle; another centre each round; each class tries the centre it shares most with
+        centre = left.groupBy("shingle").agg(F.min(F.struct(F.xxhash64("cls", F.lit(k)).alias("t"), "cls", "grp", "own")).alias("c"))
+        pairs = left.join(centre, "shingle").filter("grp != c.grp").select(F.col("c.cls").alias("hub"), F.col("c.own").alias("own_hub"), "cls", "own")
+        pairs = pairs.groupBy("hub", "cls").agg(F.count(F.lit(1)).alias("shared"), F.first("own_hub").alias("own_hub"), F.first("own").alias("own"))
+        pairs = pairs.groupBy("cls").agg(F.max(F.struct("shared", "hub", "own_hub", "own")).alias("p")).select("cls", "p.*")
         found = _verified(pairs, classes, docs, words, percent, scratch)
         edges = found if edges is None else scratch.save(edges.union(found))
         roots = components(edges, scratch)
-    if roots is not None:
-        # every pair of different groups that shares enough of its prefixes
-        left = scratch.save(_mixed(shared, roots))
-        a = left.select("shingle", F.col("cls").alias("hub"), F.col("grp").alias("grp_a"), F.col("entry").alias("entry_a"), F.col("own").alias("own_a"))
-        pairs = a.join(left, "shingle").filter("hub < cls AND grp != grp_a AND greatest(entry, entry_a) <= least(own, own_a)")
-        pairs = pairs.groupBy("hub", "cls").agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("own", "own_a")).alias("need")).filter("shared >= need")
-        edges = edges.union(_verified(pairs.select("hub", "cls"), classes, docs, words, percent, scratch))
-        roots = components(edges, scratch)
+    # every pair of different groups that shares enough of its prefixes
+    left = scratch.save(_mixed(shared, roots))
+    a = left.select("shingle", F.col("cls").alias("hub"), F.col("grp").alias("grp_hub"), F.col("entry").alias("entry_hub"), F.col("own").alias("own_hub"))
+    pairs = a.join(left, "shingle").filter("hub < cls AND grp != grp_hub")
+    in_both = F.greatest("entry", "entry_hub") <= F.least("own", "own_hub")
+    pairs = pairs.groupBy("hub", "cls").agg(F.count(F.lit(1)).alias("shared"), F.count(F.when(in_both, 1)).alias("matches"),
+                                            F.first("own_hub").alias("own_hub"), F.first("own").alias("own"))
+    pairs = pairs.filter(F.col("matches") >= F.least("own", "own_hub"))
+    edges = edges.union(_verified(pairs, classes, docs, words, percent, scratch))
+    roots = components(edges, scratch)
     return members, roots.select(F.col("node").alias("cls"), "root")
 
 
