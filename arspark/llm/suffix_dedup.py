@@ -317,9 +317,10 @@ def repeated_spans(texts: DataFrame, scratch: Scratch, length: int = 400, most:
     """(key, spans) of texts with repeated strings; ``texts`` has columns key (a hash of the text) and text."""
     long_enough = texts.filter(F.octet_length("text") >= length)
     found = scratch.save(long_enough.mapInArrow(_anchors(length), "gram long, ctx long, lead int, wins int, key long, at long"))
-    twice = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    # a table of its own, so that the join can split a gram with very many stretches
+    twice = scratch.save(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"))
     shared = scratch.save(found.join(twice, "gram", "left_semi"))
-    scratch.drop(found)
+    scratch.drop(found, twice)
     by_ctx = scratch.save(shared.groupBy("gram", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at", "lead", "wins")).alias("m")))
     whole = shared.join(by_ctx.filter("n > 1").select("gram", "ctx"), ["gram", "ctx"]).select("key", F.col("at").alias("a"), (F.col("at") + F.col("wins") + (length - 1)).alias("b"))
     # contexts of grams that have several, one of them not repeated as a whole
