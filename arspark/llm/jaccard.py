@@ -14,16 +14,18 @@ represented by its smallest id, so copies are never paired with each other.
   document's l starts at 1 and grows with the estimated number of candidates
   its prefix would bring: the prefix gets longer, and a partner must share
   correspondingly more of it. Two documents with different l are judged by the
-  smaller one: each prefix entry knows from which l on it counts.
+  smaller one: each prefix entry knows its place in the order.
 * Entries. Prefix entries go to ranges of the shingle hash, where shingles of
   one class only (most of them) end. Entries of very frequent shingles can't be
   alone; they are spread by document instead.
 * Links. What is asked for is which documents are connected, so pairs within a
-  connected group needn't all be seen. In a few rounds, each shingle's classes
-  are paired with one of them (a star, as many pairs as entries), pairs are
-  verified on whole sets, and groups are joined. Then all pairs of classes of
-  different groups that share enough prefix entries are verified: nothing is
-  left out, and a large group of near copies brings no square of its size.
+  connected group needn't all be seen. First each shingle's classes are paired
+  with one of them (a star, as many pairs as entries; the centre is the class
+  with most shared entries, which among altered copies is the original), pairs
+  are verified on whole sets, and groups are joined. Then all pairs of classes
+  of different groups that share enough prefix entries are verified, so nothing
+  is left out. For a pair the prefixes are those that its two sizes ask for,
+  which are parts of the ones at hand.
 * Counting bounds the overlap before any text is fetched: beyond their c shared
   prefix entries two documents share at most as much as the longer rest holds,
   so c must make up for what the threshold asks for their two sizes.
@@ -54,14 +56,13 @@ from arspark.llm.text import NOT_SPACE, Words, as_bytes, blocks, mix, odd, shing
 
 #: Counters of the sketch, and how many are sent in one row.
 SKETCH_BITS, CHUNK_BITS = 22, 14
-#: A prefix's l grows by one each time its estimated candidates double beyond this, up to MOST_L.
+#: A prefix's l grows by one each time its estimated candidates double beyond this, up to MOST_L,
+#: as long as the shingles added bring no more than this each.
 COST_UNIT, MOST_L = 64.0, 8
 #: Shingles of an estimated frequency beyond this are spread by document.
 SPREAD = 1 << 15
 #: Entries of a task that are sent at once, and partners of a class that one task verifies.
 FLUSH, PARTNERS = 1 << 20, 512
-#: Star rounds before all remaining pairs are taken.
-ROUNDS = 1
 
 
 def digests(vals: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -125,7 +126,7 @@ def levels_of(counts: np.ndarray) -> np.ndarray:
 
 
 def prefixes(vals: np.ndarray, first: np.ndarray, level: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
-    """Prefix entries of each row's set: (shingle, row, from which l it counts, the row's l, estimated frequency)."""
+    """Prefix entries of each row's set: (shingle, row, place in the row's order, the row's l, estimated frequency)."""
     n = np.diff(first)
     rows = np.repeat(np.arange(len(n)), n)
     lv = level[(vals >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.int64)
@@ -134,13 +135,14 @@ def prefixes(vals: np.ndarray, first: np.ndarray, level: np.ndarray, percent: in
     at = np.arange(len(vals)) - np.repeat(first[:-1], n)
     need = -(-n * percent // 100)
     spare = n - need
-    estimate = np.where(lv > 0, 2.0 ** ((lv - 1) / 2), 0.0)
+    estimate = np.where(lv > 0, 2.0 ** ((lv - 1) / 2), 1.0)
     cost = np.bincount(rows, weights=np.where(at <= spare[rows], estimate, 0.0), minlength=len(n))
-    most = np.minimum(MOST_L, np.maximum(need, 1))
+    # shingles that may be added: those after the shortest prefix that aren't frequent themselves
+    cheap = np.bincount(rows, weights=(at > spare[rows]) & (estimate <= COST_UNIT), minlength=len(n)).astype(np.int64)
+    most = np.minimum(MOST_L, np.minimum(np.maximum(need, 1), 1 + cheap))
     own = np.minimum(most, 1 + np.floor(np.log2(1 + cost / COST_UNIT)).astype(np.int64))
     take = at < (spare + own)[rows]
-    entry = np.maximum(1, at - spare[rows] + 1)
-    return vals[take], rows[take], entry[take], own[rows[take]], estimate[take]
+    return vals[take], rows[take], at[take], own[rows[take]], estimate[take]
 
 
 def _entries(words: int, percent: int, sent, ranges: int):
@@ -156,7 +158,7 @@ def _entries(words: int, percent: int, sent, ranges: int):
             head = np.flatnonzero(np.diff(place, prepend=-1))
             parts = list(zip(head.tolist(), np.append(head[1:], len(place)).tolist()))
             cut = lambda x: pa.array([x[a:b].tobytes() for a, b in parts], pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(place[head]), cut(v), cut(c), cut(e)], ["place", "shingles", "classes", "counts_from"])
+            return pa.RecordBatch.from_arrays([pa.array(place[head]), cut(v), cut(c), cut(e)], ["place", "shingles", "classes", "places"])
 
         for batch in batches:
             for _, _, vals, first in _sets(batch, words):
@@ -166,9 +168,9 @@ def _entries(words: int, percent: int, sent, ranges: int):
                     if c not in seen:
                         seen.add(c)
                         new[k] = True
-                v, row, entry, own, estimate = prefixes(vals, first, level, percent)
+                v, row, pos, own, estimate = prefixes(vals, first, level, percent)
                 some = new[row]
-                held.append((v[some], cls[row[some]], (entry[some] * 16 + own[some]).astype(np.uint8), estimate[some] > SPREAD))
+                held.append((v[some], cls[row[some]], (pos[some] * 16 + own[some]).astype(np.uint32), estimate[some] > SPREAD))
                 size += int(some.sum())
                 if size > FLUSH:
                     yield flush()
@@ -183,11 +185,11 @@ def _shared(ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
         for batch in batches:
-            for p, *x in zip(*(batch.column(c).to_pylist() for c in ("place", "shingles", "classes", "counts_from"))):
+            for p, *x in zip(*(batch.column(c).to_pylist() for c in ("place", "shingles", "classes", "places"))):
                 held.setdefault(p, []).append(x)
         for p in sorted(held):
             parts = held.pop(p)
-            v, c, e = (np.concatenate([np.frombuffer(x[k], dtype=t) for x in parts]) for k, t in enumerate((np.int64, np.int64, np.uint8)))
+            v, c, e = (np.concatenate([np.frombuffer(x[k], dtype=t) for x in parts]) for k, t in enumerate((np.int64, np.int64, np.uint32)))
             order = np.lexsort((c, v))
             v, c, e = v[order], c[order], e[order]
             new = np.ones(len(v), dtype=bool)
@@ -197,7 +199,7 @@ def _shared(ranges: int):
                 same = v[1:] == v[:-1]
                 more = np.append(same, False) | np.insert(same, 0, False)
                 v, c, e = v[more], c[more], e[more]
-            yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(c), pa.array((e // 16).astype(np.int32)), pa.array((e % 16).astype(np.int32))], ["shingle", "cls", "entry", "own"])
+            yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(c), pa.array((e // 16).astype(np.int32)), pa.array((e % 16).astype(np.int32))], ["shingle", "cls", "pos", "own"])
     return run
 
 
@@ -293,34 +295,45 @@ def classes_of(docs: DataFrame, scratch: Scratch, words: int = 5, percent: int =
     classes = scratch.save(members.filter("n > 0 AND id IS NOT NULL").groupBy("cls").agg(F.min("id").alias("first"), F.min("n").alias("n")))
 
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    entries = docs.mapInArrow(_entries(words, percent, level, ranges), "place int, shingles binary, classes binary, counts_from binary")
-    shared = entries.repartition("place").mapInArrow(_shared(ranges), "shingle long, cls long, entry int, own int")
+    entries = docs.mapInArrow(_entries(words, percent, level, ranges), "place int, shingles binary, classes binary, places binary")
+    shared = entries.repartition("place").mapInArrow(_shared(ranges), "shingle long, cls long, pos int, own int")
     shared = scratch.save(shared)
 
-    edges = roots = None
-    for k in range(ROUNDS):
-        left = shared.withColumn("grp", F.col("cls")) if roots is None else _mixed(shared, roots)
-        # a star for each shingle; another centre each round; each class tries the centre it shares most with
-        centre = left.groupBy("shingle").agg(F.min(F.struct(F.xxhash64("cls", F.lit(k)).alias("t"), "cls", "grp", "own")).alias("c"))
-        pairs = left.join(centre, "shingle").filter("grp != c.grp").select(F.col("c.cls").alias("hub"), F.col("c.own").alias("own_hub"), "cls", "own")
-        pairs = pairs.groupBy("hub", "cls").agg(F.count(F.lit(1)).alias("shared"), F.first("own_hub").alias("own_hub"), F.first("own").alias("own"))
-        pairs = pairs.groupBy("cls").agg(F.max(F.struct("shared", "hub", "own_hub", "own")).alias("p")).select("cls", "p.*")
-        found = _verified(pairs, classes, docs, words, percent, scratch)
-        edges = found if edges is None else scratch.save(edges.union(found))
-        roots = components(edges, scratch)
+    # with each class's size, and how many of its entries others have: an original has more than its altered copies
+    of_class = shared.groupBy("cls").agg(F.count(F.lit(1)).alias("degree")).join(classes.select("cls", "n"), "cls")
+    wide = scratch.save(shared.join(of_class, "cls"))
+    scratch.drop(shared)
+    # a star for each shingle; each class tries the centre it shares most with
+    centre = wide.groupBy("shingle").agg(F.max(F.struct("degree", "cls", "own")).alias("c"))
+    pairs = wide.join(centre, "shingle").filter("cls != c.cls").select(F.col("c.cls").alias("hub"), F.col("c.own").alias("own_hub"), "cls", "own")
+    pairs = pairs.groupBy("hub", "cls").agg(F.count(F.lit(1)).alias("shared"), F.first("own_hub").alias("own_hub"), F.first("own").alias("own"))
+    pairs = pairs.groupBy("cls").agg(F.max(F.struct("shared", "hub", "own_hub", "own")).alias("p")).select("cls", "p.*")
+    edges = _verified(pairs, classes, docs, words, percent, scratch)
+    roots = components(edges, scratch)
     # every pair of different groups that shares enough of its prefixes
-    left = scratch.save(_mixed(shared, roots))
-    a = left.select("shingle", F.col("cls").alias("hub"), F.col("grp").alias("grp_hub"), F.col("entry").alias("entry_hub"), F.col("own").alias("own_hub"))
-    pairs = a.join(left, "shingle").filter("hub < cls AND grp != grp_hub")
-    in_both = F.greatest("entry", "entry_hub") <= F.least("own", "own_hub")
-    pairs = pairs.groupBy("hub", "cls").agg(F.count(F.lit(1)).alias("shared"), F.count(F.when(in_both, 1)).alias("matches"),
-                                            F.first("own_hub").alias("own_hub"), F.first("own").alias("own"))
-    pairs = pairs.filter(F.col("matches") >= F.least("own", "own_hub"))
-    edges = edges.union(_verified(pairs, classes, docs, words, percent, scratch))
+    left = scratch.save(_mixed(wide, roots))
+    a, b = (left.select("shingle", *(F.col(c).alias(f"{c}_{k}") for c in ("cls", "grp", "n", "own", "pos"))) for k in "ab")
+    a = a.filter(F.col("pos_a") < F.col("n_a") - F.ceil(2 * F.col("n_a") * percent / (100 + percent)) + F.col("own_a"))  # a is the shorter one
+    apart = (F.col("grp_a") != F.col("grp_b")) & (F.struct("n_a", "cls_a") < F.struct("n_b", "cls_b")) & (F.col("n_a") * 100 >= F.col("n_b") * percent)
+    least = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
+    match = F.least("own_a", "own_b")
+    # the l-prefixes that this pair's sizes ask for; they are parts of both prefixes
+    inside = (F.col("pos_a") < F.col("n_a") - least + match) & (F.col("pos_b") < F.col("n_b") - least + match)
+    pairs = a.join(b, "shingle").filter(apart & inside).groupBy("cls_a", "cls_b").agg(
+        F.count(F.lit(1)).alias("shared"), F.first("own_a").alias("own_hub"), F.first("own_b").alias("own"))
+    pairs = pairs.filter(F.col("shared") >= F.least("own_hub", "own")).select(F.col("cls_a").alias("hub"), F.col("cls_b").alias("cls"), "own_hub", "own")
+    edges = edges.union(_verified(_counted(pairs, left), classes, docs, words, percent, scratch))
     roots = components(edges, scratch)
     return members, roots.select(F.col("node").alias("cls"), "root")
 
 
+def _counted(pairs: DataFrame, entries: DataFrame) -> DataFrame:
+    """Pairs with ``shared``: how many entries of their whole prefixes they have in common."""
+    hub = pairs.join(entries.select(F.col("cls").alias("hub"), "shingle"), "hub")
+    both = hub.join(entries.select("cls", "shingle"), ["cls", "shingle"])
+    return both.groupBy("hub", "cls").agg(F.count(F.lit(1)).alias("shared"), F.first("own_hub").alias("own_hub"), F.first("own").alias("own"))
+
+
 def _mixed(shared: DataFrame, roots: DataFrame) -> DataFrame:
     """Entries, with their class's group, of shingles that classes of more than one group have."""
     known = shared.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("grp", F.coalesce("root", "cls")).drop("root")
