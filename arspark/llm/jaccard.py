@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arspark.llm.common import Scratch
+from arspark.llm.common import Scratch, rows_with_ids
 from arspark.llm.components import components
 from arspark.llm.text import NOT_SPACE, Words, as_bytes, blocks, mix, odd, shingle_sets
 
@@ -240,23 +240,6 @@ def _verify(percent: int):
     return run
 
 
-#: Words of 64 bits in the bitmap that picks candidates' rows before the exact join: at most this many rows are broadcast.
-BITMAP = 1 << 18
-
-
-def rows_with_ids(docs: DataFrame, ids: DataFrame, id_col: str, others: bool = False) -> DataFrame:
-    """Rows of ``docs`` whose id may be among ``ids`` (column of that name): all that are, and a few others.
-
-    ``others``: the remaining rows instead. The broadcast bitmap has ``BITMAP`` rows at most, whatever the tables.
-    """
-    h = F.xxhash64(F.col(id_col), F.lit(3))
-    word, bit = F.pmod(h, F.lit(BITMAP)).cast("int"), F.pmod(F.shiftright(h, 40), F.lit(64)).cast("int")
-    marked = ids.select(word.alias("__word"), bit.alias("__bit")).groupBy("__word").agg(F.bit_or(F.expr("shiftleft(1L, __bit)")).alias("__bits"))
-    found = docs.withColumn("__word", word).withColumn("__bit", bit).join(F.broadcast(marked), "__word", "left")
-    hit = F.expr("coalesce((shiftright(__bits, __bit) & 1L) = 1L, false)")
-    return found.filter(~hit if others else hit).select(*docs.columns)
-
-
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
     """Of pairs of classes, those that link, as (a, b). Columns hub, own_hub, cls, own, and shared: prefix entries in common."""
     size = lambda c: classes.select(F.col("cls").alias(c), F.col("n").alias(f"n_{c}"))
@@ -329,9 +312,9 @@ def classes_of(docs: DataFrame, scratch: Scratch, words: int = 5, percent: int =
 
 def _counted(pairs: DataFrame, entries: DataFrame) -> DataFrame:
     """Pairs with ``shared``: how many entries of their whole prefixes they have in common."""
-    hub = pairs.join(entries.select(F.col("cls").alias("hub"), "shingle"), "hub")
-    both = hub.join(entries.select("cls", "shingle"), ["cls", "shingle"])
-    return both.groupBy("hub", "cls").agg(F.count(F.lit(1)).alias("shared"), F.first("own_hub").alias("own_hub"), F.first("own").alias("own"))
+    lists = entries.groupBy("cls").agg(F.collect_list("shingle").alias("all"))  # a class has no more than its document's prefix
+    both = pairs.join(lists.select(F.col("cls").alias("hub"), F.col("all").alias("all_hub")), "hub").join(lists, "cls")
+    return both.withColumn("shared", F.size(F.array_intersect("all_hub", "all"))).drop("all", "all_hub")
 
 
 def _mixed(shared: DataFrame, roots: DataFrame) -> DataFrame:

@@ -48,8 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arspark.llm.common import Scratch
-from arspark.llm.jaccard import rows_with_ids
+from arspark.llm.common import Scratch, rows_with_ids
 from arspark.llm.text import as_bytes, blocks, mix, odd
 
 #: Bytes looked at together; a longer text goes in overlapping parts. Below 2**24, for positions.

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arspark.llm import decontam, jaccard, langid, packing, suffix_dedup
-from arspark.llm.common import Scratch, crc_fold, table
+from arspark.llm.common import Scratch, crc_fold, rows_with_ids, table
 from arspark.llm.queries import vocabulary_path
 
 
@@ -32,9 +32,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     ids = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("n"))
     touched = ids.filter("NOT stays OR n > 1")
     # most rows pass without a shuffle; a bitmap of fixed size finds those that may go
-    maybe = jaccard.rows_with_ids(docs, touched, "doc_id").join(touched.filter("NOT stays").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    maybe = rows_with_ids(docs, touched, "doc_id").join(touched.filter("NOT stays").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
     once = maybe.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]).union(maybe.filter("doc_id IS NULL"))
-    return jaccard.rows_with_ids(docs, touched, "doc_id", others=True).union(once)
+    return rows_with_ids(docs, touched, "doc_id", others=True).union(once)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
