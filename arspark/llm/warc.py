@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arspark.llm.common import Scratch
+from arspark.llm.common import Scratch, rows_with_ids
 
 # Fixed values of the format.
 MAGIC = re.compile(rb"WARC/1\.[01]\r\n")
@@ -75,8 +75,10 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), html.alias("html"))
     keyed = rows.withColumn("same", F.when(F.octet_length("html") >= min_bytes, F.sha2(F.col("html"), 256)))
-    firsts = keyed.filter("same IS NOT NULL").groupBy("same").agg(F.min("id").alias("first"))
-    flagged = keyed.join(firsts, "same", "left")
+    firsts = keyed.filter("same IS NOT NULL").groupBy("same").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    # only payloads that may have copies are shuffled
+    copies = rows_with_ids(keyed, firsts, "same").join(firsts, "same", "left").select(*keyed.columns, "first")
+    flagged = copies.union(rows_with_ids(keyed, firsts, "same", others=True).withColumn("first", F.lit(None).cast(firsts.schema["first"].dataType)))
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
     out = flagged.select(text("id").alias("page"), F.col("first").cast("string").alias("first"), "url", "html")
     out.mapInArrow(_records, "value string").write.option("maxRecordsPerFile", records_per_file).option("lineSep", "\n").text(path)
@@ -160,5 +162,6 @@ def resolved(records: DataFrame) -> DataFrame:
     """Records with ``full_bytes`` and ``full_digest`` of the payload they stand for: a revisit has those of the response it refers to."""
     own = records.filter("type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("payload_bytes").alias("full_bytes"),
                                                      F.col("payload_digest").alias("full_digest")).dropDuplicates(["refers_to"])
-    joined = records.join(own, "refers_to", "left")
-    return joined.withColumn("full_bytes", F.coalesce("full_bytes", "payload_bytes")).withColumn("full_digest", F.coalesce("full_digest", "payload_digest"))
+    revisits = records.filter("refers_to IS NOT NULL").join(own, "refers_to", "left").select(*records.columns, "full_bytes", "full_digest")
+    rest = records.filter("refers_to IS NULL").select("*", F.col("payload_bytes").alias("full_bytes"), F.col("payload_digest").alias("full_digest"))
+    return rest.union(revisits).withColumn("full_bytes", F.coalesce("full_bytes", "payload_bytes")).withColumn("full_digest", F.coalesce("full_digest", "payload_digest"))
