@@ -38,7 +38,9 @@ def latest_snapshot(df: DataFrame, load_col: str = "LoadDatetimeUTC", distinct_c
     by construction."""
     mx = df.agg(F.max(load_col).alias("__mx"))
     out = df.join(F.broadcast(mx), F.col(load_col) == F.col("__mx"), "inner").drop("__mx")
-    return out.dropDuplicates(distinct_cols) if distinct_cols else out.dropDuplicates()
+    # VARIANT values can't be compared: rows are told apart by the other columns
+    plain = [f.name for f in out.schema.fields if f.dataType.typeName() != "variant"]
+    return out.dropDuplicates(list(distinct_cols) if distinct_cols else plain)
 
 
 def latest_batch(df: DataFrame, by: str = "OfficeID", load_col: str = "LoadDatetimeUTC") -> DataFrame:
@@ -60,10 +62,10 @@ def recent_window(df: DataFrame, now, hours: int = 48, load_col: str = "LoadDate
 
 
 def changed_or_added(df: DataFrame, key, updated: str, added: str, lo, hi) -> DataFrame:
-    """Records updated OR created inside [lo, hi], one row per key."""
+    """Records updated OR created inside [lo, hi]; of several versions of a key the last updated (ties: last added)."""
     lo_c, hi_c = F.lit(lo), F.lit(hi)
     cond = F.col(updated).between(lo_c, hi_c) | F.col(added).between(lo_c, hi_c)
-    return df.filter(cond).dropDuplicates(_names(key))
+    return latest_per_key(df.filter(cond), key, updated, [added])
 
 
 def cdc_window(last_run, now, overlap_minutes: int = 15, first_run_hours: int = 2) -> Column:
@@ -98,7 +100,11 @@ def lag_split(df: DataFrame, group: Sequence[str], split: str, order: str, value
     w_b = Window.partitionBy(*g).orderBy(F.col(split).asc_nulls_first())
     prev_b = last.withColumn("__prev_b", F.lag("__last").over(w_b)).drop("__last")
     # a NULL split bucket sorts first, so its previous bucket is NULL anyway
-    j = rows.join(prev_b, [*g, split], "left")
+    # null-safe: a NULL group is a group like any other, as in the window
+    names = [*g, split]
+    prev_b = prev_b.select(*(F.col(c).alias(f"__k{k}") for k, c in enumerate(names)), "__prev_b")
+    same = [F.col(c).eqNullSafe(F.col(f"__k{k}")) for k, c in enumerate(names)]
+    j = rows.join(prev_b, same, "left").drop(*(f"__k{k}" for k in range(len(names))))
     return j.withColumn(out, F.when(F.col("__first"), F.col("__prev_b")).otherwise(F.col("__prev_in"))) \
         .drop("__prev_in", "__first", "__prev_b")
 

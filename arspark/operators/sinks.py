@@ -47,9 +47,10 @@ def merge_latest(target: DataFrame, source: DataFrame, key, version: str = "last
                  tie_breakers: Sequence[str] = ()) -> DataFrame:
     """MERGE semantics as a DataFrame: for every key keep the newest version
     from target or source (an older source row never replaces a newer target
-    row, so replaying batches in any order gives the same table)."""
-    both = target.unionByName(source, allowMissingColumns=True)
-    return latest_per_key(both, key, version, tie_breakers)
+    row, so replaying batches in any order gives the same table). At an equal
+    version the source wins, so a corrected replay takes effect."""
+    both = target.withColumn("__side", F.lit(0)).unionByName(source.withColumn("__side", F.lit(1)), allowMissingColumns=True)
+    return latest_per_key(both, key, version, ["__side", *tie_breakers]).drop("__side")
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:

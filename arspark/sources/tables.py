@@ -17,10 +17,6 @@ TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "li
                "conversations")
 
 
-# Fact-sized tables worth redistributing when stored in too few splits.
-SPREAD_IF_FEW_SPLITS = ("lineitem", "orders", "events")
-
-
 @dataclass
 class Tables:
     spark: SparkSession
@@ -29,20 +25,7 @@ class Tables:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
-            df = self.spark.read.parquet(os.path.join(self.root, f"{name}.parquet"))
-            # A table stored as fewer splits than the cluster has cores (one file
-            # with one row group) would run every map-side stage in a handful of
-            # tasks; spread it once after the scan. Large tables have many
-            # splits and are left alone. Column pruning and filters still reach
-            # the scan below the repartition.
-            if name in SPREAD_IF_FEW_SPLITS:
-                try:
-                    want = self.spark.sparkContext.defaultParallelism
-                    if df.rdd.getNumPartitions() < want:
-                        df = df.repartition(want)
-                except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): keep the scan as is
-                    pass
-            self._cache[name] = df
+            self._cache[name] = self.spark.read.parquet(os.path.join(self.root, f"{name}.parquet"))
         return self._cache[name]
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -51,17 +34,9 @@ class Tables:
         return self.table(name)
 
 
-_OPEN: dict = {}
-
-
 def load_tables(spark: SparkSession, root: str) -> Tables:
-    """Table readers for ``root``, shared by every query of the same session
-    (file listing and footer reads happen once per table, not per query)."""
+    """Table readers for ``root``: files are listed anew for each call, so a long session sees new ones."""
     # Timestamps in these files are zone-less (TIMESTAMP_NTZ); pin UTC anyway so
     # any zone-aware conversion gives the same answer on every executor.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    key = (id(spark), os.path.abspath(root))
-    hit = _OPEN.get(key)
-    if hit is None or hit.spark is not spark:
-        hit = _OPEN[key] = Tables(spark, root)
-    return hit
+    return Tables(spark, root)
