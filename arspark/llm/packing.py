@@ -34,7 +34,7 @@ from arspark.llm.common import Scratch
 from arspark.llm.text import as_bytes, blocks
 from arspark.llm.tokens import word_encoder
 
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 
 
 class CapacityTree:

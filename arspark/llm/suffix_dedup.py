@@ -52,7 +52,7 @@ from arspark.llm.common import Scratch, rows_with_ids
 from arspark.llm.text import as_bytes, blocks, mix, odd
 
 #: Bytes looked at together; a longer text goes in overlapping parts. Below 2**24, for positions.
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 #: Contexts of one gram that one task merges, and rows merged at a time at least.
 MOST, AT_ONCE = 100_000, 4096
 _BASE = 0x5851F42D4C957F2D

@@ -18,7 +18,7 @@ import numpy as np
 from arspark.llm.text import LOWER, NOT_SPACE, hash_slices
 
 #: Pieces kept in a worker's store; a full store is emptied.
-STORE_PIECES = 700_000
+STORE_PIECES = 300_000
 
 
 def byte_chars() -> dict[int, int]:
