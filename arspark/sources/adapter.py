@@ -40,12 +40,7 @@ def _label(col, pairs):
 
 
 class Domain:
-    """Entity DataFrames derived from the driver tables (built lazily, once).
-
-    ``Domain.of(tables)`` returns one shared instance per table set, so every
-    query of a session reuses the same entity plans."""
-
-    _shared: dict = {}
+    """Entity DataFrames derived from the driver tables (built lazily, once for each instance)."""
 
     def __init__(self, tables: Tables):
         self.t = tables
@@ -53,10 +48,7 @@ class Domain:
 
     @classmethod
     def of(cls, tables: Tables) -> "Domain":
-        d = cls._shared.get(id(tables))
-        if d is None or d.t is not tables:
-            d = cls._shared[id(tables)] = cls(tables)
-        return d
+        return cls(tables)
 
     def persist(self, *names: str) -> "Domain":
         """Keep entities that several marts of one dashboard read (memory, then
