@@ -137,6 +137,7 @@ def _pieces(tokenizer: str, most: int, end_id: int, with_ids: bool):
                     cols.append(pa.array(out, pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names)
+        enc.empty()
     return run
 
 

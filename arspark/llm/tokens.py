@@ -49,9 +49,10 @@ class WordEncoder:
         self.full = Tokenizer.from_file(path)
         self.model = self.full.model
         self.chars = byte_chars()
-        self._empty()
+        self.empty()
 
-    def _empty(self) -> None:
+    def empty(self) -> None:
+        """Forget all pieces; a worker that waits for other work holds no store."""
         self.entry: dict[int, int] = {}
         self.ids = np.zeros(1 << 20, dtype=np.uint32)
         self.used = 0
@@ -128,7 +129,7 @@ class WordEncoder:
         keys = hash_slices(data, starts, ends) ^ (kind == 3).astype(np.uint64)
         keys, where, back = np.unique(keys, return_index=True, return_inverse=True)
         if len(self.entry) > STORE_PIECES:
-            self._empty()
+            self.empty()
         get, listed = self.entry.get, keys.tolist()
         entry = np.array([get(k, -1) for k in listed], dtype=np.int64)
         new = np.flatnonzero(entry < 0)
