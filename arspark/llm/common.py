@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +63,19 @@ class Scratch:
         self.close()
 
 
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` over a task's batches; then the worker, which may wait idle beside others, hands its free memory back."""
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library on Linux
+            if trim:
+                trim(0)
+    return tidy
+
+
 def crc_fold(id_col: str, folds: int) -> Column:
     """crc32 of the id written as text, modulo ``folds``; a null id is in no fold (null)."""
     return F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(folds))

@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from arspark.llm.common import released
 from arspark.llm.text import ALNUM, Words, as_bytes, blocks, grams
 
 #: Words of a shingle. A window of fewer words is its own shingle.
@@ -233,17 +234,17 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
             continue
         searched = True
         sent = spark.sparkContext.broadcast(index)
-        seen = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_count(sent), "n int, shingle long, seen long")
+        seen = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(released(_count(sent)), "n int, shingle long, seen long")
         counts = {n: np.zeros(len(s), np.int64) for n, s in index.shingles.items()}
         # at most one row for each shingle of the block
         for r in seen.groupBy("n", "shingle").agg(F.sum("seen").alias("seen")).toLocalIterator():
             counts[r["n"]][r["shingle"]] = r["seen"]
         index.choose(counts)
         chosen = spark.sparkContext.broadcast(index)
-        rows = rows.mapInArrow(_search(chosen), rows.schema)
+        rows = rows.mapInArrow(released(_search(chosen)), rows.schema)
     kept = [f for f in base.fields if keep_text or f.name != "text"]
     schema = T.StructType([*kept, *T.StructType.fromDDL(
         "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<array<long>>, items array<string>").fields])
-    out = rows.mapInArrow(_report(keep_text), schema)
+    out = rows.mapInArrow(released(_report(keep_text)), schema)
     names = {"__id": id_col, "text": text_col} | {f"__c{k}": c for k, c in enumerate(extra)}
     return out.select(*(F.col(f.name).alias(names.get(f.name, f.name)) for f in schema.fields))

@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arspark.llm.common import Scratch, rows_with_ids
+from arspark.llm.common import Scratch, released, rows_with_ids
 from arspark.llm.components import components
 from arspark.llm.text import NOT_SPACE, Words, as_bytes, blocks, mix, odd, shingle_sets
 
@@ -256,9 +256,9 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int
     uses = member.union(own).join(classes.select("cls", F.col("first").alias("id")), "cls")
     uses = scratch.save(uses.select("id", "cls", F.struct("hub", "part", "member").alias("use")))
     rows = rows_with_ids(texts, uses.select("id").distinct(), "id").join(uses, "id").select("use", "cls", "text")
-    sets = rows.mapInArrow(_whole_sets(words), "hub long, part int, member int, cls long, vals binary")
+    sets = rows.mapInArrow(released(_whole_sets(words)), "hub long, part int, member int, cls long, vals binary")
     sets = sets.repartition("hub", "part").sortWithinPartitions("hub", "part", "member")
-    edges = scratch.save(sets.mapInArrow(_verify(percent), "a long, b long").distinct())
+    edges = scratch.save(sets.mapInArrow(released(_verify(percent)), "a long, b long").distinct())
     scratch.drop(near, uses)
     return edges
 
@@ -268,18 +268,18 @@ def classes_of(docs: DataFrame, scratch: Scratch, words: int = 5, percent: int =
     spark = docs.sparkSession
     kind = docs.schema["id"].dataType
     found = T.StructType([T.StructField("id", kind), *T.StructType.fromDDL("cls long, n long, chunk int, counts binary").fields])
-    profile = scratch.save(docs.mapInArrow(_profile(words), found))
+    profile = scratch.save(docs.mapInArrow(released(_profile(words)), found))
     counts = np.zeros((1 << (SKETCH_BITS - CHUNK_BITS), 1 << CHUNK_BITS), dtype=np.int64)
     # as many rows as the sketch has chunks
-    for r in profile.filter("chunk IS NOT NULL").select("chunk", "counts").repartition("chunk").mapInArrow(_sum_chunks, "chunk int, counts binary").collect():
+    for r in profile.filter("chunk IS NOT NULL").select("chunk", "counts").repartition("chunk").mapInArrow(released(_sum_chunks), "chunk int, counts binary").collect():
         counts[r["chunk"]] = np.frombuffer(zlib.decompress(r["counts"]), dtype=np.int64)
     level = spark.sparkContext.broadcast(levels_of(counts.ravel()))
     members = profile.filter("chunk IS NULL").select("id", "cls", "n")
     classes = scratch.save(members.filter("n > 0 AND id IS NOT NULL").groupBy("cls").agg(F.min("id").alias("first"), F.min("n").alias("n")))
 
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    entries = docs.mapInArrow(_entries(words, percent, level, ranges), "place int, shingles binary, classes binary, places binary")
-    shared = entries.repartition("place").mapInArrow(_shared(ranges), "shingle long, cls long, pos int, own int")
+    entries = docs.mapInArrow(released(_entries(words, percent, level, ranges)), "place int, shingles binary, classes binary, places binary")
+    shared = entries.repartition("place").mapInArrow(released(_shared(ranges)), "shingle long, cls long, pos int, own int")
     shared = scratch.save(shared)
 
     # with each class's size, and how many of its entries others have: an original has more than its altered copies

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from arspark.llm.common import released
 from arspark.llm.subword import Model, Space, examples, fit, sampled, softmax
 from arspark.llm.text import as_bytes, blocks
 
@@ -83,5 +84,5 @@ def identify(docs: DataFrame, model: tuple[Model, float], text_col: str = "text"
     rows = docs.select(*(F.col(c).alias(k) for k, c in names.items()), text.alias("text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("some"))
     schema = T.StructType([f for f in rows.schema.fields if f.name != "some"]
                           + T.StructType.fromDDL("lang_pred string, score double, rejected boolean").fields)
-    out = rows.mapInArrow(_predict(sent), schema)
+    out = rows.mapInArrow(released(_predict(sent)), schema)
     return out.select(*(F.col(k).alias(c) for k, c in names.items()), "lang_pred", "score", "rejected")

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from arspark.llm.common import released
 from arspark.llm.text import NOT_SPACE, Words, as_bytes, blocks
 
 BITS = 16
@@ -173,13 +174,13 @@ def fit(docs: DataFrame, text_col: str = "text", rounds: int = 2, stride: int =
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
     counts = np.zeros(1 << BITS, dtype=np.int64)
     # 2**BITS rows at most
-    for r in texts.mapInArrow(_count, "type long, n long").groupBy("type").agg(F.sum("n").alias("n")).collect():
+    for r in texts.mapInArrow(released(_count), "type long, n long").groupBy("type").agg(F.sum("n").alias("n")).collect():
         counts[r["type"]] = r["n"]
     vocabulary = Vocabulary(counts)
     weights = start(vocabulary)
     for k in range(rounds):
         sent = spark.sparkContext.broadcast((vocabulary, weights))
-        got = texts.mapInArrow(_train(sent, stride, rate / (k + 1)), "k long, value double, seen double")
+        got = texts.mapInArrow(released(_train(sent, stride, rate / (k + 1))), "k long, value double, seen double")
         # as many rows as the model has weights
         mean = got.groupBy("k").agg((F.sum("value") / F.sum("seen")).alias("value")).collect()
         if mean:
@@ -213,5 +214,5 @@ def score(docs: DataFrame, model: tuple[Vocabulary, np.ndarray], text_col: str =
     rows = docs.select(*(F.col(c).alias(k) for k, c in names.items()), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([f for f in rows.schema.fields if f.name != "text"]
                           + T.StructType.fromDDL("n_words long, log_prob double, mean_log_prob double").fields)
-    out = rows.mapInArrow(_score(sent), schema)
+    out = rows.mapInArrow(released(_score(sent)), schema)
     return out.select(*(F.col(k).alias(c) for k, c in names.items()), "n_words", "log_prob", "mean_log_prob")

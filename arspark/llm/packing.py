@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arspark.llm.common import Scratch
+from arspark.llm.common import Scratch, released
 from arspark.llm.text import as_bytes, blocks
 from arspark.llm.tokens import word_encoder
 
@@ -177,7 +177,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     fields += [T.StructField("ids", T.ArrayType(T.IntegerType()))] * with_ids
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     scratch = Scratch(spark, "pack")
-    pieces = scratch.save(rows.mapInArrow(_pieces(tokenizer, max_tokens, end_id, with_ids), T.StructType(fields)), keep=True)
+    pieces = scratch.save(rows.mapInArrow(released(_pieces(tokenizer, max_tokens, end_id, with_ids)), T.StructType(fields)), keep=True)
     per_task = pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
     # one row for each length and task
     before = per_task.select("length", "task", (F.sum("n").over(Window.partitionBy("length").orderBy("task")) - F.col("n")).alias("before"))
@@ -187,7 +187,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     names = ["id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
     ranked = ranked.select(*names, "rank")
     schema = T.StructType([ranked.schema[c] for c in names] + [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return ranked.mapInArrow(_place(runs), schema).withColumnRenamed("id", id_col)
+    return ranked.mapInArrow(released(_place(runs)), schema).withColumnRenamed("id", id_col)
 
 
 def sequences(packed: DataFrame, end: str = "ids") -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from arspark.llm.common import released
 from arspark.llm.subword import Model, Space, examples, fit, sampled, softmax
 from arspark.llm.text import as_bytes, blocks
 
@@ -62,5 +63,5 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", carry: tuple[st
     names = {f"__c{k}": c for k, c in enumerate(carry)}
     rows = docs.select(*(F.col(c).alias(k) for k, c in names.items()), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([f for f in rows.schema.fields if f.name != "text"] + [T.StructField("score", T.DoubleType())])
-    out = rows.mapInArrow(_score(sent), schema)
+    out = rows.mapInArrow(released(_score(sent)), schema)
     return out.select(*(F.col(k).alias(c) for k, c in names.items()), "score")

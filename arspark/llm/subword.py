@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from arspark.llm.common import released
 from arspark.llm.text import NOT_SPACE, Words, as_bytes, grams, mix
 
 PAD = 4
@@ -154,7 +155,7 @@ def sampled(rows: DataFrame, label: Column, key: Column, per_label: int) -> Data
 def examples(sample: DataFrame, space: Space) -> list[tuple]:
     """(label, feature indexes, weights) of a bounded sample with columns label and text, in a fixed order."""
     kind = sample.schema["label"].dataType.simpleString()
-    rows = sample.select("label", "text").mapInArrow(_examples(space), f"label {kind}, idx binary, weight binary").collect()
+    rows = sample.select("label", "text").mapInArrow(released(_examples(space)), f"label {kind}, idx binary, weight binary").collect()
     rows.sort(key=lambda r: (str(r["label"]), r["idx"], r["weight"]))
     return [(r["label"], np.frombuffer(r["idx"], np.int32), np.frombuffer(r["weight"], np.float32)) for r in rows]
 

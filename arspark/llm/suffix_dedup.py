@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arspark.llm.common import Scratch, rows_with_ids
+from arspark.llm.common import Scratch, released, rows_with_ids
 from arspark.llm.text import as_bytes, blocks, mix, odd
 
 #: Bytes looked at together; a longer text goes in overlapping parts. Below 2**24, for positions.
@@ -315,7 +315,7 @@ def _windows(length: int):
 def repeated_spans(texts: DataFrame, scratch: Scratch, length: int = 400, most: int = MOST) -> DataFrame:
     """(key, spans) of texts with repeated strings; ``texts`` has columns key (a hash of the text) and text."""
     long_enough = texts.filter(F.octet_length("text") >= length)
-    found = scratch.save(long_enough.mapInArrow(_anchors(length), "gram long, ctx long, lead int, wins int, key long, at long"))
+    found = scratch.save(long_enough.mapInArrow(released(_anchors(length)), "gram long, ctx long, lead int, wins int, key long, at long"))
     # a table of its own, so that the join can split a gram with very many stretches
     twice = scratch.save(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"))
     shared = scratch.save(found.join(twice, "gram", "left_semi"))
@@ -327,15 +327,15 @@ def repeated_spans(texts: DataFrame, scratch: Scratch, length: int = 400, most:
     asked = by_ctx.join(mixed, "gram").select("m.key", F.struct("gram", "ctx", "m.at", "m.lead", "m.wins").alias("x"))
     asked = scratch.save(asked.groupBy("key").agg(F.collect_list("x").alias("asked")))  # as many as a text has stretches at most
     rows = rows_with_ids(long_enough, asked.select("key"), "key").groupBy("key").agg(F.first("text").alias("text")).join(asked, "key")
-    contexts = rows.mapInArrow(_contexts(length), "gram long, ctx long, lead int, wins int, key long, at long, bytes binary")
+    contexts = rows.mapInArrow(released(_contexts(length)), "gram long, ctx long, lead int, wins int, key long, at long, bytes binary")
     heavy = mixed.filter(F.col("n_ctx") > most).select("gram")
     if heavy.isEmpty():
-        merged = contexts.repartition("gram").sortWithinPartitions("gram").mapInArrow(_merge(length), "key long, a long, b long")
+        merged = contexts.repartition("gram").sortWithinPartitions("gram").mapInArrow(released(_merge(length)), "key long, a long, b long")
     else:
         contexts = scratch.save(contexts)
         light = contexts.join(heavy, "gram", "left_anti").repartition("gram").sortWithinPartitions("gram")
-        merged = light.mapInArrow(_merge(length), "key long, a long, b long")
-        windows = contexts.join(heavy, "gram", "left_semi").dropDuplicates(["gram", "ctx"]).mapInArrow(_windows(length), "gram long, h long, key long, a long")
+        merged = light.mapInArrow(released(_merge(length)), "key long, a long, b long")
+        windows = contexts.join(heavy, "gram", "left_semi").dropDuplicates(["gram", "ctx"]).mapInArrow(released(_windows(length)), "gram long, h long, key long, a long")
         again = windows.groupBy("gram", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram", "h")
         merged = merged.union(windows.join(again, ["gram", "h"], "left_semi").select("key", "a", (F.col("a") + length).alias("b")))
     spans = whole.union(merged).distinct()
@@ -384,5 +384,5 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 400, c
     none = rows_with_ids(rows, spans.select("key"), "key", others=True).withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
     schema = T.StructType([rows.schema[k] for k in names]
                           + T.StructType.fromDDL("n_bytes long, n_removed long, n_spans long, kept_sha256 string" + {None: "", "bytes": ", kept binary", "text": ", kept string"}[keep]).fields)
-    out = maybe.union(none).mapInArrow(_cut(keep), schema)
+    out = maybe.union(none).mapInArrow(released(_cut(keep)), schema)
     return out.select(*(F.col(k).alias(c) for k, c in names.items()), *(F.col(f.name) for f in schema.fields[len(names):]))

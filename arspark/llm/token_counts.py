@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from arspark.llm.common import released
 from arspark.llm.text import as_bytes, blocks
 from arspark.llm.tokens import byte_encoder
 
@@ -99,4 +100,4 @@ def section_tokens(docs: DataFrame, vocabulary: str, pattern: str, id_col: str =
     fields = [T.StructField("id", docs.schema[id_col].dataType)]
     fields += [T.StructField(c, T.LongType()) for c in ("section", "start_char", "end_char", "n_tokens", "n_crossing")]
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_count(vocabulary, pattern, rule), T.StructType(fields)).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(released(_count(vocabulary, pattern, rule)), T.StructType(fields)).withColumnRenamed("id", id_col)

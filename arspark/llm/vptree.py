@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arspark.llm.common import Scratch
+from arspark.llm.common import Scratch, released
 
 LEAF = 128
 
@@ -172,7 +172,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, factor: float = 1
         # each block goes to each shard by the shard's number
         sent = packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
         jobs = sent.join(trees, "shard").repartition(shards * blocks, "shard", "block").select("tree", "queries")
-        found = scratch.save(jobs.mapInArrow(_search(k, factor), "query_id long, id long, score double"), keep=True)
+        found = scratch.save(jobs.mapInArrow(released(_search(k, factor)), "query_id long, id long, score double"), keep=True)
     return best_of(found, k)
 
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arspark.llm.common import Scratch, rows_with_ids
+from arspark.llm.common import Scratch, released, rows_with_ids
 
 # Fixed values of the format.
 MAGIC = re.compile(rb"WARC/1\.[01]\r\n")
@@ -81,7 +81,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     flagged = copies.union(rows_with_ids(keyed, firsts, "same", others=True).withColumn("first", F.lit(None).cast(firsts.schema["first"].dataType)))
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
     out = flagged.select(text("id").alias("page"), F.col("first").cast("string").alias("first"), "url", "html")
-    out.mapInArrow(_records, "value string").write.option("maxRecordsPerFile", records_per_file).option("lineSep", "\n").text(path)
+    out.mapInArrow(released(_records), "value string").write.option("maxRecordsPerFile", records_per_file).option("lineSep", "\n").text(path)
 
 
 def _header(data: bytes, at: int) -> tuple[dict[str, str], int] | None:
@@ -153,7 +153,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*[!_SUCCESS]").load(path).select("path", "content")
     ddl = DDL + (", payload binary" if with_payload else "")
     with Scratch(spark, "warc-read") as scratch:
-        candidates = scratch.save(files.mapInArrow(_candidates(with_payload), ddl), keep=True)
+        candidates = scratch.save(files.mapInArrow(released(_candidates(with_payload)), ddl), keep=True)
         on = scratch.save(reachable(candidates, scratch), keep=True)
     return candidates.join(on, ["file", "off"])
 
