@@ -22,16 +22,19 @@ DEFAULT_AS_OF = "2001-08-01"
 
 
 # ----------------------------------------------------------------- aging
+def open_tickets(d: Domain, as_of=DEFAULT_AS_OF) -> DataFrame:
+    """Open, active invoices with their age in days; marts that need no attributes start here."""
+    t = d.ticket().filter((F.col("balance") > 0) & (F.col("isActive") == F.lit(True)))
+    return t.select("ticketID", "customerID", "officeID", "invoiceDate", F.col("total").alias("invoiceAmount"),
+                    F.col("balance").alias("currentBalance"), "serviceID",
+                    days_between("invoiceDate", as_date(as_of)).alias("ageDays"))
+
+
 def ar_aging(d: Domain, as_of=DEFAULT_AS_OF) -> DataFrame:
     """Open, active invoices with age in days, 5 buckets and customer/office/
     service attributes (left joins; office is a fixed-size dimension -> broadcast)."""
-    today = as_date(as_of)
-    t = d.ticket().filter((F.col("balance") > 0) & (F.col("isActive") == F.lit(True)))
-    age = days_between("invoiceDate", today)
-    tb = t.select("ticketID", "customerID", "officeID", "invoiceDate",
-                  F.col("total").alias("invoiceAmount"), F.col("balance").alias("currentBalance"),
-                  "serviceID", age.alias("ageDays"), age_bucket(age).alias("ageBucket"),
-                  age_bucket_sort(age).alias("ageBucketSort"))
+    age = F.col("ageDays")
+    tb = open_tickets(d, as_of).select("*", age_bucket(age).alias("ageBucket"), age_bucket_sort(age).alias("ageBucketSort"))
     c = d.customer().select("customerID", "fName", "lName", "companyName", "regionID", "phone1", "email",
                             "address", "city", "state", F.col("status").alias("customerStatus"))
     o = F.broadcast(d.office().select("officeID", "officeName"))
@@ -86,8 +89,7 @@ def dso_metrics(d: Domain, as_of=DEFAULT_AS_OF) -> DataFrame:
     """Per office: AR total and split at 60 days, counts, 90-day average daily
     applied revenue, DSO = AR / average daily revenue."""
     today = as_date(as_of)
-    a = ar_aging(d, as_of)
-    m = a.groupBy("officeID", "officeName").agg(
+    m = open_tickets(d, as_of).groupBy("officeID").agg(
         F.sum("currentBalance").alias("totalAR"),
         sum_when(F.col("ageDays") <= 60, "currentBalance").alias("arUnder60"),
         sum_when(F.col("ageDays") > 60, "currentBalance").alias("arOver60"),
@@ -95,7 +97,8 @@ def dso_metrics(d: Domain, as_of=DEFAULT_AS_OF) -> DataFrame:
         F.count(F.lit(1)).alias("totalAccounts"))
     r = d.applied_payment().filter(F.col("dateApplied") >= F.date_add(today, -90)) \
         .groupBy("officeID").agg((F.sum("appliedAmount").cast("double") / F.lit(90.0)).alias("avgDailyRevenue"))
-    j = m.join(r, "officeID", "left")
+    o = F.broadcast(d.office().select("officeID", "officeName"))
+    j = m.join(r, "officeID", "left").join(o, "officeID", "left")
     return j.select(month_start(today).alias("reportMonth"), "officeID", "officeName", "totalAR",
                     "arUnder60", "arOver60", pct("arOver60", "totalAR").alias("percentOver60Days"),
                     "accountsOver60", "totalAccounts", "avgDailyRevenue",
@@ -270,22 +273,21 @@ def payment_declines(d: Domain, as_of=DEFAULT_AS_OF) -> DataFrame:
 
 def revenue_leakage(d: Domain, as_of=DEFAULT_AS_OF) -> DataFrame:
     """Discounts + write-offs + declines by office/month/category/service.
-    Month payment totals repeat for every service line of the month (as written)."""
-    t = d.ticket()
+    Month payment totals repeat for every service line of the month (as written).
+    Tickets are summed per office, month and service before any join."""
     st = d.service_type().select(F.col("serviceTypeID").alias("serviceID"), "serviceTypeName",
                                  F.col("category").alias("serviceCategory"))
-    td = t.join(st, "serviceID", "left").select(
-        "officeID", "ticketID", month_start("invoiceDate").alias("revenueMonth"), "subtotal", "total",
-        F.when(F.col("subtotal") > F.col("total"), F.col("subtotal") - F.col("total")).otherwise(F.lit(0))
-        .alias("discountAmount"), "serviceTypeName", "serviceCategory")
+    discount = F.when(F.col("subtotal") > F.col("total"), F.col("subtotal") - F.col("total")).otherwise(F.lit(0))
+    by_service = d.ticket().groupBy("officeID", month_start("invoiceDate").alias("revenueMonth"), "serviceID").agg(
+        F.count("ticketID").alias("n"), F.sum("subtotal").alias("gross"), F.sum("total").alias("net"),
+        F.sum(discount).alias("discount"))
+    td = by_service.join(st, "serviceID", "left").groupBy("officeID", "revenueMonth", "serviceCategory", "serviceTypeName").agg(
+        F.sum("n").alias("ticketCount"), F.sum("gross").alias("grossRevenue"), F.sum("net").alias("netRevenue"),
+        F.sum("discount").alias("totalDiscounts"))
     pd_ = d.payment().groupBy("officeID", month_start("paymentDate").alias("revenueMonth")).agg(
         sum_when(F.col("writeoff") == F.lit(True), "amount").alias("writeoffAmount"),
         sum_when(F.col("status") == 2, "amount").alias("declinedAmount"))
-    j = td.join(pd_, ["officeID", "revenueMonth"], "left")
-    g = j.groupBy("officeID", "revenueMonth", "serviceCategory", "serviceTypeName", "writeoffAmount",
-                  "declinedAmount").agg(
-        F.countDistinct("ticketID").alias("ticketCount"), F.sum("subtotal").alias("grossRevenue"),
-        F.sum("total").alias("netRevenue"), F.sum("discountAmount").alias("totalDiscounts"))
+    g = td.join(pd_, ["officeID", "revenueMonth"], "left")
     wo = F.coalesce(F.col("writeoffAmount"), F.lit(0))
     de = F.coalesce(F.col("declinedAmount"), F.lit(0))
     leak = F.col("totalDiscounts") + wo + de
@@ -299,9 +301,9 @@ def revenue_leakage(d: Domain, as_of=DEFAULT_AS_OF) -> DataFrame:
 def agency_performance(d: Domain, as_of=DEFAULT_AS_OF) -> DataFrame:
     """Accounts over 120 days, recoveries after placement, rates, net of fee."""
     today = as_date(as_of)
-    aa = ar_aging(d, as_of).filter(F.col("ageDays") > 120).groupBy("customerID", "officeID").agg(
+    aa = open_tickets(d, as_of).filter(F.col("ageDays") > 120).groupBy("customerID", "officeID").agg(
         F.sum("currentBalance").alias("placedAmount"), F.min("invoiceDate").alias("oldestInvoiceDate"),
-        F.countDistinct("ticketID").alias("placedInvoices"))
+        F.count("ticketID").alias("placedInvoices"))
     ap = d.applied_payment().select("customerID", "paymentID", "dateApplied", "appliedAmount")
     after = F.col("dateApplied") > F.date_add("oldestInvoiceDate", 120)
     rec = aa.join(ap, "customerID", "left").groupBy("customerID", "officeID", "placedAmount", "placedInvoices").agg(
@@ -321,23 +323,23 @@ def agency_performance(d: Domain, as_of=DEFAULT_AS_OF) -> DataFrame:
 
 def ar_rep_productivity(d: Domain, as_of=DEFAULT_AS_OF) -> DataFrame:
     """Dials, contacts and collections per rep and day over the last 30 days.
-    Notes join payments on (employee, day); payment amounts repeat per note
-    (as written)."""
-    today = as_date(as_of)
-    n = d.note().filter(F.col("dateCreated") >= F.date_add(today, -30)) \
-        .select("noteID", "employeeID", "typeID", F.to_date("dateCreated").alias("activityDate"))
-    p = d.payment().select(F.col("employeeID").alias("p_emp"), F.col("paymentDate").alias("p_day"),
-                           "paymentID", "amount", F.col("customerID").alias("p_cust"))
-    c = d.customer().select(F.col("customerID").alias("p_cust"), "autopayPaymentProfileID")
-    j = n.join(p, (F.col("employeeID") == F.col("p_emp")) & (F.col("activityDate") == F.col("p_day")), "left") \
-        .join(c, "p_cust", "left")
-    da = j.groupBy("employeeID", "activityDate").agg(
-        F.countDistinct(F.when(F.col("typeID").isin(1, 2, 3), F.col("noteID"))).alias("totalDials"),
-        F.countDistinct(F.when(F.col("typeID") == 4, F.col("noteID"))).alias("totalContacts"),
-        F.countDistinct("paymentID").alias("paymentsCollected"),
-        F.sum("amount").alias("amountCollected"),
-        F.countDistinct(F.when(F.col("autopayPaymentProfileID").isNotNull(), F.col("paymentID")))
-        .alias("autopayPayments"))
+    Payment amounts repeat per note of the (employee, day), as written: both
+    sides are summed first and the day's amount is taken once a note, so notes
+    never meet payments row by row."""
+    first_day = F.date_add(as_date(as_of), -30)
+    key = ["employeeID", "activityDate"]
+    n = d.note().filter(F.col("dateCreated") >= first_day).groupBy(
+        "employeeID", F.to_date("dateCreated").alias("activityDate")).agg(
+        F.count(F.lit(1)).alias("_notes"), count_when(F.col("typeID").isin(1, 2, 3)).alias("totalDials"),
+        count_when(F.col("typeID") == 4).alias("totalContacts"))
+    c = d.customer().select("customerID", "autopayPaymentProfileID")
+    p = d.payment().filter(F.col("paymentDate") >= first_day).join(c, "customerID", "left").groupBy(
+        "employeeID", F.col("paymentDate").alias("activityDate")).agg(
+        F.count("paymentID").alias("_n"), F.sum("amount").alias("_amount"),
+        count_when(F.col("autopayPaymentProfileID").isNotNull()).alias("_auto"))
+    da = n.join(p, key, "left").select(
+        *key, "totalDials", "totalContacts", F.coalesce("_n", F.lit(0)).alias("paymentsCollected"),
+        (F.col("_amount") * F.col("_notes")).alias("amountCollected"), F.coalesce("_auto", F.lit(0)).alias("autopayPayments"))
     e = d.employee().select("employeeID", "fName", "lName")
     j2 = da.join(e, "employeeID", "left")
     return j2.select("employeeID", "fName", "lName", "activityDate", "totalDials", "totalContacts",
@@ -356,11 +358,12 @@ def ar_program_performance(d: Domain, as_of=DEFAULT_AS_OF) -> DataFrame:
     pm = d.applied_payment().filter(F.col("dateApplied") >= F.add_months(today, -6)) \
         .groupBy(month_start("dateApplied").alias("reportMonth"), "officeID",
                  F.col("dateApplied").alias("collectionDate")) \
-        .agg(F.sum("appliedAmount").alias("dailyCollected"), F.countDistinct("customerID").alias("customersCollected"))
-    aar = ar_aging(d, as_of).groupBy("officeID").agg(F.sum("currentBalance").alias("totalAvailableAR")) \
+        .agg(F.sum("appliedAmount").alias("dailyCollected"))
+    aar = open_tickets(d, as_of).groupBy("officeID").agg(F.sum("currentBalance").alias("totalAvailableAR")) \
         .withColumn("reportMonth", month_start(today))
-    g = pm.join(aar, ["officeID", "reportMonth"], "left").groupBy("reportMonth", "officeID", "totalAvailableAR").agg(
+    g = pm.groupBy("reportMonth", "officeID").agg(
         avg_exact("dailyCollected").alias("avgDailyCollected"), F.sum("dailyCollected").alias("monthlyCollected"))
+    g = g.join(aar, ["officeID", "reportMonth"], "left")
     return g.select("reportMonth", "officeID", "avgDailyCollected",
                     (F.col("avgDailyCollected") * 5.0).alias("avgWeeklyCollected"), "monthlyCollected",
                     pct("monthlyCollected", "totalAvailableAR").alias("collectedPercentOfAvailable"),
@@ -375,10 +378,8 @@ def data_quality_flags(d: Domain, as_of=DEFAULT_AS_OF) -> DataFrame:
     today = as_date(as_of)
     c = d.customer()
     pdx = d.payment().filter(F.col("paymentDate") >= F.add_months(today, -6)).groupBy("customerID").agg(
-        count_when(F.col("status") == 2).alias("declineCount"),
-        F.max(F.when(F.col("status") == 2, 1).otherwise(0)).alias("maxConsecutiveDeclines"))
-    ar = ar_aging(d, as_of).groupBy("customerID").agg(F.max("ageDays").alias("maxAgeDays"),
-                                                      F.sum("currentBalance").alias("totalBalance"))
+        count_when(F.col("status") == 2).alias("declineCount"))
+    ar = open_tickets(d, as_of).groupBy("customerID").agg(F.max("ageDays").alias("maxAgeDays"))
     svc = d.appointment().filter(F.col("status") == 4).groupBy("customerID").agg(
         F.max("dateCompleted").alias("lastServiceDate"))
     svc = svc.withColumn("daysSinceLastService", days_between("lastServiceDate", today))

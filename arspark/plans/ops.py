@@ -1,4 +1,8 @@
-"""Field-operations marts: technicians, routes, service types, subscriptions."""
+"""Field-operations marts: technicians, routes, service types, subscriptions.
+
+Record ids are unique in the entities (``latest_per_key``), so they are counted
+plainly; appointments are summed per key before the small side is joined.
+"""
 
 from __future__ import annotations
 
@@ -16,29 +20,27 @@ def technician_productivity(d: Domain) -> DataFrame:
     a = d.appointment().filter(F.col("employeeID").isNotNull())
     e = d.employee().select("employeeID", F.col("fName").alias("techFirstName"), F.col("lName").alias("techLastName"))
     t = d.ticket().select("ticketID", "serviceCharge", "productionValue")
-    j = a.join(e, "employeeID", "left").join(t, "ticketID", "left")
-    return j.groupBy("employeeID", "techFirstName", "techLastName", "appointmentDate").agg(
-        F.countDistinct("appointmentID").alias("appointmentCount"),
-        F.countDistinct(F.when(F.col("status") == 4, F.col("appointmentID"))).alias("completedAppointments"),
-        F.countDistinct(F.when(F.col("status") == 6, F.col("appointmentID"))).alias("cancelledAppointments"),
+    g = a.join(t, "ticketID", "left").groupBy("employeeID", "appointmentDate").agg(
+        F.count("appointmentID").alias("appointmentCount"), count_when(F.col("status") == 4).alias("completedAppointments"),
+        count_when(F.col("status") == 6).alias("cancelledAppointments"),
         F.countDistinct("customerID").alias("uniqueCustomers"),
         F.sum("duration").alias("totalScheduledMinutes"), avg_exact("duration").alias("avgScheduledMinutes"),
         F.sum("serviceCharge").alias("totalServiceCharges"), F.sum("productionValue").alias("totalProductionValue"))
+    return g.join(e, "employeeID", "left").select(
+        "employeeID", "techFirstName", "techLastName", "appointmentDate", *g.columns[2:])
 
 
 def route_efficiency(d: Domain) -> DataFrame:
     """Stops, distance per stop and actual service minutes per route and day."""
     r = d.route()
-    a = d.appointment().select("routeID", F.col("appointmentDate").alias("routeDate"), "appointmentID", "status",
-                               "customerID", "timeIn", "timeOut")
-    j = r.join(a, ["routeID", "routeDate"], "left")
     keys = ["routeID", "routeDate", "officeID", "assignedTech", "routeTitle", "totalDistance",
             "appointmentDurationEstimate", "drivingDurationEstimate"]
-    g = j.groupBy(*keys).agg(
-        F.countDistinct("appointmentID").alias("appointmentCount"),
-        F.countDistinct(F.when(F.col("status") == 4, F.col("appointmentID"))).alias("completedCount"),
+    stops = d.appointment().groupBy("routeID", F.col("appointmentDate").alias("routeDate")).agg(
+        F.count("appointmentID").alias("appointmentCount"), count_when(F.col("status") == 4).alias("completedCount"),
         F.countDistinct("customerID").alias("uniqueCustomers"),
         F.sum(minutes_between("timeIn", "timeOut")).alias("actualServiceMinutes"))
+    g = r.select(*keys).join(stops, ["routeID", "routeDate"], "left") \
+        .fillna(0, ["appointmentCount", "completedCount", "uniqueCustomers"])
     return g.select(*keys, "appointmentCount", "completedCount", "uniqueCustomers",
                     F.when(F.col("appointmentCount") > 0,
                            F.col("totalDistance").cast("double") / F.col("appointmentCount")).alias("avgDistancePerStop"),
@@ -48,21 +50,18 @@ def route_efficiency(d: Domain) -> DataFrame:
 def service_type_performance(d: Domain) -> DataFrame:
     """Appointments, completion rate and revenue per service type."""
     st = d.service_type()
-    a = d.appointment().select(F.col("appointmentType").alias("serviceTypeID"), "appointmentID", "status",
-                               "customerID", "ticketID")
+    a = d.appointment()
     t = d.ticket().select("ticketID", "serviceCharge")
-    j = st.join(a, "serviceTypeID", "left").join(t, "ticketID", "left")
-    g = j.groupBy("serviceTypeID", "officeID", "description", "category", "defaultCharge").agg(
-        F.countDistinct("appointmentID").alias("appointmentCount"),
-        F.countDistinct(F.when(F.col("status") == 4, F.col("appointmentID"))).alias("completedCount"),
+    used = a.join(t, "ticketID", "left").groupBy(F.col("appointmentType").alias("serviceTypeID")).agg(
+        F.count("appointmentID").alias("appointmentCount"), count_when(F.col("status") == 4).alias("completedCount"),
         F.countDistinct("customerID").alias("uniqueCustomers"),
-        F.sum("serviceCharge").alias("totalRevenue"), avg_exact("serviceCharge").alias("avgServiceCharge"),
-        F.count("appointmentID").alias("_n"), count_when(F.col("status") == 4).alias("_done"))
+        F.sum("serviceCharge").alias("totalRevenue"), avg_exact("serviceCharge").alias("avgServiceCharge"))
+    g = st.join(used, "serviceTypeID", "left").fillna(0, ["appointmentCount", "completedCount", "uniqueCustomers"])
     return g.select("serviceTypeID", "officeID", F.col("description").alias("serviceTypeName"), "category",
                     "defaultCharge", "appointmentCount", "completedCount", "uniqueCustomers", "totalRevenue",
                     "avgServiceCharge",
                     (F.col("avgServiceCharge") - F.col("defaultCharge").cast("double")).alias("avgVarianceFromDefault"),
-                    F.when(F.col("_n") > 0, (F.col("_done").cast("double") * 100.0) / F.col("_n"))
+                    F.when(F.col("appointmentCount") > 0, (F.col("completedCount").cast("double") * 100.0) / F.col("appointmentCount"))
                     .otherwise(F.lit(0.0)).alias("completionRate"))
 
 
