@@ -27,8 +27,10 @@ def replace_batch(df: DataFrame, path: str, partition_cols: Sequence[str] = RAW_
 
 
 def read_raw_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a raw table written by :func:`replace_batch`; the partition column
-    comes back as ``timestamp`` and is cast to TIMESTAMP_NTZ again."""
+    """Read a raw table written by :func:`replace_batch` or by the landing
+    stream. A partition column of load times comes back as ``timestamp`` and is
+    cast to TIMESTAMP_NTZ again; the stream's load date stays as a column, for
+    filters that prune folders."""
     df = spark.read.parquet(path)
     return df.withColumn("LoadDatetimeUTC", F.col("LoadDatetimeUTC").cast("timestamp_ntz")) \
         .withColumn("OfficeID", F.col("OfficeID").cast("bigint"))
@@ -53,7 +55,8 @@ def merge_latest(target: DataFrame, source: DataFrame, key, version: str = "last
     return latest_per_key(both, key, version, ["__side", *tie_breakers]).drop("__side")
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
+def _versions(spark: SparkSession, path: str, committed: bool = True) -> list[int]:
+    """Numbers of the version folders of a table; ``committed``: only those whose write ended."""
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -62,7 +65,7 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+        if name.startswith("v=") and (not committed or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))):
             out.append(int(name[2:]))
     return sorted(out)
 
@@ -84,12 +87,12 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, key, version: str
     """Merge ``source`` into the versioned table at ``path``; returns the new
     current version. The merged data is written to ``v=<n+1>`` (committed by
     the writer's _SUCCESS marker), so a failed job leaves ``v=<n>`` intact and a
-    retry recomputes from it."""
+    retry recomputes from it; folders of failed writes keep their numbers, and
+    of two writers at once one fails, as a version is never overwritten."""
     cur = read_current(spark, path, source.schema)
     merged = latest_per_key(source, key, version, tie_breakers) if cur is None \
         else merge_latest(cur, source, key, version, tie_breakers)
-    vs = _versions(spark, path)
-    nxt = (vs[-1] + 1) if vs else 1
+    nxt = max(_versions(spark, path, committed=False), default=0) + 1
     merged.write.mode("error").parquet(f"{path}/v={nxt}")
     return spark.read.parquet(f"{path}/v={nxt}")
 

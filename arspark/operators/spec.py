@@ -1,8 +1,8 @@
 """Table-driven typed projection of raw JSON records.
 
 An :class:`EntitySpec` lists, per output column, the candidate JSON paths
-(variant paths are case-sensitive, and the source renamed fields over time),
-the target type and the cleaning rule. ``project`` turns raw variant rows into
+(variant paths are case-sensitive, and the source renamed fields over time; the
+all-lower-case spelling of each path is tried after those listed), the target type and the cleaning rule. ``project`` turns raw variant rows into
 typed rows with ``try_variant_get`` - bad values become NULL instead of failing.
 """
 
@@ -37,7 +37,7 @@ class Col:
             if t == "variant":
                 return F.try_variant_get(v, jp, "variant")
             return F.try_variant_get(v, jp, t)
-        parts = [one(p) for p in self.paths]
+        parts = [one(p) for p in dict.fromkeys([*self.paths, *(p.lower() for p in self.paths)])]
         return (parts[0] if len(parts) == 1 else F.coalesce(*parts)).alias(self.name)
 
 

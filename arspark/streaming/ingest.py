@@ -13,17 +13,17 @@ and a lost executor only re-runs its tasks.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from arspark.operators.sinks import read_current
+from arspark.operators.sinks import read_current, upsert
 from arspark.operators.spec import EntitySpec
 from arspark.operators.stage import stage
 from arspark.session import scratch_path
+from arspark.sources.raw import parse_raw
 
 RAW_ENVELOPE_SCHEMA = StructType([StructField("OfficeID", LongType()), StructField("LoadDatetimeUTC", StringType()),
                                   StructField("RawDataString", StringType())])
@@ -40,12 +40,22 @@ def read_raw_stream(spark: SparkSession, src_dir: str, max_files_per_trigger: in
                      "RawDataString")
 
 
-def write_raw_stream(df: DataFrame, out_dir: str, checkpoint: str):
-    """Continuous landing into the raw table, partitioned like batch loads."""
-    parsed = df.withColumn("RawData", F.try_parse_json("RawDataString")).filter(F.col("RawData").isNotNull()) \
-        .drop("RawDataString").withColumn("LoadDate", F.to_date("LoadDatetimeUTC"))
-    return parsed.writeStream.format("parquet").option("checkpointLocation", checkpoint) \
-        .partitionBy("OfficeID", "LoadDate").trigger(availableNow=True).start(out_dir)
+def write_raw_stream(df: DataFrame, out_dir: str, checkpoint: str, quarantine_dir: str | None = None):
+    """Continuous landing into a raw table, one folder per office and load date;
+    rows that aren't JSON go to ``quarantine_dir`` (default: ``<out_dir>_quarantine``).
+
+    A file sink writes every row exactly once but has one folder, so there are
+    two queries, each with its own checkpoint: a file that arrives between them
+    is read by the other one on its next run. The quarantine is written first;
+    returned is the running query of the parsed rows."""
+    base = out_dir.rstrip("/")
+    good, bad = parse_raw(df.withColumn("LoadDate", F.to_date("LoadDatetimeUTC")))
+
+    def sink(rows: DataFrame, progress: str, path: str):
+        return rows.writeStream.format("parquet").option("checkpointLocation", progress) \
+            .partitionBy("OfficeID", "LoadDate").trigger(availableNow=True).start(path)
+    sink(bad, f"{checkpoint.rstrip('/')}_quarantine", quarantine_dir or f"{base}_quarantine").awaitTermination()
+    return sink(good, checkpoint, out_dir)
 
 
 def dedupe_stream(df: DataFrame, key_path: str, version_path: str = "$.dateUpdated",
@@ -65,18 +75,17 @@ def dedupe_stream(df: DataFrame, key_path: str, version_path: str = "$.dateUpdat
 def _batch_upsert(spec: EntitySpec, target_path: str, quarantine_path: str):
     def fn(batch: DataFrame, epoch_id: int):
         spark = batch.sparkSession
+        if batch.isEmpty():  # a run that has nothing new leaves the target as it is
+            return
         # the micro-batch feeds two writes (quarantine, merge): read and parse it once
         batch = batch.persist()
         st = stage(batch, spec)
-        # bad records of this micro-batch go to the quarantine (idempotent per epoch)
-        st.bad_json.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite") \
-            .parquet(os.path.join(quarantine_path, f"epoch={epoch_id}"))
-        # read the version before this epoch's (a replayed epoch never reads what it writes)
-        cur = read_current(spark, target_path, below=epoch_id + 1)
-        merged = st.rows if cur is None else \
-            stage(batch, spec, target=cur.select(*st.rows.columns)).rows
-        # each epoch writes its own version; a replayed epoch rewrites the same one
-        merged.write.mode("overwrite").parquet(os.path.join(target_path, f"v={epoch_id + 1}"))
+        # epochs start anew with a new checkpoint, so a folder is named by the checkpoint's query id too
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        st.bad_json.withColumn("query", F.lit(query)).withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite") \
+            .parquet(f"{quarantine_path.rstrip('/')}/part={query}-{epoch_id}")
+        # the target numbers its versions itself; merging a replayed epoch once more gives the same rows
+        upsert(spark, target_path, st.rows, spec.keys, tie_breakers=spec.tie_breakers)
         batch.unpersist()
     return fn
 
@@ -89,7 +98,8 @@ def run_upsert_stream(spark: SparkSession, src_dir: str, spec: EntitySpec, targe
 
     Nothing is dropped before the merge, which is idempotent by itself: records
     that arrive twice, late records and unparsable rows all reach it or the
-    quarantine. ``dedupe`` saves merge work but drops rows later than its
+    quarantine. Versions are numbered by the target, so a new checkpoint on an
+    old target and batch upserts between two runs add to it. ``dedupe`` saves merge work but drops rows later than its
     watermark, so it is off unless asked for.
     """
     checkpoint = checkpoint or scratch_path(spark, f"stream-{spec.name}")

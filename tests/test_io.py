@@ -50,3 +50,5 @@ def test_stream_landing(spark, tmpdir_path):
     q.awaitTermination()
     landed = spark.read.parquet(out)
     assert landed.count() == 1 and set(landed.columns) >= {"OfficeID", "LoadDate", "RawData"}
+    assert [r.RawDataString for r in spark.read.parquet(out + "_quarantine").collect()] == ["{bad"]
+    assert dict(sinks.read_raw_table(spark, out).dtypes)["LoadDatetimeUTC"] == "timestamp_ntz"

@@ -75,3 +75,45 @@ def test_stream_upsert_matches_batch_and_restarts(spark, tmpdir_path):
     batch = {r.itemID: r.v for r in stage(f1.unionByName(f2), SPEC).rows.collect()}
     assert got == batch == {1: "a2", 2: "b"}
     assert spark.read.parquet(quarantine).count() == 1
+
+
+def test_stream_keeps_bad_late_and_unversioned_rows(spark, tmpdir_path):
+    src, target, quarantine = (os.path.join(tmpdir_path, x) for x in ("in", "target", "bad"))
+    ckpt = os.path.join(tmpdir_path, "ckpt")
+    land_files(raw(spark, [(1, T1, {"itemID": 1, "v": "old"}), (1, T2, {"itemID": 1, "v": "new"}),
+                           (1, T1, "{a"), (1, T1, "{b"), (2, T1, "{a")]), src)
+    run_upsert_stream(spark, src, SPEC, target, quarantine, checkpoint=ckpt)
+    land_files(raw(spark, [(1, T0, {"itemID": 6, "v": "late"})]), src)  # two days behind the newest load
+    run_upsert_stream(spark, src, SPEC, target, quarantine, checkpoint=ckpt)
+    before = sorted(os.listdir(target))
+    run_upsert_stream(spark, src, SPEC, target, quarantine, checkpoint=ckpt)  # nothing new
+    assert sorted(os.listdir(target)) == before
+    assert {r.itemID: r.v for r in sinks.read_current(spark, target).collect()} == {1: "new", 6: "late"}
+    assert spark.read.parquet(quarantine).count() == 3
+
+
+def test_new_checkpoint_and_batch_upserts_share_a_target(spark, tmpdir_path):
+    target, quarantine = (os.path.join(tmpdir_path, x) for x in ("target", "bad"))
+    for k, rows in enumerate([[(1, T0, {"itemID": 1, "v": "a"}), (1, T0, "{x")], [(1, T1, {"itemID": 2, "v": "b"}), (1, T1, "{y")]]):
+        src = os.path.join(tmpdir_path, f"in{k}")
+        land_files(raw(spark, rows), src)
+        run_upsert_stream(spark, src, SPEC, target, quarantine, checkpoint=os.path.join(tmpdir_path, f"ckpt{k}"))
+        os.makedirs(os.path.join(target, f"v={3 * k + 2}"))  # left by a write that failed
+        batch = stage(raw(spark, [(1, T2, {"itemID": 10 + k, "v": "batch"})]), SPEC).rows
+        sinks.upsert(spark, target, batch, "itemID")
+    got = {r.itemID: r.v for r in sinks.read_current(spark, target).collect()}
+    assert got == {1: "a", 2: "b", 10: "batch", 11: "batch"}
+    assert spark.read.parquet(quarantine).count() == 2  # both checkpoints' epoch 0
+
+
+def test_equal_load_time_takes_the_replayed_row(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t")
+    for v in ("first", "corrected"):
+        sinks.upsert(spark, path, stage(raw(spark, [(1, T0, {"itemID": 1, "v": v})]), SPEC).rows, "itemID")
+    assert [r.v for r in sinks.read_current(spark, path).collect()] == ["corrected"]
+
+
+def test_lower_case_paths_are_staged(spark):
+    got = stage(raw(spark, [(1, T0, {"itemid": 4, "V": "no"}), (1, T0, {"itemID": 5, "itemid": 9, "v": "y"})]), SPEC)
+    assert {(r.itemID, r.v) for r in got.rows.collect()} == {(4, None), (5, "y")}
+    assert got.null_keys.count() == 0
