@@ -52,11 +52,11 @@ def stage_fact(entity: str):
     return run
 
 
-def stage_event_entity(entity: str):
-    spec = S.event_spec(entity)
+def stage_landed_fact(entity: str):
+    spec = S.LANDED_FACTS[entity]
 
     def run(d: Domain) -> DataFrame:
-        return _typed(spec, stage(R.raw_event_entity(d, entity), spec).rows)
+        return _typed(spec, stage(R.raw_landed_fact(d, spec), spec).rows)
     run.__name__ = f"stage_{entity}"
     return run
 
@@ -111,7 +111,7 @@ def load_watermark_report(d: Domain) -> DataFrame:
 
 def registry_entries() -> dict:
     out = {f"stage_{e}": stage_fact(e) for e in FACTS}
-    out.update({f"stage_{e}": stage_event_entity(e) for e in S.EVENT_ENTITIES})
+    out.update({f"stage_{e}": stage_landed_fact(e) for e in S.LANDED_FACTS})
     out.update({f"dim_{e}": dim(e) for e in DIMS})
     out.update({"stage_ticket_incremental": stage_ticket_incremental,
                 "view_ticket_item_details": view_ticket_item_details, "stage_ticket_item": stage_ticket_item,

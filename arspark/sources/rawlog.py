@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
+from arspark.operators.spec import Col, EntitySpec
 from arspark.sources.adapter import Domain
-from arspark.sources.specs import EVENT_ENTITIES
 
 FIXED_LOAD = "2001-08-01 03:00:00"
 
@@ -194,14 +194,31 @@ def raw_reservice_reason(d):
     return _fixed(n, {"reason": F.lit("pending")})
 
 
-def raw_event_entity(d: Domain, entity: str) -> DataFrame:
-    """One record per event under the entity's own key name."""
-    key = EVENT_ENTITIES[entity]
-    ev = d.t.events.select(
-        F.col("event_id").alias(key), (F.col("user_id") % 25).cast("int").alias("officeID"),
-        F.col("user_id").alias("customerID"), (F.col("event_id") % 50).alias("employeeID"),
-        F.col("ts").alias("dateAdded"), (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("dateUpdated"),
-        F.col("value").cast("decimal(18,2)").alias("amount"), F.col("event_type").alias("type"),
-        (F.col("event_type") != "error").alias("active"))
-    return two_versions(ev, F.col("dateAdded"), {"amount": F.lit(0).cast("decimal(18,2)"), "active": F.lit(False)},
-                        lag=F.expr("INTERVAL 1 HOUR"))
+def _event_field(c: Col) -> Column:
+    """Value of a record's field: follows the event, and differs with the field's name."""
+    name, n = c.paths[0], len(c.paths[0])
+    if name in ("officeID", "customerID"):
+        return F.col("user_id") % 25 if name == "officeID" else F.col("user_id")
+    if c.type == "timestamp":  # every tenth is the source's marker of no time
+        at = F.date_format(F.col("ts") + F.make_interval(hours=F.lit(n)), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        return F.when(F.col("event_id") % 10 == 3, F.lit("0000-00-00 00:00:00")).otherwise(at)
+    return {"string": F.concat("event_type", F.lit(f" {name.lower()}")), "boolean": F.col("event_type") != "error",
+            "money": (F.col("value").cast("decimal(18,2)") + n).cast("decimal(18,2)"),
+            "double": (F.col("event_id") * n % 180 - 90).cast("double") + 0.25}.get(c.type, F.col("event_id") * n % 997)
+
+
+def raw_landed_fact(d: Domain, spec: EntitySpec) -> DataFrame:
+    """One record per event with the entity's own fields. Events of even ids
+    are spelled as the API documents its fields, those of odd ids in lower case."""
+    field = {c.paths[0]: F.col("event_id") if c.name == spec.key else _event_field(c) for c in spec.columns}
+    kinds = {c.paths[0]: c.type for c in spec.columns if c.name != spec.key}
+    before = {"string": F.lit("pending"), "money": F.lit(0).cast("decimal(18,2)"), "bigint": F.lit(0).cast("bigint")}
+    stale = {f: before[t] for f, t in kinds.items() if t in before}
+    logs = []
+    for odd, spell in ((0, str), (1, str.lower)):
+        rows = d.t.events.filter(F.col("event_id") % 2 == odd).select(
+            *(v.alias(spell(f)) for f, v in field.items()), F.col("ts").alias("__ts"), F.col("event_id").alias("__id"),
+            (F.col("user_id") % 25).alias("__branch"))
+        logs.append(two_versions(rows, F.col("__ts"), {spell(f): v for f, v in stale.items()}, office=F.col("__branch"),
+                                 corrupt=F.col("__id") % 101 == 0, lag=F.expr("INTERVAL 1 HOUR")))
+    return logs[0].unionByName(logs[1])

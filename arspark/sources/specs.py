@@ -101,21 +101,82 @@ CANCELLATION_REASON = EntitySpec("cancellation_reason", "reasonID", [
     C("reasonID", "reasonID", "cancellationReasonID"), C("description", "description", "reason", t="string")],
     plural="cancellationReasons")
 
-# Entities with no adapter of their own: one record per event, with the
-# entity's own key name (the JSON shape is shared).
-EVENT_ENTITIES = {
-    "door": "doorID", "knock": "knockID", "chargeback": "chargebackID", "disbursement": "gatewayDisbursementID",
-    "disbursement_item": "gatewayDisbursementEntryID", "additional_contacts": "additionalContactID",
-    "generic_flag_assignment": "genericFlagAssignmentID", "task": "taskID", "appointment_reminder": "reminderID",
-}
-
-
-def event_spec(entity: str) -> EntitySpec:
-    key = EVENT_ENTITIES[entity]
-    return EntitySpec(entity, key, [
-        C(key), C("officeID", t="int"), C("customerID"), C("employeeID"), C("dateAdded", t="timestamp"),
-        C("dateUpdated", t="timestamp"), C("amount", t="money"), C("type", t="string"),
-        C("isActive", "active", "isActive", t="boolean")], plural=entity)
+# Output columns of the facts that no mart reads, and the record fields they come from.
+APPOINTMENT_REMINDER = EntitySpec("appointment_reminder", "ReminderID", [
+    C("ReminderID", "reminderID"), C("OfficeID", "officeID", t="int"), C("AppointmentID", "appointmentID"),
+    C("ReminderText", "text", t="string"), C("ReminderDate", "dateSent", t="timestamp"),
+    C("EmailDate", "emailSent", t="timestamp"), C("VoiceDate", "voiceSent", t="timestamp"),
+    C("Status", "status", t="string"), C("ResponseText", "response", t="string"),
+    C("ResponseDate", "responseTime", t="timestamp"), C("SentToSMS", "sendTo", t="string"),
+    C("SentToEmail", "emailAddress", t="string"), C("SentToPhone", "voiceNumber", t="string"),
+    C("DateUpdated", "dateUpdated", t="timestamp"),
+], plural="appointmentReminders", tie_breakers=("DateUpdated", "Status"))
+
+KNOCK = EntitySpec("knock", "KnockID", [
+    C("KnockID", "knockID"), C("DoorID", "doorID"), C("EmployeeID", "employeeID"),
+    C("DateAdded", "dateAdded", t="timestamp"), C("DateUpdated", "dateUpdated", t="timestamp"),
+    C("KnockType", "knockType"), C("ServiceID", "serviceID"),
+], plural="knocks", tie_breakers=("DateUpdated", "KnockType", "ServiceID"))
+
+GENERIC_FLAG_ASSIGNMENT = EntitySpec("generic_flag_assignment", "GenericFlagAssignmentID", [
+    C("GenericFlagAssignmentID", "genericFlagAssignmentID"), C("OfficeID", "officeID", t="int"),
+    C("GenericFlagID", "genericFlagID"), C("RelatedTableRecordID", "relatedTableRecordID"),
+    C("TableName", "tableName", t="string"), C("AssignedByEmployeeID", "assignedByEmployeeID"),
+    C("DateAssigned", "dateAssigned", t="timestamp"),
+], plural="genericFlagAssignments", tie_breakers=("DateAssigned", "GenericFlagID"))
+
+DISBURSEMENT_ITEM = EntitySpec("disbursement_item", "GatewayDisbursementEntryID", [
+    C("GatewayDisbursementEntryID", "gatewayDisbursementEntryID"), C("GatewayDisbursementID", "gatewayDisbursementID"),
+    C("DateCreated", "dateCreated", t="timestamp"), C("DateUpdated", "dateUpdated", t="timestamp"),
+    C("BillingFirstName", "billingFirstName", t="string"), C("BillingLastName", "billingLastName", t="string"),
+    C("Amount", "amount", t="money"), C("ActualAmount", "actualAmount", t="money"),
+    C("Description", "description", t="string"), C("IsFee", "isFee"), C("GatewayEventID", "gatewayEventID", t="string"),
+    C("GatewayEventType", "gatewayEventType", t="string"), C("GatewayEventFeeType", "gatewayEventFeeType", t="string"),
+    C("GatewayEventDescription", "gatewayEventDescription", t="string"),
+], plural="disbursementItems", tie_breakers=("DateUpdated", "Amount", "ActualAmount"))
+
+ADDITIONAL_CONTACTS = EntitySpec("additional_contacts", "AdditionalContactID", [
+    C("AdditionalContactID", "additionalContactID"), C("CustomerID", "customerID"), C("Name", "name", t="string"),
+    C("Phone", "phone", t="string"), C("Relationship", "relationship", t="string"),
+    C("IsActive", "isActive", t="boolean"),
+], plural="additionalContacts", tie_breakers=("IsActive", "Name", "Phone", "Relationship"))
+
+CHARGEBACK = EntitySpec("chargeback", "ChargebackID", [
+    C("ChargebackID", "chargebackID"), C("TransactionID", "transactionID"), C("OfficeID", "officeID", t="int"),
+    C("CustomerID", "customerID"), C("TransactionType", "transactionType", t="string"),
+    C("ResponseDescription", "responseDescription", t="string"), C("Status", "status", t="string"),
+    C("DateCreated", "dateCreated", t="timestamp"), C("DateUpdated", "dateUpdated", t="timestamp"),
+    C("Amount", "amount", t="money"),
+], plural="chargebacks", tie_breakers=("DateUpdated", "Status", "Amount"))
+
+DISBURSEMENT = EntitySpec("disbursement", "GatewayDisbursementID", [
+    C("GatewayDisbursementID", "gatewayDisbursementID"), C("DateCreated", "dateCreated", t="timestamp"),
+    C("DateUpdated", "dateUpdated", t="timestamp"), C("Amount", "amount", t="money"),
+], plural="disbursements", tie_breakers=("DateUpdated", "Amount"))
+
+DOOR = EntitySpec("door", "DoorID", [
+    C("DoorID", "doorID"), C("OfficeID", "officeID", t="int"), C("Latitude", "latitude", t="double"),
+    C("Longitude", "longitude", t="double"), C("DateCreated", "dateCreated", t="timestamp"),
+    C("EmployeeID", "employeeID"), C("Name", "name", t="string"), C("Address", "address", t="string"),
+    C("City", "city", t="string"), C("State", "state", t="string"), C("Zip", "zip", t="string"),
+    C("Phone", "phone", t="string"), C("Status", "status", t="string"), C("Notes", "notes", t="string"),
+    C("Email", "email", t="string"), C("CallbackTime", "callbackTime", t="string"), C("KnockCounter", "knockCounter"),
+], plural="doors", tie_breakers=("KnockCounter", "Status", "CallbackTime", "Notes"))
+
+TASK = EntitySpec("task", "TaskID", [
+    C("TaskID", "taskID"), C("OfficeID", "officeID", t="int"), C("CustomerID", "customerID"),
+    C("AddedByEmployeeID", "addedByEmployeeID"), C("AssignedToEmployeeID", "assignedToEmployeeID"),
+    C("CompletedByEmployeeID", "completedByEmployeeID"), C("Type", "type", t="string"),
+    C("DueDate", "dueDate", t="timestamp"), C("DateAdded", "dateAdded", t="timestamp"),
+    C("DateCompleted", "dateCompleted", t="timestamp"), C("CategoryID", "categoryID"),
+    C("CategoryDescription", "categoryDescription", t="string"), C("Description", "description", t="string"),
+    C("CompletionNotes", "completionNotes", t="string"), C("ReferenceID", "referenceID"),
+    C("Phone", "phone", t="string"), C("DateUpdated", "dateUpdated", t="timestamp"), C("Status", "status", t="string"),
+], plural="tasks", tie_breakers=("DateUpdated", "Status", "DateCompleted"))
+
+#: Facts landed from the ``events`` table, which no mart reads.
+LANDED_FACTS = {s.name: s for s in (APPOINTMENT_REMINDER, KNOCK, GENERIC_FLAG_ASSIGNMENT, DISBURSEMENT_ITEM,
+                                    ADDITIONAL_CONTACTS, CHARGEBACK, DISBURSEMENT, DOOR, TASK)}
 
 
 PRODUCT = EntitySpec("product", "productID", [C("productID"), C("description", t="string"), C("code", t="string"),

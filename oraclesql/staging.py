@@ -41,16 +41,52 @@ Q["stage_payment_profile"] = with_entities(
     "SELECT paymentProfileID, customerID, failedAttempts, lastDeclineType, retryPoints, "
     "sha256(lpad(CAST(customerID AS VARCHAR), 12, '0')) AS accountNumber FROM payment_profile")
 
-_EVENT_KEYS = {
-    "door": "doorID", "knock": "knockID", "chargeback": "chargebackID", "disbursement": "gatewayDisbursementID",
-    "disbursement_item": "gatewayDisbursementEntryID", "additional_contacts": "additionalContactID",
-    "generic_flag_assignment": "genericFlagAssignmentID", "task": "taskID", "appointment_reminder": "reminderID",
+
+
+# One record per event: each output column with the field of the record it must come from.
+_LANDED = {
+    "appointment_reminder": """ReminderID key, OfficeID office, AppointmentID num appointmentid, ReminderText str text,
+        ReminderDate time datesent, EmailDate time emailsent, VoiceDate time voicesent, Status str status,
+        ResponseText str response, ResponseDate time responsetime, SentToSMS str sendto, SentToEmail str emailaddress,
+        SentToPhone str voicenumber, DateUpdated time dateupdated""",
+    "knock": """KnockID key, DoorID num doorid, EmployeeID num employeeid, DateAdded time dateadded,
+        DateUpdated time dateupdated, KnockType num knocktype, ServiceID num serviceid""",
+    "generic_flag_assignment": """GenericFlagAssignmentID key, OfficeID office, GenericFlagID num genericflagid,
+        RelatedTableRecordID num relatedtablerecordid, TableName str tablename,
+        AssignedByEmployeeID num assignedbyemployeeid, DateAssigned time dateassigned""",
+    "disbursement_item": """GatewayDisbursementEntryID key, GatewayDisbursementID num gatewaydisbursementid,
+        DateCreated time datecreated, DateUpdated time dateupdated, BillingFirstName str billingfirstname,
+        BillingLastName str billinglastname, Amount money amount, ActualAmount money actualamount,
+        Description str description, IsFee num isfee, GatewayEventID str gatewayeventid,
+        GatewayEventType str gatewayeventtype, GatewayEventFeeType str gatewayeventfeetype,
+        GatewayEventDescription str gatewayeventdescription""",
+    "additional_contacts": """AdditionalContactID key, CustomerID customer, Name str name, Phone str phone,
+        Relationship str relationship, IsActive flag""",
+    "chargeback": """ChargebackID key, TransactionID num transactionid, OfficeID office, CustomerID customer,
+        TransactionType str transactiontype, ResponseDescription str responsedescription, Status str status,
+        DateCreated time datecreated, DateUpdated time dateupdated, Amount money amount""",
+    "disbursement": """GatewayDisbursementID key, DateCreated time datecreated, DateUpdated time dateupdated,
+        Amount money amount""",
+    "door": """DoorID key, OfficeID office, Latitude angle latitude, Longitude angle longitude,
+        DateCreated time datecreated, EmployeeID num employeeid, Name str name, Address str address, City str city,
+        State str state, Zip str zip, Phone str phone, Status str status, Notes str notes, Email str email,
+        CallbackTime str callbacktime, KnockCounter num knockcounter""",
+    "task": """TaskID key, OfficeID office, CustomerID customer, AddedByEmployeeID num addedbyemployeeid,
+        AssignedToEmployeeID num assignedtoemployeeid, CompletedByEmployeeID num completedbyemployeeid, Type str type,
+        DueDate time duedate, DateAdded time dateadded, DateCompleted time datecompleted, CategoryID num categoryid,
+        CategoryDescription str categorydescription, Description str description, CompletionNotes str completionnotes,
+        ReferenceID num referenceid, Phone str phone, DateUpdated time dateupdated, Status str status""",
+}
+_KINDS = {
+    "key": "event_id", "office": "CAST(user_id % 25 AS INTEGER)", "customer": "user_id", "flag": "event_type <> 'error'",
+    "num": "event_id * length('{f}') % 997", "str": "event_type || ' {f}'",
+    "time": "CASE WHEN event_id % 10 <> 3 THEN ts + length('{f}') * INTERVAL 1 HOUR END",
+    "money": "CAST(CAST(value AS DECIMAL(18,2)) + length('{f}') AS DOUBLE)",
+    "angle": "CAST(event_id * length('{f}') % 180 - 90 AS DOUBLE) + 0.25",
 }
-for _e, _k in _EVENT_KEYS.items():
-    Q[f"stage_{_e}"] = (f"SELECT event_id AS {_k}, CAST(user_id % 25 AS INTEGER) AS officeID, user_id AS customerID, "
-                        "event_id % 50 AS employeeID, ts AS dateAdded, ts + INTERVAL 1 HOUR AS dateUpdated, "
-                        "CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS amount, event_type AS type, "
-                        "event_type <> 'error' AS isActive FROM events")
+for _e, _columns in _LANDED.items():
+    _parts = [c.split() for c in _columns.split(",")]
+    Q[f"stage_{_e}"] = "SELECT " + ", ".join(f"{_KINDS[k].format(f=''.join(f))} AS {n}" for n, k, *f in _parts) + " FROM events"
 
 Q["dim_office"] = proj("office", ["officeID", "officeName", "regionID"])
 Q["dim_region"] = proj("region_d", ["regionID", "regionName"])
