@@ -77,6 +77,19 @@ def cdc_window(last_run, now, overlap_minutes: int = 15, first_run_hours: int =
                       now_c - F.make_interval(hours=F.lit(first_run_hours)))
 
 
+def changes_since(raw: DataFrame, watermarks: DataFrame, entity: str, now, overlap_minutes: int = 15,
+                  first_run_hours: int = 2, load_col: str = "LoadDatetimeUTC") -> DataFrame:
+    """Raw rows of one entity inside each office's change window, up to ``now``.
+
+    ``watermarks`` has one row per (office_id, entity_name) with
+    last_success_utc; an office without one is on its first run."""
+    now_c = now if isinstance(now, Column) else F.lit(now)
+    own = watermarks.filter(F.col("entity_name") == entity).select(
+        F.col("office_id").alias("__office"), F.col("last_success_utc").alias("__last"))
+    known = raw.filter(F.col(load_col) <= now_c).join(own, F.col("OfficeID") == F.col("__office"), "left")
+    return known.filter(F.col(load_col) >= cdc_window("__last", now_c, overlap_minutes, first_run_hours)).drop("__office", "__last")
+
+
 def _names(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 

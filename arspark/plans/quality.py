@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arspark.functions.dates import hours_between, minutes_between
+from arspark.operators.latest import changes_since, recent_window
 from arspark.sources import rawlog as R
 from arspark.sources.adapter import Domain
 
@@ -67,10 +68,11 @@ def dq_future_tickets(d: Domain) -> DataFrame:
 
 # --------------------------------------------------------------- monitoring
 def raw_logs(d: Domain) -> dict[str, DataFrame]:
-    """Landed raw rows (office, load time) of the monitored entities."""
-    return {name: build(d).select("OfficeID", "LoadDatetimeUTC") for name, build in
+    """Landed raw rows (office, load time, whether the text is no JSON) of the monitored entities."""
+    return {name: build(d).select("OfficeID", "LoadDatetimeUTC", F.try_parse_json("RawDataString").isNull().alias("bad"))
+            for name, build in
             [("Ticket_Fact", R.raw_ticket), ("Payment_Fact", R.raw_payment), ("Customer_Dim", R.raw_customer),
-             ("Appointment_Fact", R.raw_appointment)]}
+             ("Appointment_Fact", R.raw_appointment), ("Employee_Dim", R.raw_employee)]}
 
 
 def offices_lookup(d: Domain) -> DataFrame:
@@ -96,12 +98,13 @@ def _union(parts):
 
 
 def watermarks(d: Domain) -> DataFrame:
-    """Per (office, entity): last run, rows loaded (derived from the raw log)."""
+    """Per (office, entity): last run, last run that brought a readable row, rows loaded, unreadable rows."""
     return _union([raw.groupBy("OfficeID").agg(F.max("LoadDatetimeUTC").alias("last_run_utc"),
-                                               F.count(F.lit(1)).alias("records_loaded"))
+                                               F.max(F.when(~F.col("bad"), F.col("LoadDatetimeUTC"))).alias("last_success_utc"),
+                                               F.count(F.lit(1)).alias("records_loaded"),
+                                               F.count_if("bad").alias("error_count"))
                    .select(F.col("OfficeID").alias("office_id"), F.lit(name).alias("entity_name"), "last_run_utc",
-                           F.col("last_run_utc").alias("last_success_utc"), "records_loaded",
-                           F.lit(0).cast("bigint").alias("error_count"))
+                           "last_success_utc", "records_loaded", "error_count")
                    for name, raw in raw_logs(d).items()])
 
 
@@ -192,6 +195,24 @@ def layer_row_counts(d: Domain) -> DataFrame:
     return _union(parts)
 
 
+def _loads_by_office(raw: DataFrame) -> DataFrame:
+    return raw.groupBy("OfficeID").agg(F.count(F.lit(1)).alias("loaded"), F.min("LoadDatetimeUTC").alias("first_load"))
+
+
+def recent_ticket_loads(d: Domain, now=DEFAULT_NOW) -> DataFrame:
+    """Ticket rows of the last two days, per office."""
+    return _loads_by_office(recent_window(raw_logs(d)["Ticket_Fact"], _now(now)))
+
+
+def ticket_change_window(d: Domain, seen="1998-01-01 00:00:00", now="1998-02-01 00:00:00") -> DataFrame:
+    """Ticket rows that a run at ``now`` reads, per office, if the run before saw
+    all loads below ``seen``; a fifth of the offices has not been run yet."""
+    raw = raw_logs(d)["Ticket_Fact"]
+    before = raw.filter((F.col("LoadDatetimeUTC") < _now(seen)) & (F.col("OfficeID") % 5 != 4))
+    marks = before.groupBy(F.col("OfficeID").alias("office_id")).agg(F.max("LoadDatetimeUTC").alias("last_success_utc"))
+    return _loads_by_office(changes_since(raw, marks.withColumn("entity_name", F.lit("Ticket_Fact")), "Ticket_Fact", _now(now)))
+
+
 def active_office_tickets(d: Domain) -> DataFrame:
     """Raw ticket rows restricted to active offices (scan_active_offices)."""
     raw = raw_logs(d)["Ticket_Fact"]
@@ -205,4 +226,5 @@ REGISTRY = {
     "loads_today": loads_today, "load_detail": load_detail, "table_freshness": table_freshness,
     "stale_tables": lambda d: stale_tables(d, now=STALE_CHECK_NOW), "load_date_histogram": load_date_histogram, "rows_per_office": rows_per_office,
     "layer_row_counts": layer_row_counts, "scan_active_offices": active_office_tickets,
+    "recent_ticket_loads": recent_ticket_loads, "ticket_change_window": ticket_change_window,
 }

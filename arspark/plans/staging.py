@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arspark.operators.latest import changed_or_added
 from arspark.operators.sinks import load_watermarks
-from arspark.operators.stage import cancellation_reasons_from_raw, stage, stage_dimension, ticket_item_details
+from arspark.operators.stage import cancellation_reasons_from_raw, project_raw, stage, stage_dimension, ticket_item_details
 from arspark.sources import rawlog as R
 from arspark.sources import specs as S
 from arspark.sources.adapter import Domain
@@ -97,6 +98,18 @@ def fact_customer_cancellation_reasons_raw(d: Domain) -> DataFrame:
     return cancellation_reasons_from_raw(R.raw_customer(d), S.CUSTOMER, reasons)
 
 
+def changed_tasks(d: Domain, lo: str = "2024-01-10", hi: str = "2024-01-12") -> DataFrame:
+    """Tasks added or updated from ``lo`` to ``hi``, the newest such version of each."""
+    versions, _, _ = project_raw(R.raw_landed_fact(d, S.TASK), S.TASK)
+    bounds = (F.lit(x).cast("timestamp_ntz") for x in (lo, hi))
+    return changed_or_added(versions, "TaskID", "DateUpdated", "DateAdded", *bounds).select("TaskID", "DateAdded", "DateUpdated")
+
+
+def dim_office_as_written(d: Domain) -> DataFrame:
+    """Offices of the single newest load, as the first form of the refresh has it."""
+    return _typed(S.OFFICE, stage_dimension(R.raw_office(d), S.OFFICE, as_written=True))
+
+
 def json_bad_count(d: Domain) -> DataFrame:
     return bad_json_count(R.raw_ticket(d))
 
@@ -116,5 +129,6 @@ def registry_entries() -> dict:
     out.update({"stage_ticket_incremental": stage_ticket_incremental,
                 "view_ticket_item_details": view_ticket_item_details, "stage_ticket_item": stage_ticket_item,
                 "fact_customer_cancellation_reasons_raw": fact_customer_cancellation_reasons_raw,
-                "json_bad_count": json_bad_count, "load_watermarks": load_watermark_report})
+                "json_bad_count": json_bad_count, "changed_tasks": changed_tasks,
+                "dim_office_as_written": dim_office_as_written, "load_watermarks": load_watermark_report})
     return out

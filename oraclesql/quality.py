@@ -4,15 +4,21 @@ from oraclesql.entities import with_entities
 
 NOW = "TIMESTAMP '2001-08-02 01:00:00'"
 
+
+def _log(source, office, first, again, bad="FALSE"):
+    """Each row of ``source`` landed twice; the first landing may be unreadable."""
+    return (f"SELECT CAST({office} AS BIGINT) AS OfficeID, {first} AS LoadDatetimeUTC, {bad} AS bad FROM {source} "
+            f"UNION ALL SELECT CAST({office} AS BIGINT), {again}, FALSE FROM {source}")
+
+
+_FIXED = ("TIMESTAMP '2001-07-31 03:00:00'", "TIMESTAMP '2001-08-01 03:00:00'")
 RAW_LOGS = {
-    "Ticket_Fact": "SELECT CAST(officeID AS BIGINT) AS OfficeID, CAST(invoiceDate AS TIMESTAMP) AS LoadDatetimeUTC FROM ticket "
-                   "UNION ALL SELECT CAST(officeID AS BIGINT), CAST(invoiceDate AS TIMESTAMP) + INTERVAL 1 DAY FROM ticket",
-    "Payment_Fact": "SELECT CAST(officeID AS BIGINT) AS OfficeID, CAST(paymentDate AS TIMESTAMP) AS LoadDatetimeUTC FROM payment "
-                    "UNION ALL SELECT CAST(officeID AS BIGINT), CAST(paymentDate AS TIMESTAMP) + INTERVAL 1 DAY FROM payment",
-    "Customer_Dim": "SELECT CAST(officeID AS BIGINT) AS OfficeID, TIMESTAMP '2001-07-31 03:00:00' AS LoadDatetimeUTC FROM customer_v "
-                    "UNION ALL SELECT CAST(officeID AS BIGINT), TIMESTAMP '2001-08-01 03:00:00' FROM customer_v",
-    "Appointment_Fact": "SELECT CAST(customerID % 25 AS BIGINT) AS OfficeID, timeIn AS LoadDatetimeUTC FROM appointment "
-                        "UNION ALL SELECT CAST(customerID % 25 AS BIGINT), timeIn + INTERVAL 1 HOUR FROM appointment",
+    "Ticket_Fact": _log("ticket", "officeID", "CAST(invoiceDate AS TIMESTAMP)",
+                        "CAST(invoiceDate AS TIMESTAMP) + INTERVAL 1 DAY", "ticketID % 101 = 0"),
+    "Payment_Fact": _log("payment", "officeID", "CAST(paymentDate AS TIMESTAMP)", "CAST(paymentDate AS TIMESTAMP) + INTERVAL 1 DAY"),
+    "Customer_Dim": _log("customer_v", "officeID", *_FIXED),
+    "Appointment_Fact": _log("appointment", "customerID % 25", "timeIn", "timeIn + INTERVAL 1 HOUR"),
+    "Employee_Dim": _log("employee", "officeID", *_FIXED),
 }
 RAW_CTES = {f"raw_{k.lower()}": v for k, v in RAW_LOGS.items()}
 
@@ -22,7 +28,7 @@ def _each(template):
 
 
 WATERMARKS = _each("SELECT OfficeID AS office_id, '{name}' AS entity_name, MAX(LoadDatetimeUTC) AS last_run_utc, "
-                   "MAX(LoadDatetimeUTC) AS last_success_utc, COUNT(*) AS records_loaded, CAST(0 AS BIGINT) AS error_count "
+                   "MAX(LoadDatetimeUTC) FILTER (NOT bad) AS last_success_utc, COUNT(*) AS records_loaded, COUNT(*) FILTER (bad) AS error_count "
                    "FROM {raw} GROUP BY OfficeID")
 OFFICES = "SELECT officeID AS office_id, officeName AS office_name, regionID <> 4 AS active FROM office"
 
@@ -78,3 +84,13 @@ UNION ALL SELECT 'payment', 2 * COUNT(*), COUNT(*), COUNT(*) FROM payment
 UNION ALL SELECT 'customer', 2 * COUNT(*), COUNT(*), COUNT(*) FROM customer_v""")
 Q["scan_active_offices"] = q("SELECT r.OfficeID, COUNT(*) AS \"rows\" FROM raw_ticket_fact r "
                              "WHERE r.OfficeID IN (SELECT office_id FROM offices WHERE active) GROUP BY r.OfficeID")
+Q["recent_ticket_loads"] = q(f"""SELECT OfficeID, COUNT(*) AS loaded, MIN(LoadDatetimeUTC) AS first_load FROM raw_ticket_fact
+WHERE LoadDatetimeUTC >= {NOW} - INTERVAL 48 HOUR GROUP BY OfficeID""")
+Q["ticket_change_window"] = q("""
+SELECT l.OfficeID, COUNT(*) AS loaded, MIN(l.LoadDatetimeUTC) AS first_load
+FROM raw_ticket_fact l
+LEFT JOIN (SELECT OfficeID, MAX(LoadDatetimeUTC) AS seen FROM raw_ticket_fact
+           WHERE LoadDatetimeUTC < TIMESTAMP '1998-01-01' AND OfficeID % 5 <> 4 GROUP BY OfficeID) w USING (OfficeID)
+WHERE l.LoadDatetimeUTC >= CASE WHEN w.seen IS NULL THEN TIMESTAMP '1998-02-01' - INTERVAL 2 HOUR ELSE w.seen - INTERVAL 15 MINUTE END
+  AND l.LoadDatetimeUTC <= TIMESTAMP '1998-02-01'
+GROUP BY l.OfficeID""")

@@ -142,3 +142,8 @@ SELECT t.ticketID, t.customerID, t.officeID, t.invoiceDate AS ticketDate, CAST(t
        CAST(t.taxAmount AS DOUBLE) AS taxAmount, CAST(t.total AS DOUBLE) AS total,
        CAST(t.balance AS DOUBLE) AS remainingBalance, COALESCE(n.c, 0) AS itemCount
 FROM ticket t LEFT JOIN (SELECT ticketID, COUNT(*) AS c FROM applied_payment GROUP BY ticketID) n ON t.ticketID = n.ticketID""")
+Q["changed_tasks"] = """
+SELECT event_id AS TaskID, ts + INTERVAL 9 HOUR AS DateAdded, ts + INTERVAL 11 HOUR AS DateUpdated FROM events
+WHERE event_id % 10 <> 3 AND ts + INTERVAL 11 HOUR >= TIMESTAMP '2024-01-10' AND ts + INTERVAL 9 HOUR <= TIMESTAMP '2024-01-12'
+  AND (ts + INTERVAL 11 HOUR <= TIMESTAMP '2024-01-12' OR ts + INTERVAL 9 HOUR >= TIMESTAMP '2024-01-10')"""
+Q["dim_office_as_written"] = Q["dim_office"]

@@ -67,3 +67,19 @@ def test_exact_median_matches_percentile(spark):
     got = {r.g: r.median for r in L.exact_median(df, ["g"], "v").collect()}
     want.pop(21)  # all-NULL group: no histogram row
     assert got == want
+
+
+def test_changes_since_uses_each_offices_own_window(spark):
+    import datetime as dt
+
+    from arspark.operators.latest import changes_since
+    t = lambda h, m=0: dt.datetime(2024, 1, 1, h, m)
+    raw = spark.createDataFrame([(o, t(*x)) for o in (1, 2, None) for x in ((8,), (9, 40), (9, 50), (11, 30), (13,))],
+                                "OfficeID bigint, LoadDatetimeUTC timestamp_ntz")
+    marks = spark.createDataFrame([(1, "ticket", t(10)), (2, "payment", t(10))],
+                                  "office_id bigint, entity_name string, last_success_utc timestamp_ntz")
+    got = {}
+    for r in changes_since(raw, marks, "ticket", F.lit(t(12)).cast("timestamp_ntz")).collect():
+        got.setdefault(r.OfficeID, set()).add((r.LoadDatetimeUTC.hour, r.LoadDatetimeUTC.minute))
+    # office 1: 15 minutes before its last success; the others are on their first run: two hours back
+    assert got == {1: {(9, 50), (11, 30)}, 2: {(11, 30)}, None: {(11, 30)}}
