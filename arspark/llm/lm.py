@@ -4,17 +4,21 @@ Every word is predicted from the words around it: ``WINDOW`` to the left and
 as many to the right, its own place masked. A document's score is the sum of
 the log-probabilities of its words.
 
-* Words are hashed into ``2**BITS`` types. One pass counts every word of every
-  document; the most frequent types are classes of their own, the others share
-  the remaining classes. A word's probability is that of its class, from the
-  network, times its share of the class, from the counts.
+* One pass counts every word of every document, exactly (words are compared by
+  64-bit hashes); the counts are a table that grows with the corpus. The most
+  frequent words are classes of their own, the others share the remaining
+  classes. A word's probability is that of its class, from the network, times
+  its share of the class, from the counts; one occurrence in each shared class
+  is set aside for words that were never seen.
+* The counts of the ``top`` most frequent words go to every task. Scoring sends
+  all other words of a document to their rows of the table by a join, which has
+  no hot keys: those words are the rare ones.
 * The network (class embeddings by position, one tanh layer, softmax over
   classes) is trained in numpy by the tasks, each over the documents it reads,
   from common starting values; the weights are averaged by words seen, by an
   aggregation whose result is as small as the model. That is one round;
-  ``rounds`` of them follow each other. Training predicts one word in
-  ``stride`` of every document, at a place that moves from document to
-  document, so its work and what it gathers grow with the corpus.
+  ``rounds`` of them follow each other. Training predicts every word of every
+  document, unless the caller asks for one word in ``stride``.
 * Scoring predicts every word of every whole text.
 
 Defined results: a null or empty text has no words, log_prob 0 and a null mean;
@@ -28,16 +32,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arspark.llm.common import released
+from arspark.llm.common import Scratch, released
 from arspark.llm.text import NOT_SPACE, Words, as_bytes, blocks
 
-BITS = 16
+#: Words whose counts every task holds, and distinct words that a counting task holds before it sends them.
+TOP, HELD = 1 << 16, 1 << 20
 CLASSES = 128
-#: Classes of a single type each; the rest share the other types.
+#: Classes of a single word each; the rest, a power of two, share the other words.
 OWN = 96
 WINDOW = 2
 DIM = 16
@@ -46,21 +52,37 @@ BATCH = 512
 MOST_WEIGHT, MOST_BIAS = 3.5, 20.0
 
 
-def types_of(w: Words) -> np.ndarray:
-    return (w.hash >> np.uint64(64 - BITS)).astype(np.int64)
-
-
 class Vocabulary:
-    """Class of each type, and the log of its share of the class."""
-
-    def __init__(self, counts: np.ndarray):
-        order = np.argsort(-counts, kind="stable")
-        self.class_of = (OWN + np.arange(1 << BITS) % (CLASSES - OWN)).astype(np.uint8)
-        self.class_of[order[:OWN]] = np.arange(OWN)
-        seen = counts + 1.0
-        total = np.bincount(self.class_of, weights=seen, minlength=CLASSES)
-        self.log_share = np.log(seen / total[self.class_of]).astype(np.float32)
-        self.prior = total / total.sum()
+    """Classes of words, and counts of the most frequent ones.
+
+    ``words`` come by falling count; ``rest`` holds the occurrences of all other words by class.
+    """
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, rest: np.ndarray):
+        own = np.sort(words[:OWN])
+        self.own = np.append(own, own[-1:]) if len(own) else np.zeros(1, np.uint64)
+        self.own_class = np.full(len(self.own), OWN)
+        self.own_class[:len(own)] = np.argsort(words[:OWN])
+        order = np.argsort(words)
+        self.words = words[order] if len(words) else np.zeros(1, np.uint64)
+        self.log_count = np.log(counts[order]) if len(words) else np.zeros(1)
+        total = rest + np.bincount(self.class_of(words), weights=counts, minlength=CLASSES)
+        #: Logarithm of what a class's words share among them.
+        self.log_total = np.where(np.arange(CLASSES) < OWN, np.log(np.maximum(total, 1)), np.log(total + 1))
+        self.prior = (total + 1) / (total + 1).sum()
+
+    def class_of(self, words: np.ndarray) -> np.ndarray:
+        c = OWN + (words & np.uint64(CLASSES - OWN - 1)).astype(np.int64)
+        k = np.minimum(np.searchsorted(self.own, words), len(self.own) - 1)
+        single = (self.own[k] == words) & (self.own_class[k] < OWN)
+        c[single] = self.own_class[k[single]]
+        return c
+
+    def log_share(self, words: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log of each word's share of its class, and whether its count is here; where it isn't, that of a count of one."""
+        k = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        known = self.words[k] == words
+        return np.where(known, self.log_count[k], 0.0) - self.log_total[c], known
 
 
 def start(vocabulary: Vocabulary, seed: int = 5) -> np.ndarray:
@@ -130,13 +152,34 @@ def _words(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, Words
         yield i, j, Words(raw, off, i, j, NOT_SPACE)
 
 
+def _added(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of distinct words out of several such lists."""
+    words, counts = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(words)
+    words, counts = words[order], counts[order]
+    head = np.flatnonzero(np.append(True, words[1:] != words[:-1]))[:len(words)]
+    return words[head], np.add.reduceat(counts, head) if len(head) else counts
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << BITS, dtype=np.int64)
+    held, size = [], 0
+
+    def flush() -> pa.RecordBatch:
+        words, counts = _added(held)
+        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], ["word", "n"])
+
     for batch in batches:
         for _, _, w in _words(batch, "text"):
-            total += np.bincount(types_of(w), minlength=1 << BITS)
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["type", "n"])
+            held.append(np.unique(w.hash, return_counts=True))
+            size += len(held[-1][0])
+            if size > HELD:
+                held = [_added(held)]
+                size = len(held[0][0])
+                if size > HELD // 2:
+                    yield flush()
+                    held, size = [], 0
+    if held:
+        yield flush()
 
 
 def _train(sent, stride: int, rate: float):
@@ -145,7 +188,7 @@ def _train(sent, stride: int, rate: float):
         seen, waiting = 0, []
         for batch in batches:
             for i, _, w in _words(batch, "text"):
-                c = vocabulary.class_of[types_of(w)].astype(np.int64)
+                c = vocabulary.class_of(w.hash)
                 around = contexts(c, w.first)
                 # every stride-th word of the block, the place moving on with the documents read
                 at = np.arange((seen + i) % stride, len(c), stride)
@@ -168,15 +211,28 @@ def _train(sent, stride: int, rate: float):
     return run
 
 
-def fit(docs: DataFrame, text_col: str = "text", rounds: int = 2, stride: int = 6, rate: float = 0.02) -> tuple[Vocabulary, np.ndarray]:
-    """Vocabulary and weights learned from all of ``docs``."""
+def fit(docs: DataFrame, text_col: str = "text", rounds: int = 1, stride: int = 1, rate: float = 0.02,
+        top: int = TOP) -> tuple[Vocabulary, np.ndarray, DataFrame | None]:
+    """Vocabulary and weights learned from all of ``docs``, and (word, n) of the words beyond the most frequent ones, ``top`` at most, if there are any."""
     spark = docs.sparkSession
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
-    counts = np.zeros(1 << BITS, dtype=np.int64)
-    # 2**BITS rows at most
-    for r in texts.mapInArrow(released(_count), "type long, n long").groupBy("type").agg(F.sum("n").alias("n")).collect():
-        counts[r["type"]] = r["n"]
-    vocabulary = Vocabulary(counts)
+    # kept: scoring joins it
+    counts = Scratch(spark, "lm-words").save(texts.mapInArrow(released(_count), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), keep=True)
+    # words by the seven leading binary digits of their count: a few thousand rows at most
+    low = F.expr("shiftright(n, greatest(length(bin(n)) - 7, 0))") * F.expr("shiftleft(1L, greatest(length(bin(n)) - 7, 0))")
+    held, least = 0, None
+    for r in counts.groupBy(low.alias("low")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("low")).collect():
+        held += r["words"]
+        if held > top:
+            break
+        least = r["low"]
+    most = [] if least is None else counts.filter(F.col("n") >= least).orderBy(F.desc("n"), "word").collect()  # ``top`` rows at most
+    rest, by_class = None, np.zeros(CLASSES)
+    if held > top:
+        rest = counts if least is None else counts.filter(F.col("n") < least)
+        for r in rest.groupBy(F.col("word").bitwiseAND(CLASSES - OWN - 1).alias("k")).agg(F.sum("n").alias("n")).collect():
+            by_class[OWN + r["k"]] = r["n"]
+    vocabulary = Vocabulary(np.array([r["word"] for r in most], np.int64).view(np.uint64), np.array([r["n"] for r in most], np.int64), by_class)
     weights = start(vocabulary)
     for k in range(rounds):
         sent = spark.sparkContext.broadcast((vocabulary, weights))
@@ -187,32 +243,61 @@ def fit(docs: DataFrame, text_col: str = "text", rounds: int = 2, stride: int =
             weights = np.zeros_like(weights)
             for r in mean:
                 weights[r["k"]] = r["value"]
-    return vocabulary, weights
+    return vocabulary, weights, rest
 
 
 def _score(sent):
+    """A row for each document, and one with its key for each of its words whose count is in the table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, weights = sent.value
+        after = TaskContext.get().partitionId() << 40
         for batch in batches:
             n, total = np.zeros(batch.num_rows, dtype=np.int64), np.zeros(batch.num_rows)
+            rows, words, times = [], [], []
             for i, j, w in _words(batch, "text"):
-                t = types_of(w)
-                c = vocabulary.class_of[t].astype(np.int64)
-                p = log_probs(weights, contexts(c, w.first), c) + vocabulary.log_share[t]
+                c = vocabulary.class_of(w.hash)
+                share, known = vocabulary.log_share(w.hash, c)
+                p = log_probs(weights, contexts(c, w.first), c) + share
+                row = w.rows_of()
                 n[i:j] = np.diff(w.first)
-                total[i:j] = np.bincount(w.rows_of(), weights=p, minlength=j - i)
+                total[i:j] = np.bincount(row, weights=p, minlength=j - i)
+                row, word = row[~known] + i, w.hash[~known]
+                order = np.lexsort((word, row))
+                row, word = row[order], word[order]
+                head = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (word[1:] != word[:-1]))[:len(row)])
+                rows.append(row[head])
+                words.append(word[head].view(np.int64))
+                times.append(np.diff(np.append(head, len(row))))
             keep = [c for c in batch.schema.names if c != "text"]
-            mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(n), pa.array(total), mean], [*keep, "n_words", "log_prob", "mean_log_prob"])
+            names = [*keep, "key", "n_words", "log_prob", "word", "times"]
+            key = after + np.arange(batch.num_rows)
+            after += batch.num_rows
+            none = pa.nulls(batch.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(key), pa.array(n), pa.array(total), none, none], names)
+            if rows and sum(map(len, rows)):
+                row, word, time = (np.concatenate(x) for x in (rows, words, times))
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(len(row), batch.column(c).type) for c in keep), pa.array(key[row]), pa.nulls(len(row), pa.int64()),
+                                                  pa.nulls(len(row), pa.float64()), pa.array(word), pa.array(time)], names)
     return run
 
 
-def score(docs: DataFrame, model: tuple[Vocabulary, np.ndarray], text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def score(docs: DataFrame, model: tuple[Vocabulary, np.ndarray, DataFrame | None], text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns ``carry`` of every row, with n_words, log_prob (the sum) and mean_log_prob."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    spark = docs.sparkSession
+    vocabulary, weights, rest = model
+    sent = spark.sparkContext.broadcast((vocabulary, weights))
     names = {f"__c{k}": c for k, c in enumerate(carry)}
     rows = docs.select(*(F.col(c).alias(k) for k, c in names.items()), F.col(text_col).cast("string").alias("text"))
-    schema = T.StructType([f for f in rows.schema.fields if f.name != "text"]
-                          + T.StructType.fromDDL("n_words long, log_prob double, mean_log_prob double").fields)
-    out = rows.mapInArrow(released(_score(sent)), schema)
-    return out.select(*(F.col(k).alias(c) for k, c in names.items()), "n_words", "log_prob", "mean_log_prob")
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields if f.name != "text"]
+                          + T.StructType.fromDDL("key long, n_words long, log_prob double, word long, times long").fields)
+    found = rows.mapInArrow(released(_score(sent)), schema)
+    if rest is None:
+        out = found.filter("word IS NULL")
+    else:
+        # saved once: keys are those of one reading
+        found = Scratch(spark, "lm-score").save(found, keep=True)
+        more = found.filter("word IS NOT NULL").select("key", "word", "times").join(rest, "word")
+        more = more.groupBy("key").agg(F.sum(F.col("times") * F.log("n")).alias("more"))
+        out = found.filter("word IS NULL").join(more, "key", "left").withColumn("log_prob", F.col("log_prob") + F.coalesce("more", F.lit(0.0)))
+    mean = F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words"))
+    return out.select(*(F.col(k).alias(c) for k, c in names.items()), "n_words", "log_prob", mean.alias("mean_log_prob"))

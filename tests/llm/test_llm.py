@@ -1,18 +1,23 @@
 """Operators against brute force, exact round trips and held-out accuracy, with odd rows: nulls, empty and long texts, copies, clashing columns."""
 
 import base64
+import collections
 import hashlib
+import inspect
 import random
 import re
+import types
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from arspark.llm import decontam, jaccard, langid, lm, packing, quality, suffix_dedup, token_counts, vptree, warc
 from arspark.llm.common import Scratch, crc_fold, table
 from arspark.llm.queries import vocabulary_path
+from arspark.llm.text import NOT_SPACE, Words, as_bytes
 from tests.conftest import SF_SMALL
 
 UP = {i: i + 32 for i in range(65, 91)}
@@ -146,6 +151,43 @@ def test_lm(spark, odd):
     assert lm.score(empty(spark), lm.fit(empty(spark))).count() == 0
 
 
+def test_lm_counts_every_word(spark):
+    """All words train the network, whatever their place; a rare word's probability follows its own count, not that of a frequent one."""
+    texts = ["one two"] * 3 + ["the " * 30 + f"rare{k}" for k in range(40)] + ["rare0 rare1 " * 2]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    count = collections.Counter(w for t in texts for w in t.split())
+    steps, step = [], lm.train_step
+    lm.train_step = lambda weights, around, c, rate: steps.append(len(c))
+    try:
+        vocabulary, weights, _ = lm.fit(docs.limit(0))
+        sent = types.SimpleNamespace(value=(vocabulary, weights))
+        list(lm._train(sent, inspect.signature(lm.fit).parameters["stride"].default, 0.1)(iter([pa.RecordBatch.from_pydict({"text": texts})])))
+    finally:
+        lm.train_step = step
+    assert sum(steps) == sum(count.values())
+    for top in (1, 7, lm.TOP):
+        model = lm.fit(docs, top=top)
+        assert (model[2] is None) == (top >= len(count))
+        assert model[2] is None or {1: 1, 7: 5}[top] == len(count) - model[2].count()  # words as frequent as each other stay together
+        words = spark.createDataFrame([(k, w) for k, w in enumerate([*count, "unseen"])], "doc_id long, text string")
+        got = {r.text: r.log_prob for r in lm.score(words, model, carry=("text",)).collect()}
+        hashed = {w: Words(*as_bytes(pa.array([w])), 0, 1, NOT_SPACE).hash for w in got}
+        cls = {w: int(model[0].class_of(h)[0]) for w, h in hashed.items()}
+        total = collections.Counter()
+        for w, n in count.items():
+            total[cls[w]] += n
+        for w, p in got.items():
+            c = np.array([cls[w]])
+            share = 1 if c[0] < lm.OWN else count.get(w, 1) / (total[c[0]] + 1)
+            assert abs(p - np.log(share) - lm.log_probs(model[1], np.full((2 * lm.WINDOW, 1), lm.CLASSES), c)[0]) < 1e-6
+        # sums over documents agree with a model that has all counts at hand
+        sums = {r.doc_id: (r.n_words, r.log_prob) for r in lm.score(docs, model).collect()}
+        here = lm.Vocabulary(*(np.concatenate(x) for x in zip(*[(h, [count[w]]) for w, h in sorted(hashed.items(), key=lambda x: -count[x[0]]) if w in count])), np.zeros(lm.CLASSES))
+        here.own, here.own_class, here.log_total = model[0].own, model[0].own_class, model[0].log_total
+        for r in lm.score(docs, (here, model[1], None)).collect():
+            assert sums[r.doc_id][0] == r.n_words and abs(sums[r.doc_id][1] - r.log_prob) < 1e-6
+
+
 def test_warc(spark):
     evil = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:99>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     rows = [(k, f"http://x/{k % 7} é", f"<p>page {k // 3}</p>\r\n") for k in range(40)] + [(50, None, None), (51, "", ""), (52, "a\r\nb", evil), (53, "u", "x" + evil * 3), (52, "a\r\nb", evil)]
