@@ -2,7 +2,7 @@
 
 A document is the set of its distinct n-word shingles; two documents link when
 ``100 * |intersection| >= percent * |union|``. Equal sets are one class,
-represented by its smallest id, so copies are never paired with each other.
+represented by one row, so copies are never paired with each other.
 
 * Order. One pass counts all shingles of all documents in a fixed-size sketch
   (hashed counters). Shingles whose counter stands out are frequent; the order
@@ -35,8 +35,9 @@ represented by its smallest id, so copies are never paired with each other.
 
 Defined results: null and empty texts have no shingles and link with nothing; a
 text of fewer words has its whole sequence as one shingle; repeated rows are
-copies; a null id never names a component unless all ids of it are null; an
-empty table gives no rows; other columns are not read.
+copies; a null id never names a component unless all ids of it are null, but
+texts of rows without an id link as all others do (texts are fetched by a key of
+id and text, not by id); an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -82,10 +83,10 @@ def _sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, int, np.ndar
 
 
 def _profile(words: int):
-    """Rows of documents (class, n), and the sketch of a task's distinct sets in chunks."""
+    """Rows of documents (key, class, n), and the sketch of a task's distinct sets in chunks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, seen = np.zeros(1 << SKETCH_BITS, dtype=np.int32), set()
-        names = ["id", "cls", "n", "chunk", "counts"]
+        names = ["id", "key", "cls", "n", "chunk", "counts"]
         kind = None
         for batch in batches:
             kind = batch.schema.field("id").type
@@ -97,11 +98,11 @@ def _profile(words: int):
                         seen.add(c)
                         new[k] = True
                 sketch += np.bincount((vals[np.repeat(new, n)] >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), pa.array(cls), pa.array(n), pa.nulls(j - i, pa.int32()), pa.nulls(j - i, pa.binary())], names)
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), batch.column("key").slice(i, j - i), pa.array(cls), pa.array(n), pa.nulls(j - i, pa.int32()), pa.nulls(j - i, pa.binary())], names)
         if kind is not None:
             parts = sketch.reshape(-1, 1 << CHUNK_BITS)
             some = np.flatnonzero(parts.any(axis=1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(some), kind), pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.int64()), pa.array(some),
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(some), kind), *(pa.nulls(len(some), pa.int64()) for _ in range(3)), pa.array(some),
                                               pa.array([zlib.compress(parts[k].tobytes(), 1) for k in some], pa.binary())], names)
     return run
 
@@ -211,7 +212,7 @@ def _whole_sets(words: int):
             use, cls = batch.column("use"), batch.column("cls").to_numpy(zero_copy_only=False)
             for i, j in blocks(off):
                 vals, first = shingle_sets(Words(raw, off, i, j, NOT_SPACE), words)
-                own = digests(vals, first) == cls[i:j]  # another text may have the same id
+                own = digests(vals, first) == cls[i:j]  # another text may have the same key
                 at = np.flatnonzero(own)
                 blobs = pa.array([vals[first[k]:first[k + 1]].tobytes() for k in at.tolist()], pa.binary())
                 yield pa.RecordBatch.from_arrays([*use.slice(i, j - i).take(pa.array(at)).flatten(), pa.array(cls[i:j][at]), blobs], ["hub", "part", "member", "cls", "vals"])
@@ -253,9 +254,10 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int
     # partners of a hub with many of them are dealt over several parts, each of which gets the hub's own set
     member = near.join(parts, "hub").select("hub", F.pmod(F.hash("cls"), F.col("parts")).alias("part"), F.lit(1).alias("member"), "cls")
     own = parts.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("member"), F.col("hub").alias("cls"))
-    uses = member.union(own).join(classes.select("cls", F.col("first").alias("id")), "cls")
-    uses = scratch.save(uses.select("id", "cls", F.struct("hub", "part", "member").alias("use")))
-    rows = rows_with_ids(texts, uses.select("id").distinct(), "id").join(uses, "id").select("use", "cls", "text")
+    uses = member.union(own).join(classes.select("cls", F.col("first").alias("key")), "cls")
+    uses = scratch.save(uses.select("key", "cls", F.struct("hub", "part", "member").alias("use")))
+    # repeated rows have the same key; one of them will do
+    rows = rows_with_ids(texts, uses.select("key").distinct(), "key").select("key", "text").dropDuplicates(["key"]).join(uses, "key").select("use", "cls", "text")
     sets = rows.mapInArrow(released(_whole_sets(words)), "hub long, part int, member int, cls long, vals binary")
     sets = sets.repartition("hub", "part").sortWithinPartitions("hub", "part", "member")
     edges = scratch.save(sets.mapInArrow(released(_verify(percent)), "a long, b long").distinct())
@@ -267,15 +269,19 @@ def classes_of(docs: DataFrame, scratch: Scratch, words: int = 5, percent: int =
     """(id, cls, n) of every row of ``docs`` (columns id, text), and (cls, root) of classes that link with another."""
     spark = docs.sparkSession
     kind = docs.schema["id"].dataType
-    found = T.StructType([T.StructField("id", kind), *T.StructType.fromDDL("cls long, n long, chunk int, counts binary").fields])
+    docs = docs.withColumn("key", F.xxhash64("id", "text"))
+    found = T.StructType([T.StructField("id", kind), *T.StructType.fromDDL("key long, cls long, n long, chunk int, counts binary").fields])
     profile = scratch.save(docs.mapInArrow(released(_profile(words)), found))
     counts = np.zeros((1 << (SKETCH_BITS - CHUNK_BITS), 1 << CHUNK_BITS), dtype=np.int64)
     # as many rows as the sketch has chunks
     for r in profile.filter("chunk IS NOT NULL").select("chunk", "counts").repartition("chunk").mapInArrow(released(_sum_chunks), "chunk int, counts binary").collect():
         counts[r["chunk"]] = np.frombuffer(zlib.decompress(r["counts"]), dtype=np.int64)
     level = spark.sparkContext.broadcast(levels_of(counts.ravel()))
-    members = profile.filter("chunk IS NULL").select("id", "cls", "n")
-    classes = scratch.save(members.filter("n > 0 AND id IS NOT NULL").groupBy("cls").agg(F.min("id").alias("first"), F.min("n").alias("n")))
+    rows = profile.filter("chunk IS NULL")
+    members = rows.select("id", "cls", "n")
+    # the row that stands for a class: that of its smallest id, or one without an id if it has no other
+    first = F.coalesce(F.min_by("key", "id"), F.min("key"))
+    classes = scratch.save(rows.filter("n > 0").groupBy("cls").agg(first.alias("first"), F.min("n").alias("n")))
 
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     entries = docs.mapInArrow(released(_entries(words, percent, level, ranges)), "place int, shingles binary, classes binary, places binary")

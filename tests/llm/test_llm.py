@@ -76,6 +76,19 @@ def test_near_duplicates(spark, odd):
     assert jaccard.near_duplicates(empty(spark)).count() == 0
 
 
+def test_near_duplicates_without_ids(spark):
+    """Two documents that only a text without an id links; a near copy without an id; one without any partner."""
+    import corpus_pipeline
+    w = [f"a{k}" for k in range(100)]
+    x = [f"b{k}" for k in range(100)]
+    rows = [(1, w[13:]), (2, w[:87]), (None, w), (None, w), (5, x), (None, x[:95]), (None, [f"c{k}" for k in range(50)])]
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in rows], "doc_id long, text string").repartition(3)
+    got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs).collect())
+    assert got == {(1, 83, 1): 1, (2, 83, 1): 1, (None, 96, 1): 2, (5, 96, 5): 1, (None, 91, 5): 1, (None, 46, None): 1}
+    kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [1, 5]
+
+
 def test_prefixes_share_enough():
     """Two sets of the asked similarity share at least l entries of their l-prefixes, whatever the order."""
     rng = np.random.default_rng(2)
