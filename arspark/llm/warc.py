@@ -16,8 +16,8 @@ the number of files.
 Defined results: a null payload is empty; a null url gives a record without
 target; pages that repeat the smallest id and payload are all responses; a null
 id is written as ``null``; if all ids of a payload are null, all are responses;
-a truncated or damaged archive gives the records before the damage; no pages
-give an archive without records; other columns are not read.
+a truncated or damaged archive is an error, or gives the records before the
+damage if the caller asks for that; headers may have any length; no pages give an archive without records; other columns are not read.
 """
 
 from __future__ import annotations
@@ -37,8 +37,9 @@ from arspark.llm.common import Scratch, released, rows_with_ids
 MAGIC = re.compile(rb"WARC/1\.[01]\r\n")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
-#: A header block longer than this isn't one.
-HEADER_BYTES = 1 << 16
+LENGTH = re.compile(r"[0-9]{1,18}")
+#: Fields that are read.
+FIELDS = {b"content-length", b"content-type", b"warc-type", b"warc-record-id", b"warc-refers-to", b"warc-target-uri"}
 
 
 def base32_sha1(payload: bytes) -> str:
@@ -84,18 +85,34 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     out.mapInArrow(released(_records), "value string").write.option("maxRecordsPerFile", records_per_file).option("lineSep", "\n").text(path)
 
 
-def _header(data: bytes, at: int) -> tuple[dict[str, str], int] | None:
-    """Fields of a record header at ``at``, and the position after it."""
-    end = data.find(b"\r\n\r\n", at, at + HEADER_BYTES)
-    if end < 0:
-        return None
-    fields = {}
-    for line in data[at:end].split(b"\r\n")[1:]:
-        name, colon, value = line.partition(b":")
-        if not colon:
-            return None
-        fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
-    return fields, end + 4
+def _headers(data: bytes) -> Iterator[tuple[int, dict[str, str], int]]:
+    """Offset and fields of every record header, and the position after it."""
+    group, end = [], -1
+    for m in MAGIC.finditer(data):
+        if m.start() > end:
+            yield from _fields(data, group, end)
+            group, end = [], data.find(b"\r\n\r\n", m.start())
+            if end < 0:
+                return
+        group.append(m.start())
+    yield from _fields(data, group, end)
+
+
+def _fields(data: bytes, group: list[int], end: int) -> list[tuple[int, dict[str, str], int]]:
+    """The headers at the offsets ``group``, which all end at ``end``. From the last one on, so that lines they share are read once."""
+    found, fields, stop = [], {}, end
+    for at in reversed(group):
+        own = {}
+        for line in data[at + 10:stop].split(b"\r\n") if at + 10 < stop else ():
+            name, colon, value = line.partition(b":")
+            if not colon:
+                return found[::-1]
+            name = name.strip().lower()
+            if name in FIELDS:
+                own[name.decode()] = value.strip().decode("utf-8", "replace")
+        fields, stop = own | fields, at + 8
+        found.append((at, fields, end + 4))
+    return found[::-1]
 
 
 def _candidates(with_payload: bool):
@@ -104,20 +121,19 @@ def _candidates(with_payload: bool):
             for k in range(batch.num_rows):
                 name, data = batch.column("path")[k].as_py(), batch.column("content")[k].as_py() or b""
                 rows = []
-                for m in MAGIC.finditer(data):
-                    found = _header(data, m.start())
-                    if not found or not found[0].get("content-length", "").isdigit():
+                for at, fields, body in _headers(data):
+                    if not LENGTH.fullmatch(fields.get("content-length", "")):
                         continue
-                    fields, body = found
                     end = body + int(fields["content-length"])
                     if data[end:end + 4] != b"\r\n\r\n":
                         continue
                     block = data[body:end]
                     if fields.get("content-type", "").startswith("application/http"):
                         block = block.partition(b"\r\n\r\n")[2]
-                    rows.append({"file": name, "off": m.start(), "next": end + 4, "type": fields.get("warc-type"), "record_id": fields.get("warc-record-id"),
+                    rows.append({"file": name, "off": at, "next": end + 4, "type": fields.get("warc-type"), "record_id": fields.get("warc-record-id"),
                                  "refers_to": fields.get("warc-refers-to"), "uri": fields.get("warc-target-uri"), "payload_bytes": len(block),
                                  "payload_digest": base32_sha1(block)} | ({"payload": block} if with_payload else {}))
+                rows.append({"file": name, "off": len(data)})  # where the last record's successor would begin
                 yield pa.RecordBatch.from_pylist(rows, SCHEMA_PAYLOAD if with_payload else SCHEMA)
     return run
 
@@ -145,17 +161,22 @@ def reachable(candidates: DataFrame, scratch: Scratch) -> DataFrame:
             return state.filter("on").select("file", "off")
 
 
-def read_archives(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, with_payload: bool = False, damaged: bool = False) -> DataFrame:
     """Records of the archives under ``path``: file, off, next, type, record_id, refers_to, uri, payload_bytes, payload_digest (and payload).
 
     ``payload_bytes`` and ``payload_digest`` are of what the record holds: empty for a revisit.
+    A file whose chain of records stops before its end is an error, unless ``damaged`` files are allowed.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*[!_SUCCESS]").load(path).select("path", "content")
     ddl = DDL + (", payload binary" if with_payload else "")
     with Scratch(spark, "warc-read") as scratch:
         candidates = scratch.save(files.mapInArrow(released(_candidates(with_payload)), ddl), keep=True)
         on = scratch.save(reachable(candidates, scratch), keep=True)
-    return candidates.join(on, ["file", "off"])
+    if not damaged:
+        broken = candidates.filter("next IS NULL").join(on, ["file", "off"], "left_anti").select("file").limit(3).collect()
+        if broken:
+            raise ValueError("records end before their file does: " + ", ".join(r["file"] for r in broken))
+    return candidates.filter("next IS NOT NULL").join(on, ["file", "off"])
 
 
 def resolved(records: DataFrame) -> DataFrame:

@@ -4,8 +4,10 @@ import base64
 import collections
 import hashlib
 import inspect
+import pathlib
 import random
 import re
+import tempfile
 import types
 import zlib
 
@@ -220,6 +222,27 @@ def test_warc(spark):
     assert {bytes(r.payload).decode() for r in held} == set(first)
 
 
+def test_warc_long_url_and_damage(spark):
+    """A header of any length is read; records that a damaged file loses are not lost silently."""
+    urls = {k: f"http://x/{k}" for k in range(20)} | {4: "http://x/" + " " * 30000 + "WARC/1.1", 7: "u" * 200000}
+    pages = spark.createDataFrame([(k, u, f"<p>{k // 2}</p>") for k, u in urls.items()], "page_id long, url string, html string").coalesce(1)
+    path = Scratch(spark, "test-warc").path()
+    warc.write_archives(pages, path)
+    got = warc.resolved(warc.read_archives(spark, path)).collect()
+    assert {r.record_id: (r.uri, r.full_bytes) for r in got} == {f"<urn:page:{k}>": (u.replace(" ", "%20"), len(f"<p>{k // 2}</p>")) for k, u in urls.items()}
+    # lines that look like records inside a header are read in one go
+    many = b"WARC/1.1\r\n" + b"a:WARC/1.1\r\n" * 50000 + b"Content-Length: 0\r\n\r\n"
+    assert len(list(warc._headers(many + many))) == 100002
+    cut = pathlib.Path(tempfile.mkdtemp(prefix="arspark-test-"))
+    data = max((p.read_bytes() for p in pathlib.Path(path.removeprefix("file:")).glob("*.txt")), key=len)
+    (cut / "cut.txt").write_bytes(data[:-10])
+    with pytest.raises(ValueError, match="cut.txt"):
+        warc.read_archives(spark, str(cut))
+    held = warc.read_archives(spark, str(cut), damaged=True).count()
+    (cut / "cut.txt").write_bytes(data)
+    assert warc.read_archives(spark, str(cut)).count() == held + 1
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(600, 6)).round(1)
