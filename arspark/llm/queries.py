@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arspark.llm import decontam, jaccard, langid, lm, packing, quality, suffix_dedup, token_counts, vptree, warc
+from arspark.llm import chat, decontam, jaccard, langid, lm, packing, phrases, prefix_trie, quality, suffix_dedup, token_counts, vptree, warc
 from arspark.llm.common import Scratch, crc_fold, table
 
 
@@ -76,7 +76,22 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = turns.unionByName(chat.hostile_turns(spark, turns.schema["conv_id"].dataType.simpleString()))
+    return chat.digests(chat.read_back(chat.format_chat(turns, chat.text_part(F.col("text")))))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.grafted(prefix_trie.sequences(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op2_decontamination, op3_language_id, op4_warc, op5_token_counts, op6_nearest_neighbours, op7_quality, op8_packing, op9_lm_scoring, op10_suffix_dedup)
+    f.__name__: f for f in (op1_ngram_jaccard, op2_decontamination, op3_language_id, op4_warc, op5_token_counts, op6_nearest_neighbours, op7_quality, op8_packing, op9_lm_scoring, op10_suffix_dedup,
+                            op11_chat_format, op12_phrases, op13_prefix_trie)
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op11_chat_format": chat.ORACLE, "op12_phrases": phrases.ORACLE, "op13_prefix_trie": prefix_trie.ORACLE}
