@@ -41,7 +41,9 @@ DIMS = {
 
 
 def _typed(spec, df, drop=()):
-    return df.select(*[c for c in spec.names if c not in drop])
+    """The entity's columns; nested values as JSON text."""
+    return df.select(*[F.to_json(c.name).alias(c.name) if c.type == "variant" else F.col(c.name)
+                       for c in spec.columns if c.name not in drop])
 
 
 def stage_fact(entity: str):
@@ -85,22 +87,22 @@ def stage_ticket_item(d: Domain) -> DataFrame:
     """Invoices with their item arrays, newest version per ticket."""
     spec = S.ticket_item_spec()
     rows = stage(R.raw_ticket(d), spec).rows
-    return rows.select(*[c for c in spec.names if c != "items"],
+    return rows.select(*_typed(spec, rows, ("items",)).columns,
                        F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("itemCount"))
 
 
 def view_ticket_item_details(d: Domain) -> DataFrame:
-    return ticket_item_details(stage(R.raw_ticket(d), S.TICKET).rows)
+    return ticket_item_details(stage(R.raw_ticket(d), S.TICKET.only("customerID", "officeID", "invoiceDate", "items")).rows)
 
 
 def fact_customer_cancellation_reasons_raw(d: Domain) -> DataFrame:
     reasons = stage_dimension(R.raw_cancellation_reason(d), S.CANCELLATION_REASON)
-    return cancellation_reasons_from_raw(R.raw_customer(d), S.CUSTOMER, reasons)
+    return cancellation_reasons_from_raw(R.raw_customer(d), S.CUSTOMER.only("dateCancelled", "cancellationReasonIDs"), reasons)
 
 
 def changed_tasks(d: Domain, lo: str = "2024-01-10", hi: str = "2024-01-12") -> DataFrame:
     """Tasks added or updated from ``lo`` to ``hi``, the newest such version of each."""
-    versions, _, _ = project_raw(R.raw_landed_fact(d, S.TASK), S.TASK)
+    versions, _, _ = project_raw(R.raw_landed_fact(d, S.TASK), S.TASK.only("DateAdded", "DateUpdated"))
     bounds = (F.lit(x).cast("timestamp_ntz") for x in (lo, hi))
     return changed_or_added(versions, "TaskID", "DateUpdated", "DateAdded", *bounds).select("TaskID", "DateAdded", "DateUpdated")
 

@@ -27,7 +27,7 @@ def view_applied_payment(d: Domain) -> DataFrame:
 
 def view_employee(d: Domain) -> DataFrame:
     """Employees with the display name (NULL when a name part is missing)."""
-    e = stage(R.raw_employee(d), S.EMPLOYEE).rows
+    e = stage(R.raw_employee(d), S.EMPLOYEE.only("fName", "lName", "officeID")).rows
     return e.select("employeeID", "fName", "lName", "officeID",
                     F.concat(F.col("fName"), F.lit(" "), F.col("lName")).alias("FullName"))
 

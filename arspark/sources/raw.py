@@ -33,7 +33,8 @@ def to_raw(df: DataFrame, office: Column, load_ts: Column, payload_cols=None) ->
 def parse_raw(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split raw text rows into parsed rows (``RawData`` variant) and a
     quarantine of rows whose text is not valid JSON."""
-    p = df.withColumn("RawData", F.try_parse_json("RawDataString"))
+    # inline: the text is parsed once, whatever filters and columns follow
+    p = df.select("*", F.inline(F.array(F.struct(F.try_parse_json("RawDataString").alias("RawData")))))
     good = p.filter(F.col("RawData").isNotNull()).drop("RawDataString")
     bad = p.filter(F.col("RawData").isNull()).drop("RawData")
     return good, bad

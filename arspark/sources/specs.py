@@ -1,13 +1,14 @@
 """Entity specs: JSON field candidates -> typed columns for every pulled entity.
 
 Field names follow the current API names; older spellings are listed as extra
-candidates (paths are case-sensitive). Column lists keep the fields the marts
-and views use plus the change dates.
+candidates (paths are case-sensitive). Listed here are the columns that marts and
+views use; ``sources.columns`` has the others.
 """
 
 from __future__ import annotations
 
 from arspark.operators.spec import Col, EntitySpec
+from arspark.sources.columns import further_columns, hashed
 
 
 def C(name, *paths, t="bigint"):
@@ -18,6 +19,7 @@ APPLIED_PAYMENT = EntitySpec("applied_payment", "appliedPaymentID", [
     C("appliedPaymentID"), C("paymentID"), C("ticketID"), C("customerID"), C("officeID", t="int"),
     C("appliedByEmployeeID", "appliedBy", "appliedByEmployeeID"), C("dateApplied", t="date"),
     C("appliedAmount", t="money"), C("taxCollected", t="money"), C("serviceID"), C("listPrice", t="money"),
+    *further_columns("applied_payment"),
 ], plural="appliedPayments", tie_breakers=("serviceID", "appliedByEmployeeID", "listPrice"))
 
 TICKET = EntitySpec("ticket", "ticketID", [
@@ -26,6 +28,7 @@ TICKET = EntitySpec("ticket", "ticketID", [
     C("total", t="money"), C("subtotal", t="money"), C("taxAmount", t="money"), C("serviceCharge", t="money"),
     C("productionValue", t="money"), C("balance", t="money"), C("isActive", "active", "isActive", t="boolean"),
     C("status", t="string"), C("items", t="array"),
+    *further_columns("ticket"),
 ], plural="tickets")
 
 def ticket_item_spec(key: str = "ticketID") -> EntitySpec:
@@ -34,7 +37,7 @@ def ticket_item_spec(key: str = "ticketID") -> EntitySpec:
     return EntitySpec("ticket_item", key, [
         C("ticketID"), C("customerID"), C("officeID", t="int"), C("ticketDate", "invoiceDate", "ticketDate", t="date"),
         C("subtotal", t="money"), C("taxAmount", t="money"), C("total", t="money"),
-        C("remainingBalance", "balance", t="money"), C("items", t="array")], plural="ticketItems")
+        C("remainingBalance", "balance", t="money"), C("items", t="array"), *further_columns("ticket_item")], plural="ticketItems")
 
 
 CUSTOMER = EntitySpec("customer", "customerID", [
@@ -45,12 +48,14 @@ CUSTOMER = EntitySpec("customer", "customerID", [
     C("phone1", "phone1", "phoneNumber", t="string"), C("email", t="string"), C("address", t="string"),
     C("city", t="string"), C("state", t="string"), C("zip", t="string"), C("autopayPaymentProfileID"),
     C("cancellationReasonIDs", t="array"),
+    *further_columns("customer"),
 ], plural="customers")
 
 PAYMENT = EntitySpec("payment", "paymentID", [
     C("paymentID"), C("customerID"), C("officeID", t="int"), C("paymentDate", "date", "paymentDate", t="date"),
     C("amount", t="money"), C("appliedAmount", t="money"), C("paymentMethod", t="int"), C("status", t="int"),
     C("writeoff", t="boolean"), C("cardType", t="string"), C("employeeID"),
+    *further_columns("payment"),
 ], plural="payments")
 
 APPOINTMENT = EntitySpec("appointment", "appointmentID", [
@@ -58,47 +63,62 @@ APPOINTMENT = EntitySpec("appointment", "appointmentID", [
     C("appointmentType", "type", "appointmentType"), C("appointmentDate", "date", "appointmentDate", t="date"),
     C("timeIn", t="timestamp"), C("timeOut", t="timestamp"), C("duration"), C("status", t="int"),
     C("dateCompleted", t="timestamp"),
+    *further_columns("appointment"),
 ], plural="appointments")
 
 SUBSCRIPTION = EntitySpec("subscription", "subscriptionID", [
     C("subscriptionID"), C("customerID"), C("officeID", t="int"), C("serviceTypeID", "serviceID", "serviceTypeID"),
     C("recurringCharge", t="money"), C("billingFrequency", t="int"), C("isActive", "active", "isActive", t="boolean"),
     C("dateAdded", t="date"),
+    *further_columns("subscription"),
 ], plural="subscriptions")
 
 NOTE = EntitySpec("note", "noteID", [
     C("noteID"), C("employeeID"), C("customerID"), C("typeID"), C("dateCreated", "date", "dateCreated", t="timestamp"),
+    *further_columns("note"),
 ], plural="notes")
 
 ROUTE = EntitySpec("route", ("routeID", "routeDate"), [
     C("routeID"), C("routeDate", "date", "routeDate", t="date"), C("officeID", t="int"),
     C("assignedTech"), C("routeTitle", "title", "routeTitle", t="string"), C("totalDistance", t="money"),
     C("appointmentDurationEstimate"), C("drivingDurationEstimate"),
+    *further_columns("route"),
 ], plural="routes")
 
 EMPLOYEE = EntitySpec("employee", "employeeID", [
     C("employeeID"), C("fName", "fname", "fName", "firstName", t="string"),
     C("lName", "lname", "lName", "lastName", t="string"), C("officeID", t="int"),
+    *further_columns("employee"),
 ], plural="employees")
 
 PAYMENT_PROFILE = EntitySpec("payment_profile", "paymentProfileID", [
     C("paymentProfileID"), C("customerID"), C("failedAttempts"), C("lastDeclineType", t="string"),
     C("retryPoints"), C("accountNumber", t="string"),
-], plural="paymentProfiles", sensitive=("accountNumber",))
+    *further_columns("payment_profile"),
+], plural="paymentProfiles", sensitive=("accountNumber", *hashed("payment_profile")))
 
 OFFICE = EntitySpec("office", "officeID", [C("officeID", t="int"), C("officeName", t="string"),
-                                            C("regionID", t="int")], plural="offices")
-REGION = EntitySpec("region", "regionID", [C("regionID", t="int"), C("regionName", "region", "regionName", t="string")],
+                                            C("regionID", t="int"),
+    *further_columns("office"),
+], plural="offices")
+REGION = EntitySpec("region", "regionID", [C("regionID", t="int"), C("regionName", "region", "regionName", t="string"),
+    *further_columns("region"),
+],
                     plural="regions")
 SERVICE_TYPE = EntitySpec("service_type", "serviceTypeID", [
     C("serviceTypeID", "typeID", "serviceTypeID"), C("officeID", t="int"),
     C("serviceTypeName", "serviceTypeName", "description", t="string"), C("description", t="string"),
     C("category", t="string"), C("defaultCharge", t="money"),
+    *further_columns("service_type"),
 ], plural="serviceTypes")
 CUSTOMER_SOURCE = EntitySpec("customer_source", "sourceID", [
-    C("sourceID", t="int"), C("source", t="string"), C("sourceName", t="string")], plural="customerSources")
+    C("sourceID", t="int"), C("source", t="string"), C("sourceName", t="string"),
+    *further_columns("customer_source"),
+], plural="customerSources")
 CANCELLATION_REASON = EntitySpec("cancellation_reason", "reasonID", [
-    C("reasonID", "reasonID", "cancellationReasonID"), C("description", "description", "reason", t="string")],
+    C("reasonID", "reasonID", "cancellationReasonID"), C("description", "description", "reason", t="string"),
+    *further_columns("cancellation_reason"),
+],
     plural="cancellationReasons")
 
 # Output columns of the facts that no mart reads, and the record fields they come from.
@@ -180,8 +200,14 @@ LANDED_FACTS = {s.name: s for s in (APPOINTMENT_REMINDER, KNOCK, GENERIC_FLAG_AS
 
 
 PRODUCT = EntitySpec("product", "productID", [C("productID"), C("description", t="string"), C("code", t="string"),
-                                              C("amount", t="money")], plural="products")
+                                              C("amount", t="money"),
+    *further_columns("product"),
+], plural="products")
 GENERIC_FLAG = EntitySpec("generic_flag", "genericFlagID", [C("genericFlagID"), C("code", t="string"),
-                                                             C("description", t="string")], plural="genericFlags")
+                                                             C("description", t="string"),
+    *further_columns("generic_flag"),
+], plural="genericFlags")
 RESERVICE_REASON = EntitySpec("reservice_reason", "reserviceReasonID", [
-    C("reserviceReasonID"), C("reason", t="string")], plural="reserviceReasons")
+    C("reserviceReasonID"), C("reason", t="string"),
+    *further_columns("reservice_reason"),
+], plural="reserviceReasons")

@@ -1,45 +1,63 @@
 """Oracle SQL for the staging jobs: the typed output of staging a raw log must
 equal the entity computed directly from the driver tables."""
 
+from arspark.sources.columns import further
 from oraclesql.entities import with_entities
 from oraclesql.marts import CCR_FACT_CTE
 
 
-def proj(entity, cols, money=()):
+# What a record's further fields hold: the record's id (k) and the length of the field's name (n) make the value.
+_FURTHER = {
+    "n": "{k} * {n} % 997", "s": "'{f}-' || ({k} % 7)", "x": "sha256('{f}-' || ({k} % 7))", "b": "({k} + {n}) % 2 = 0",
+    "t": "CASE WHEN {k} % 10 <> 3 THEN TIMESTAMP '2001-01-01' + ({k} % 1000 + {n}) * INTERVAL 1 HOUR END",
+    "d": "CASE WHEN {k} % 10 <> 3 THEN DATE '2001-01-01' + CAST({k} % 1000 + {n} AS INTEGER) END",
+    "o": "CASE WHEN {k} % 10 <> 3 THEN strftime(TIMESTAMP '2001-01-01' + ({k} % 1000 + {n}) * INTERVAL 1 MINUTE, '%H:%M:%S') END",
+    "f": "CAST({k} * {n} % 180 - 90 AS DOUBLE) + 0.25", "a": "'[' || ({k} % 50) || ',{n}]'",
+}
+
+
+def more(entity, key, has=()):
+    """SELECT items of an entity's further columns; ``has``: fields that its record has of its own (column, SQL)."""
+    own = dict(has)
+    return ", ".join(f"{own.get(name, _FURTHER[kind].format(k=f'CAST({key} AS BIGINT)', n=len(field), f=field.lower()))} AS {name}"
+                     for name, kind, field in further(entity))
+
+
+def proj(entity, cols, money=(), of=None, key=None):
     sel = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in money else c for c in cols)
-    return with_entities(f"SELECT {sel} FROM {entity}")
+    return with_entities(f"SELECT {sel}{', ' + more(of, key or cols[0]) if of else ''} FROM {entity}")
 
 
 Q: dict[str, str] = {}
 Q["stage_applied_payment"] = proj("applied_payment", ["appliedPaymentID", "paymentID", "ticketID", "customerID",
                                                       "officeID", "appliedByEmployeeID", "dateApplied",
                                                       "appliedAmount", "taxCollected", "serviceID"],
-                                  ["appliedAmount", "taxCollected"])
+                                  ["appliedAmount", "taxCollected"], of="applied_payment")
 _TICKET = ["ticketID", "customerID", "officeID", "invoiceDate", "completedOn", "serviceID", "total", "subtotal",
            "taxAmount", "serviceCharge", "productionValue", "balance", "isActive", "status"]
 _TICKET_MONEY = ["total", "subtotal", "taxAmount", "serviceCharge", "productionValue", "balance"]
-Q["stage_ticket"] = proj("ticket", _TICKET, _TICKET_MONEY)
+Q["stage_ticket"] = proj("ticket", _TICKET, _TICKET_MONEY, of="ticket")
 Q["stage_ticket_incremental"] = Q["stage_ticket"]
 Q["stage_customer"] = proj("customer_v", ["customerID", "officeID", "regionID", "fName", "lName", "companyName",
                                           "balance", "source", "sourceID", "dateAdded", "dateCancelled", "status",
                                           "phone1", "email", "address", "city", "state", "zip",
-                                          "autopayPaymentProfileID"], ["balance"])
+                                          "autopayPaymentProfileID"], ["balance"], of="customer")
 Q["stage_payment"] = proj("payment", ["paymentID", "customerID", "officeID", "paymentDate", "amount", "appliedAmount",
                                       "paymentMethod", "status", "writeoff", "cardType", "employeeID"],
-                          ["amount", "appliedAmount"])
+                          ["amount", "appliedAmount"], of="payment")
 Q["stage_appointment"] = proj("appointment", ["appointmentID", "customerID", "employeeID", "routeID", "ticketID",
                                               "subscriptionID", "appointmentType", "appointmentDate", "timeIn",
-                                              "timeOut", "duration", "status", "dateCompleted"])
+                                              "timeOut", "duration", "status", "dateCompleted"], of="appointment")
 Q["stage_subscription"] = proj("subscription", ["subscriptionID", "customerID", "officeID", "serviceTypeID",
                                                 "recurringCharge", "billingFrequency", "isActive", "dateAdded"],
-                               ["recurringCharge"])
-Q["stage_note"] = proj("note", ["noteID", "employeeID", "customerID", "typeID", "dateCreated"])
+                               ["recurringCharge"], of="subscription")
+Q["stage_note"] = proj("note", ["noteID", "employeeID", "customerID", "typeID", "dateCreated"], of="note")
 Q["stage_route"] = proj("route", ["routeID", "routeDate", "officeID", "assignedTech", "routeTitle", "totalDistance",
-                                  "appointmentDurationEstimate", "drivingDurationEstimate"], ["totalDistance"])
-Q["stage_employee"] = proj("employee", ["employeeID", "fName", "lName", "officeID"])
+                                  "appointmentDurationEstimate", "drivingDurationEstimate"], ["totalDistance"], of="route")
+Q["stage_employee"] = proj("employee", ["employeeID", "fName", "lName", "officeID"], of="employee")
 Q["stage_payment_profile"] = with_entities(
     "SELECT paymentProfileID, customerID, failedAttempts, lastDeclineType, retryPoints, "
-    "sha256(lpad(CAST(customerID AS VARCHAR), 12, '0')) AS accountNumber FROM payment_profile")
+    "sha256(lpad(CAST(customerID AS VARCHAR), 12, '0')) AS accountNumber, " + more("payment_profile", "paymentProfileID") + " FROM payment_profile")
 
 
 
@@ -88,18 +106,18 @@ for _e, _columns in _LANDED.items():
     _parts = [c.split() for c in _columns.split(",")]
     Q[f"stage_{_e}"] = "SELECT " + ", ".join(f"{_KINDS[k].format(f=''.join(f))} AS {n}" for n, k, *f in _parts) + " FROM events"
 
-Q["dim_office"] = proj("office", ["officeID", "officeName", "regionID"])
-Q["dim_region"] = proj("region_d", ["regionID", "regionName"])
+Q["dim_office"] = proj("office", ["officeID", "officeName", "regionID"], of="office")
+Q["dim_region"] = proj("region_d", ["regionID", "regionName"], of="region")
 Q["dim_service_type"] = proj("service_type", ["serviceTypeID", "officeID", "serviceTypeName", "description",
-                                              "category", "defaultCharge"], ["defaultCharge"])
-Q["dim_customer_source"] = proj("customer_source", ["sourceID", "source", "sourceName"])
-Q["dim_cancellation_reason"] = proj("cancellation_reason", ["reasonID", "description"])
+                                              "category", "defaultCharge"], ["defaultCharge"], of="service_type")
+Q["dim_customer_source"] = proj("customer_source", ["sourceID", "source", "sourceName"], of="customer_source")
+Q["dim_cancellation_reason"] = proj("cancellation_reason", ["reasonID", "description"], of="cancellation_reason")
 Q["dim_product"] = ("SELECT p_partkey AS productID, p_name AS description, p_brand AS code, "
-                    "CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) AS amount FROM part")
+                    "CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) AS amount, " + more("product", "p_partkey") + " FROM part")
 Q["dim_generic_flag"] = ("SELECT MIN(event_id) AS genericFlagID, event_type AS code, "
-                         "upper(substring(event_type, 1, 1)) || lower(substring(event_type, 2)) AS description "
-                         "FROM events GROUP BY event_type")
-Q["dim_reservice_reason"] = "SELECT CAST(n_nationkey AS BIGINT) AS reserviceReasonID, n_name AS reason FROM nation"
+                         "upper(substring(event_type, 1, 1)) || lower(substring(event_type, 2)) AS description, "
+                         + more("generic_flag", "MIN(event_id)") + " FROM events GROUP BY event_type")
+Q["dim_reservice_reason"] = "SELECT CAST(n_nationkey AS BIGINT) AS reserviceReasonID, n_name AS reason, " + more("reservice_reason", "n_nationkey") + " FROM nation"
 
 Q["view_ticket_item_details"] = with_entities("""
 SELECT t.ticketID, t.customerID, t.officeID, t.invoiceDate AS ticketDate,
@@ -140,7 +158,9 @@ Q["view_employee"] = with_entities("SELECT employeeID, fName, lName, officeID, f
 Q["stage_ticket_item"] = with_entities("""
 SELECT t.ticketID, t.customerID, t.officeID, t.invoiceDate AS ticketDate, CAST(t.subtotal AS DOUBLE) AS subtotal,
        CAST(t.taxAmount AS DOUBLE) AS taxAmount, CAST(t.total AS DOUBLE) AS total,
-       CAST(t.balance AS DOUBLE) AS remainingBalance, COALESCE(n.c, 0) AS itemCount
+       CAST(t.balance AS DOUBLE) AS remainingBalance, COALESCE(n.c, 0) AS itemCount, """ + more("ticket_item", "t.ticketID", {
+    "IsActive": "t.isActive", "ServiceCharge": "CAST(t.serviceCharge AS DOUBLE)", "ProductionValue": "CAST(t.productionValue AS DOUBLE)",
+    "ServiceID": "t.serviceID"}) + """
 FROM ticket t LEFT JOIN (SELECT ticketID, COUNT(*) AS c FROM applied_payment GROUP BY ticketID) n ON t.ticketID = n.ticketID""")
 Q["changed_tasks"] = """
 SELECT event_id AS TaskID, ts + INTERVAL 9 HOUR AS DateAdded, ts + INTERVAL 11 HOUR AS DateUpdated FROM events

@@ -103,3 +103,38 @@ def test_incremental_window_on_text_and_parsed_raw(spark):
     assert [r.thingID for r in stage(df, SPEC, now=now, hours=24).rows.collect()] == [2]
     parsed, _ = parse_raw(df)
     assert [r.thingID for r in stage(parsed, SPEC, now=now, hours=24).rows.collect()] == [2]
+
+
+# How many columns each entity has.
+COLUMN_COUNTS = {"customer": 82, "subscription": 82, "employee": 34, "ticket": 23, "payment": 27, "applied_payment": 12,
+                 "appointment": 43, "note": 23, "payment_profile": 36, "route": 27}
+
+
+def test_every_entity_has_its_columns():
+    from arspark.plans.staging import DIMS, FACTS
+    for entity, n in COLUMN_COUNTS.items():
+        names = FACTS[entity][1].names
+        assert len(names) == n == len({x.lower() for x in names}), entity
+    wide = {e: len(spec.names) for e, (_, spec) in DIMS.items()}
+    assert wide == {"office": 15, "region": 8, "service_type": 21, "customer_source": 7, "cancellation_reason": 3, "product": 11,
+                    "generic_flag": 8, "reservice_reason": 4}
+
+
+def test_record_is_read_once(spark):
+    """However many columns: the text is parsed once and the record read once."""
+    from arspark.sources.specs import CUSTOMER
+    rows = stage(raw(spark, [(1, T0, {"customerID": 1})]), CUSTOMER).rows
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parseJson") == 1 and plan.count("try_variant_get") == 1
+
+
+def test_fields_of_one_name_and_two_kinds(spark):
+    spec = EntitySpec("t", "k", [Col("k", ("k",)), Col("day", ("at",), "date"), Col("at", ("at",), "variant"), Col("n", ("N",), "int"),
+                                 Col("list", ("list",), "array"), Col("time", ("clock",), "time"), Col("half", ("half",), "double")])
+    df = raw(spark, [(1, T0, {"k": 1, "at": "2024-03-01 10:00:00", "N": "x", "n": 7, "list": [1, "a"], "clock": "2024-01-01 09:08:07", "half": "0.5"}),
+                     (1, T0, {"K": 2}), (1, T0, "[1, 2]"), (1, T0, "3"), (1, T0, {"k": 4, "list": {"a": 1}, "at": {"b": 2}, "clock": ""})])
+    st = stage(df, spec)
+    got = {r.k: r for r in st.rows.select("k", "day", F.to_json("at").alias("at"), "n", F.size("list").alias("size"), "time", "half").collect()}
+    assert (str(got[1].day), got[1].at, got[1].n, got[1].size, got[1].time, got[1].half) == ("2024-03-01", '"2024-03-01 10:00:00"', 7, 2, "09:08:07", 0.5)
+    assert (got[4].day, got[4].at, got[4].size, got[4].time) == (None, '{"b":2}', -1, None) or got[4].size is None
+    assert st.null_keys.count() == 3 and st.bad_json.count() == 0
