@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from arspark.operators.sinks import read_current, upsert
+from arspark.operators import buckets as tables
 from arspark.operators.spec import EntitySpec
 from arspark.operators.stage import stage
 from arspark.session import scratch_path
@@ -72,7 +72,7 @@ def dedupe_stream(df: DataFrame, key_path: str, version_path: str = "$.dateUpdat
         .dropDuplicatesWithinWatermark(["_k", "_ver"]).drop("_k", "_ver", "_event_time")
 
 
-def _batch_upsert(spec: EntitySpec, target_path: str, quarantine_path: str):
+def _batch_upsert(spec: EntitySpec, target_path: str, quarantine_path: str, buckets: int):
     def fn(batch: DataFrame, epoch_id: int):
         spark = batch.sparkSession
         if batch.isEmpty():  # a run that has nothing new leaves the target as it is
@@ -84,16 +84,18 @@ def _batch_upsert(spec: EntitySpec, target_path: str, quarantine_path: str):
         query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         st.bad_json.withColumn("query", F.lit(query)).withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite") \
             .parquet(f"{quarantine_path.rstrip('/')}/part={query}-{epoch_id}")
-        # the target numbers its versions itself; merging a replayed epoch once more gives the same rows
-        upsert(spark, target_path, st.rows, spec.keys, tie_breakers=spec.tie_breakers)
+        # the target remembers a checkpoint's last epoch: one that is replayed after its commit is left out
+        tables.upsert(spark, target_path, st.rows, spec.keys, tie_breakers=spec.tie_breakers, buckets=buckets, batch=(query, epoch_id))
         batch.unpersist()
     return fn
 
 
 def run_upsert_stream(spark: SparkSession, src_dir: str, spec: EntitySpec, target_path: str,
-                      quarantine_path: str, checkpoint: str | None = None, dedupe: bool = False):
+                      quarantine_path: str, checkpoint: str | None = None, dedupe: bool = False, buckets: int = 64,
+                      max_files_per_trigger: int | None = None):
     """Land -> (dedupe) -> per micro-batch: quarantine bad JSON, merge the
-    newest version per key into the versioned target. Runs what is available
+    newest version per key into the bucketed target, which rewrites only the
+    buckets that the batch's keys fall into. Runs what is available
     and stops (``availableNow``); schedule it for continuous operation.
 
     Nothing is dropped before the merge, which is idempotent by itself: records
@@ -103,10 +105,10 @@ def run_upsert_stream(spark: SparkSession, src_dir: str, spec: EntitySpec, targe
     watermark, so it is off unless asked for.
     """
     checkpoint = checkpoint or scratch_path(spark, f"stream-{spec.name}")
-    df = read_raw_stream(spark, src_dir)
+    df = read_raw_stream(spark, src_dir, max_files_per_trigger)
     if dedupe:
         df = dedupe_stream(df, f"$.{spec.keys[0]}")
-    q = df.writeStream.foreachBatch(_batch_upsert(spec, target_path, quarantine_path)) \
+    q = df.writeStream.foreachBatch(_batch_upsert(spec, target_path, quarantine_path, buckets)) \
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return q
@@ -119,5 +121,5 @@ def land_files(df: DataFrame, out_dir: str, n_files: int = 1) -> None:
 
 
 def current_rows(spark: SparkSession, target_path: str, columns: Sequence[str]) -> DataFrame | None:
-    cur = read_current(spark, target_path)
+    cur = tables.read(spark, target_path)
     return None if cur is None else cur.select(*columns)

@@ -37,7 +37,7 @@ _TICKET = ["ticketID", "customerID", "officeID", "invoiceDate", "completedOn", "
            "taxAmount", "serviceCharge", "productionValue", "balance", "isActive", "status"]
 _TICKET_MONEY = ["total", "subtotal", "taxAmount", "serviceCharge", "productionValue", "balance"]
 Q["stage_ticket"] = proj("ticket", _TICKET, _TICKET_MONEY, of="ticket")
-Q["stage_ticket_incremental"] = Q["stage_ticket"]
+Q["stage_ticket_incremental"] = Q["stage_ticket_streamed"] = Q["stage_ticket"]
 Q["stage_customer"] = proj("customer_v", ["customerID", "officeID", "regionID", "fName", "lName", "companyName",
                                           "balance", "source", "sourceID", "dateAdded", "dateCancelled", "status",
                                           "phone1", "email", "address", "city", "state", "zip",

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from arspark.operators import sinks
+from arspark.operators import buckets, sinks
 from arspark.operators.spec import Col, EntitySpec
 from arspark.operators.stage import stage
 from arspark.sources.raw import parse_raw
@@ -70,7 +70,7 @@ def test_stream_upsert_matches_batch_and_restarts(spark, tmpdir_path):
     run_upsert_stream(spark, src, SPEC, target, quarantine, checkpoint=ckpt)
     land_files(f2, src)
     run_upsert_stream(spark, src, SPEC, target, quarantine, checkpoint=ckpt)  # restart from checkpoint
-    cur = sinks.read_current(spark, target)
+    cur = buckets.read(spark, target)
     got = {r.itemID: r.v for r in cur.collect()}
     batch = {r.itemID: r.v for r in stage(f1.unionByName(f2), SPEC).rows.collect()}
     assert got == batch == {1: "a2", 2: "b"}
@@ -85,10 +85,10 @@ def test_stream_keeps_bad_late_and_unversioned_rows(spark, tmpdir_path):
     run_upsert_stream(spark, src, SPEC, target, quarantine, checkpoint=ckpt)
     land_files(raw(spark, [(1, T0, {"itemID": 6, "v": "late"})]), src)  # two days behind the newest load
     run_upsert_stream(spark, src, SPEC, target, quarantine, checkpoint=ckpt)
-    before = sorted(os.listdir(target))
+    before = buckets.versions(spark, target)
     run_upsert_stream(spark, src, SPEC, target, quarantine, checkpoint=ckpt)  # nothing new
-    assert sorted(os.listdir(target)) == before
-    assert {r.itemID: r.v for r in sinks.read_current(spark, target).collect()} == {1: "new", 6: "late"}
+    assert buckets.versions(spark, target) == before == [1, 2]
+    assert {r.itemID: r.v for r in buckets.read(spark, target).collect()} == {1: "new", 6: "late"}
     assert spark.read.parquet(quarantine).count() == 3
 
 
@@ -98,14 +98,88 @@ def test_new_checkpoint_and_batch_upserts_share_a_target(spark, tmpdir_path):
         src = os.path.join(tmpdir_path, f"in{k}")
         land_files(raw(spark, rows), src)
         run_upsert_stream(spark, src, SPEC, target, quarantine, checkpoint=os.path.join(tmpdir_path, f"ckpt{k}"))
-        os.makedirs(os.path.join(target, f"v={3 * k + 2}"))  # left by a write that failed
+        os.makedirs(os.path.join(target, "data", f"dead{k}", "bucket=1"))  # left by a write that failed
         batch = stage(raw(spark, [(1, T2, {"itemID": 10 + k, "v": "batch"})]), SPEC).rows
-        sinks.upsert(spark, target, batch, "itemID")
-    got = {r.itemID: r.v for r in sinks.read_current(spark, target).collect()}
+        buckets.upsert(spark, target, batch, "itemID")
+    got = {r.itemID: r.v for r in buckets.read(spark, target).collect()}
     assert got == {1: "a", 2: "b", 10: "batch", 11: "batch"}
     assert spark.read.parquet(quarantine).count() == 2  # both checkpoints' epoch 0
 
 
+def _items(spark, rows):
+    return spark.createDataFrame(rows, "itemID long, v string, lastLoadTime timestamp_ntz")
+
+
+def test_upsert_of_one_key_rewrites_one_bucket(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t")
+    buckets.upsert(spark, path, _items(spark, [(k, "a", T0) for k in range(200)]), "itemID", buckets=16)
+    one = buckets.manifest(spark, path)
+    got = buckets.upsert(spark, path, _items(spark, [(7, "b", T1), (7, "older", T0)]), "itemID", buckets=99)
+    two = buckets.manifest(spark, path)
+    assert len(one.buckets) == two.n == 16 and sum(one.buckets[b] != w for b, w in two.buckets.items()) == 1
+    assert {r.itemID: r.v for r in got.collect()} == {k: "b" if k == 7 else "a" for k in range(200)}
+    assert len(os.listdir(os.path.join(path, "data"))) == 2 and os.listdir(os.path.join(path, "_incoming")) == []
+    changed = buckets.read_changed(spark, path, 1).collect()
+    assert (7, "b") in {(r.itemID, r.v) for r in changed} and len(changed) < 60
+    assert buckets.read(spark, path, 1).filter("itemID = 7").first().v == "a" and buckets.read(spark, path, 3) is None
+    buckets.upsert(spark, path, _items(spark, []), "itemID")
+    assert buckets.versions(spark, path) == [1, 2]
+
+
+def test_write_that_dies_before_its_commit(spark, tmpdir_path, monkeypatch):
+    path = os.path.join(tmpdir_path, "t")
+    buckets.upsert(spark, path, _items(spark, [(1, "a", T0), (2, "a", T0)]), "itemID", buckets=4)
+
+    def dies(self, name, text):
+        raise OSError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(buckets._Files, "create", dies)
+        try:
+            buckets.upsert(spark, path, _items(spark, [(1, "b", T1)]), "itemID")
+        except OSError:
+            pass
+    assert {r.itemID: r.v for r in buckets.read(spark, path).collect()} == {1: "a", 2: "a"}
+    assert buckets.retain(spark, path, older_than_s=3600) == []  # it may still be at work
+    assert len(buckets.retain(spark, path, older_than_s=-1)) == 1
+    got = buckets.upsert(spark, path, _items(spark, [(1, "b", T1)]), "itemID")
+    assert {r.itemID: r.v for r in got.collect()} == {1: "b", 2: "a"}
+
+
+def test_of_two_writers_one_fails(spark, tmpdir_path, monkeypatch):
+    path = os.path.join(tmpdir_path, "t")
+    buckets.upsert(spark, path, _items(spark, [(1, "a", T0)]), "itemID", buckets=4)
+    before = buckets._Files.create
+    raced = []
+
+    def late(self, name, text):
+        if not raced:  # another writer commits between this one's data and its manifest
+            raced.append(1)
+            buckets.upsert(spark, path, _items(spark, [(1, "first", T1)]), "itemID")
+        return before(self, name, text)
+    monkeypatch.setattr(buckets._Files, "create", late)
+    try:
+        buckets.upsert(spark, path, _items(spark, [(1, "second", T1), (5, "x", T1)]), "itemID")
+        raise AssertionError("both committed")
+    except buckets.ConcurrentUpsert:
+        pass
+    assert {r.itemID: r.v for r in buckets.read(spark, path).collect()} == {1: "first"}
+    assert buckets.versions(spark, path) == [1, 2]
+
+
+def test_batches_merge_once_and_columns_are_added(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t")
+    for n in (0, 0, 1, 0):
+        buckets.upsert(spark, path, _items(spark, [(n, f"batch {n}", T0)]), "itemID", buckets=4, batch=("s", n))
+    assert buckets.versions(spark, path) == [1, 2]
+    wide = _items(spark, [(1, "wide", T1), (9, "new", T1)]).withColumn("w", F.lit(5))
+    got = {r.itemID: (r.v, r.w) for r in buckets.upsert(spark, path, wide, "itemID").collect()}
+    assert got == {0: ("batch 0", None), 1: ("wide", 5), 9: ("new", 5)}
+    buckets.upsert(spark, path, _items(spark, [(9, "narrow", T2)]), "itemID")
+    assert {r.itemID: (r.v, r.w) for r in buckets.read(spark, path).collect()} == {0: ("batch 0", None), 1: ("wide", 5), 9: ("narrow", None)}
+    assert len(buckets.retain(spark, path, keep=1, older_than_s=-1)) >= 1
+    assert buckets.read(spark, path).count() == 3 and buckets.versions(spark, path) == [4]
+
+
 def test_equal_load_time_takes_the_replayed_row(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "t")
     for v in ("first", "corrected"):
