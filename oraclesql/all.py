@@ -16,3 +16,5 @@ ORACLE.update(_staging.Q)
 from oraclesql import quality as _quality  # noqa: E402
 
 ORACLE.update(_quality.Q)
+# marts over staged tables: the same definition
+ORACLE.update({f"{m}_staged": ORACLE[m] for m in ("ar_bucket_summary", "payment_velocity", "customer_acquisition", "route_efficiency")})

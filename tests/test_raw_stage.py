@@ -111,7 +111,7 @@ COLUMN_COUNTS = {"customer": 82, "subscription": 82, "employee": 34, "ticket": 2
 
 
 def test_every_entity_has_its_columns():
-    from arspark.plans.staging import DIMS, FACTS
+    from arspark.sources.staged import DIMS, FACTS
     for entity, n in COLUMN_COUNTS.items():
         names = FACTS[entity][1].names
         assert len(names) == n == len({x.lower() for x in names}), entity
