@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arspark.functions.dates import hours_between, minutes_between
+from arspark.operators.joins import not_in
 from arspark.operators.latest import changes_since, recent_window
 from arspark.sources import rawlog as R
 from arspark.sources.adapter import Domain
@@ -66,6 +67,21 @@ def dq_future_tickets(d: Domain) -> DataFrame:
     return dq_checks(d)["Future Dated Tickets"]
 
 
+def not_in_subquery(d: Domain) -> DataFrame:
+    """NOT IN with each of its NULL rules, over all customers: (rule, customerID) of those that pass."""
+    c, p = d.customer(), d.payment_profile()
+    cases = {
+        # customers whose autopay profile isn't among the clean ones; one without a profile doesn't pass
+        "null key": not_in(c, "autopayPaymentProfileID", p.filter("failedAttempts = 0"), "paymentProfileID"),
+        # a list with NULLs in it: nobody passes
+        "null in list": not_in(c, "customerID", c.select(F.col("autopayPaymentProfileID").alias("listed")), "listed"),
+        # an empty list: everybody passes
+        "empty list": not_in(c, "autopayPaymentProfileID", p.filter("failedAttempts < 0"), "paymentProfileID"),
+        "plain": not_in(c, "customerID", c.filter("autopayPaymentProfileID IS NOT NULL").select(F.col("autopayPaymentProfileID").alias("listed")), "listed"),
+    }
+    return _union([df.select(F.lit(rule).alias("rule"), "customerID") for rule, df in cases.items()])
+
+
 # --------------------------------------------------------------- monitoring
 def raw_logs(d: Domain) -> dict[str, DataFrame]:
     """Landed raw rows (office, load time, whether the text is no JSON) of the monitored entities."""
@@ -226,5 +242,5 @@ REGISTRY = {
     "loads_today": loads_today, "load_detail": load_detail, "table_freshness": table_freshness,
     "stale_tables": lambda d: stale_tables(d, now=STALE_CHECK_NOW), "load_date_histogram": load_date_histogram, "rows_per_office": rows_per_office,
     "layer_row_counts": layer_row_counts, "scan_active_offices": active_office_tickets,
-    "recent_ticket_loads": recent_ticket_loads, "ticket_change_window": ticket_change_window,
+    "not_in_subquery": not_in_subquery, "recent_ticket_loads": recent_ticket_loads, "ticket_change_window": ticket_change_window,
 }

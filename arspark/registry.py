@@ -35,7 +35,7 @@ for _mod, _names in [
 ]:
     for _name in _names:
         register(_name, getattr(_mod, _name))
-for _name in ["measures_by_office", "measures_company", "m_ar_by_office", "m_dso_by_region"]:
+for _name in ["measures_by_office", "measures_company", "m_ar_by_office", "m_dso_by_region", "ar_daily_balance"]:
     register(_name, getattr(measures, _name))
 register("fact_customer_cancellation_reasons", customer.customer_cancellation_reasons_fact)
 register("view_customer_cancellation_reasons", customer.customer_cancellation_reasons_view)

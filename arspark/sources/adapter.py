@@ -192,7 +192,7 @@ class Domain:
     def note(self) -> DataFrame:
         return self._get("note", lambda: self.t.orders.select(
             F.col("o_orderkey").alias("noteID"),
-            (F.col("o_orderkey") % 100).alias("employeeID"),
+            E("(o_orderkey div 7) % 100").alias("employeeID"),  # an employee makes notes of every type
             F.col("o_custkey").alias("customerID"),
             (F.col("o_orderkey") % 5 + 1).alias("typeID"),
             F.col("o_orderdate").alias("dateCreated"),
@@ -245,7 +245,7 @@ class Domain:
             F.col("c_nationkey").alias("officeID"),
             F.col("n_regionkey").alias("regionID"),
             F.col("c_name").alias("fName"),
-            F.lit(None).cast("string").alias("lName"),
+            F.when(k % 9 != 0, F.concat(F.lit("Family "), (k % 97).cast("string"))).alias("lName"),
             F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_name")).alias("companyName"),
             F.col("c_acctbal").cast("decimal(18,2)").alias("balance"),
             F.col("c_mktsegment").alias("source"),
@@ -293,7 +293,7 @@ class Domain:
         return self._get("employee", lambda: self.t.supplier.select(
             F.col("s_suppkey").alias("employeeID"),
             F.col("s_name").alias("fName"),
-            F.lit(None).cast("string").alias("lName"),
+            F.when(F.col("s_suppkey") % 7 != 0, F.concat(F.lit("Crew "), (F.col("s_suppkey") % 13).cast("string"))).alias("lName"),
             F.col("s_nationkey").alias("officeID"),
         ))
 

@@ -52,7 +52,7 @@ LEFT JOIN (SELECT l_orderkey, MIN(l_partkey) AS serviceID FROM lineitem GROUP BY
 
 _def("customer_v", """
 SELECT c_custkey AS customerID, c_nationkey AS officeID, n_regionkey AS regionID, c_name AS fName,
-       CAST(NULL AS VARCHAR) AS lName, CASE WHEN c_mktsegment='BUILDING' THEN c_name END AS companyName,
+       CASE WHEN c_custkey % 9 <> 0 THEN 'Family ' || (c_custkey % 97) END AS lName, CASE WHEN c_mktsegment='BUILDING' THEN c_name END AS companyName,
        CAST(c_acctbal AS DECIMAL(18,2)) AS balance, c_mktsegment AS source,
        CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 1 WHEN 'BUILDING' THEN 2 WHEN 'FURNITURE' THEN 3
             WHEN 'HOUSEHOLD' THEN 4 ELSE 5 END AS sourceID,
@@ -94,7 +94,7 @@ SELECT event_id AS subscriptionID, user_id AS customerID, CAST(user_id % 25 AS I
 FROM events WHERE event_type='signup'""")
 
 _def("note", """
-SELECT o_orderkey AS noteID, o_orderkey % 100 AS employeeID, o_custkey AS customerID,
+SELECT o_orderkey AS noteID, o_orderkey // 7 % 100 AS employeeID, o_custkey AS customerID,
        o_orderkey % 5 + 1 AS typeID, o_orderdate AS dateCreated
 FROM orders""")
 
@@ -113,7 +113,7 @@ FROM customer""")
 
 _def("office", "SELECT n_nationkey AS officeID, n_name AS officeName, n_regionkey AS regionID FROM nation")
 _def("region_d", "SELECT r_regionkey AS regionID, r_name AS regionName FROM region")
-_def("employee", "SELECT s_suppkey AS employeeID, s_name AS fName, CAST(NULL AS VARCHAR) AS lName, "
+_def("employee", "SELECT s_suppkey AS employeeID, s_name AS fName, CASE WHEN s_suppkey % 7 <> 0 THEN 'Crew ' || (s_suppkey % 13) END AS lName, "
                  "s_nationkey AS officeID FROM supplier")
 _def("customer_source", """
 SELECT sourceID, MIN(source) AS source,

@@ -51,6 +51,13 @@ for _key, _name in [("dq_customer_orphans", "Orphaned Tickets"), ("dq_payment_wi
                     ("dq_negative_balances", "Negative Customer Balances"), ("dq_future_tickets", "Future Dated Tickets")]:
     Q[_key] = with_entities(_DQ[_name])
 
+Q["not_in_subquery"] = with_entities("""
+SELECT 'null key' AS rule, customerID FROM customer_v WHERE autopayPaymentProfileID NOT IN (SELECT paymentProfileID FROM payment_profile WHERE failedAttempts = 0)
+UNION ALL SELECT 'null in list', customerID FROM customer_v WHERE customerID NOT IN (SELECT autopayPaymentProfileID FROM customer_v)
+UNION ALL SELECT 'empty list', customerID FROM customer_v WHERE autopayPaymentProfileID NOT IN (SELECT paymentProfileID FROM payment_profile WHERE failedAttempts < 0)
+UNION ALL SELECT 'plain', customerID FROM customer_v
+WHERE customerID NOT IN (SELECT autopayPaymentProfileID FROM customer_v WHERE autopayPaymentProfileID IS NOT NULL)""")
+
 Q["etl_monitoring"] = q(f"""
 SELECT w.office_id, o.office_name, w.entity_name, w.last_run_utc, w.last_success_utc, w.records_loaded, w.error_count,
        date_diff('hour', w.last_success_utc, {NOW}) AS hours_since_last_success,

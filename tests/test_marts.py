@@ -24,6 +24,21 @@ def test_bucket_sums_equal_total(domain):
     assert abs(parts - float(m["m_total_ar"])) < 1e-6
 
 
+def test_daily_balances_lead_to_what_is_open_now(domain):
+    """Each day's balance is the one before plus its changes; the last is today's; DSO's mean equals a walk over 30 days."""
+    import datetime as dt
+    days = measures.daily_ar(domain, ()).orderBy("Day").collect()
+    for a, b in zip(days, days[1:]):
+        assert b.EndingAR == a.EndingAR + (b.Invoiced or 0) - (b.Applied or 0)
+    m = measures.measures(domain, ()).first()
+    assert days[-1].EndingAR == m.m_total_ar and days[0].EndingAR - (days[0].Invoiced or 0) + (days[0].Applied or 0) == days[0].OpeningAR
+    anchor = max(r.Day for r in days if r.Invoiced is not None)
+    on = lambda day: next((r.EndingAR for r in reversed(days) if r.Day <= day), days[0].OpeningAR)
+    got = measures.ar_over_time(measures.daily_ar(domain, ()), [measures.ALL]).first()
+    assert got.anchor == anchor and got.ar_days == sum(on(anchor - dt.timedelta(k)) for k in range(30))
+    assert m.m_dso != 0 and m.m_dso_trend != 0 and m.m_cei != 0 and m.m_ar_mom_growth != 0
+
+
 def test_waterfall_balances(domain):
     for r in ar.ar_waterfall(domain).collect():
         assert r.endingAR == r.beginningAR + r.newSales - r.collected - r.writeoffs

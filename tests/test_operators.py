@@ -83,3 +83,17 @@ def test_changes_since_uses_each_offices_own_window(spark):
         got.setdefault(r.OfficeID, set()).add((r.LoadDatetimeUTC.hour, r.LoadDatetimeUTC.minute))
     # office 1: 15 minutes before its last success; the others are on their first run: two hours back
     assert got == {1: {(9, 50), (11, 30)}, 2: {(11, 30)}, None: {(11, 30)}}
+
+
+def test_not_in_has_the_null_rules_of_sql(spark):
+    from arspark.operators.joins import not_in
+    df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    for listed, want in (([2, 2, 9], [1]), ([2, None], []), ([], [None, 1, 2]), ([None], [])):
+        others = spark.createDataFrame([(x,) for x in listed], "x int")
+        got = not_in(df, "k", others, "x")
+        assert sorted((r.k for r in got.collect()), key=lambda k: (k is not None, k)) == want
+        df.createOrReplaceTempView("kept")
+        others.createOrReplaceTempView("listed")
+        assert got.count() == spark.sql("SELECT * FROM kept WHERE k NOT IN (SELECT x FROM listed)").count()
+    plan = not_in(df, "k", others, "x")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
