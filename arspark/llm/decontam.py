@@ -18,8 +18,9 @@ A window lies in a document only if all its shingles (runs of up to
 
 Documents are never shuffled or collected. The benchmark goes to the tasks in
 blocks of at most ``block_words`` words (about 100 bytes a word), whatever its
-size: each block is one more step on the same rows, which carry the hits found
-so far, so a large benchmark costs more passes, not more memory.
+size: each block is one more pass over the same rows, which carry the hits found
+so far and are written down between two blocks, so a large benchmark costs more
+passes, not more memory.
 
 Defined results: a null or empty text has no words, so nothing is hit and it
 is not contaminated; null or empty items have no windows; equal items are all
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arspark.llm.common import released
+from arspark.llm.common import Scratch, released
 from arspark.llm.text import ALNUM, Words, as_bytes, blocks, grams
 
 #: Words of a shingle. A window of fewer words is its own shingle.
@@ -227,7 +228,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                        F.col(text_col).cast("string").alias("text"))
     base = rows.schema
     rows = rows.withColumn("n_words", F.lit(0).cast("long")).withColumn("hits", F.array().cast("array<array<bigint>>")).withColumn("items", F.array().cast("array<string>"))
-    searched = False
+    searched, scratch, steps = False, Scratch(spark, "decontam"), []
     for block in chain(_blocks_of(items, item_col, item_text_col, block_words), [[]]):  # words are counted without items too
         index = Index(block, window)
         if not index.windows and searched:
@@ -240,11 +241,13 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         for r in seen.groupBy("n", "shingle").agg(F.sum("seen").alias("seen")).toLocalIterator():
             counts[r["n"]][r["shingle"]] = r["seen"]
         index.choose(counts)
-        chosen = spark.sparkContext.broadcast(index)
-        rows = rows.mapInArrow(released(_search(chosen)), rows.schema)
+        if steps:  # one index is alive in a task at a time: what the block before found is written down
+            rows = scratch.save(rows.mapInArrow(released(steps.pop()), rows.schema), keep=True)
+        steps.append(_search(spark.sparkContext.broadcast(index)))
     kept = [f for f in base.fields if keep_text or f.name != "text"]
     schema = T.StructType([*kept, *T.StructType.fromDDL(
         "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<array<long>>, items array<string>").fields])
-    out = rows.mapInArrow(released(_report(keep_text)), schema)
+    last, report = steps.pop(), _report(keep_text)
+    out = rows.mapInArrow(released(lambda batches: report(last(batches))), schema)  # one step: texts go to Python once
     names = {"__id": id_col, "text": text_col} | {f"__c{k}": c for k, c in enumerate(extra)}
     return out.select(*(F.col(f.name).alias(names.get(f.name, f.name)) for f in schema.fields))

@@ -52,7 +52,7 @@ from arspark.llm.common import Scratch, released, rows_with_ids
 from arspark.llm.text import as_bytes, blocks, mix, odd
 
 #: Bytes looked at together; a longer text goes in overlapping parts. Below 2**24, for positions.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Contexts of one gram that one task merges, and rows merged at a time at least.
 MOST, AT_ONCE = 100_000, 4096
 _BASE = 0x5851F42D4C957F2D
@@ -381,8 +381,11 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = 400, c
         spans = scratch.save(repeated_spans(rows.select("key", "text"), scratch, length, most), keep=True)
     # only texts that may have spans are joined; the bitmap has a fixed size
     maybe = rows_with_ids(rows, spans.select("key"), "key").join(spans, "key", "left").select(*rows.columns, "spans")
-    none = rows_with_ids(rows, spans.select("key"), "key", others=True).withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
+    none = rows_with_ids(rows, spans.select("key"), "key", others=True)  # these stay in the JVM
     schema = T.StructType([rows.schema[k] for k in names]
                           + T.StructType.fromDDL("n_bytes long, n_removed long, n_spans long, kept_sha256 string" + {None: "", "bytes": ", kept binary", "text": ", kept string"}[keep]).fields)
-    out = maybe.union(none).mapInArrow(released(_cut(keep)), schema)
+    whole = {"n_bytes": F.octet_length("text").cast("long"), "n_removed": F.lit(0).cast("long"), "n_spans": F.lit(0).cast("long"),
+             "kept_sha256": F.sha2(F.col("text").cast("binary"), 256), "kept": F.col("text").cast("binary") if keep == "bytes" else F.col("text")}
+    untouched = none.select(*(F.col(f.name) if f.name in names else whole[f.name].alias(f.name) for f in schema.fields))
+    out = maybe.mapInArrow(released(_cut(keep)), schema).union(untouched)
     return out.select(*(F.col(k).alias(c) for k, c in names.items()), *(F.col(f.name) for f in schema.fields[len(names):]))
