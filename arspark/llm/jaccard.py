@@ -63,7 +63,7 @@ COST_UNIT, MOST_L = 64.0, 8
 #: Shingles of an estimated frequency beyond this are spread by document.
 SPREAD = 1 << 15
 #: Entries of a task that are sent at once, and partners of a class that one task verifies.
-FLUSH, PARTNERS = 1 << 20, 512
+FLUSH, PARTNERS = 1 << 18, 512
 
 
 def digests(vals: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -97,7 +97,8 @@ def _profile(words: int):
                     if c not in seen:
                         seen.add(c)
                         new[k] = True
-                sketch += np.bincount((vals[np.repeat(new, n)] >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS).astype(np.int32)
+                at, seen_at = np.unique((vals[np.repeat(new, n)] >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), return_counts=True)
+                sketch[at] += seen_at.astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), batch.column("key").slice(i, j - i), pa.array(cls), pa.array(n), pa.nulls(j - i, pa.int32()), pa.nulls(j - i, pa.binary())], names)
         if kind is not None:
             parts = sketch.reshape(-1, 1 << CHUNK_BITS)

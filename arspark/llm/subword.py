@@ -155,9 +155,11 @@ def sampled(rows: DataFrame, label: Column, key: Column, per_label: int) -> Data
 def examples(sample: DataFrame, space: Space) -> list[tuple]:
     """(label, feature indexes, weights) of a bounded sample with columns label and text, in a fixed order."""
     kind = sample.schema["label"].dataType.simpleString()
-    rows = sample.select("label", "text").mapInArrow(released(_examples(space)), f"label {kind}, idx binary, weight binary").collect()
-    rows.sort(key=lambda r: (str(r["label"]), r["idx"], r["weight"]))
-    return [(r["label"], np.frombuffer(r["idx"], np.int32), np.frombuffer(r["weight"], np.float32)) for r in rows]
+    found = sample.select("label", "text").mapInArrow(released(_examples(space)), f"label {kind}, idx binary, weight binary").toArrow()
+    # views of the one copy that the driver holds
+    rows = [(x.as_py(), i.as_buffer(), w.as_buffer()) for x, i, w in zip(*(found.column(c) for c in ("label", "idx", "weight")))]
+    rows.sort(key=lambda r: (str(r[0]), r[1].to_pybytes(), r[2].to_pybytes()))
+    return [(x, np.frombuffer(i, np.int32), np.frombuffer(w, np.float32)) for x, i, w in rows]
 
 
 def fit(found: list[tuple], space: Space, dim: int = 16, epochs: int = 5, rate: float = 0.5, seed: int = 11, held: float = 0.2) -> tuple[Model, np.ndarray, np.ndarray]:
