@@ -1,23 +1,27 @@
 """Data-quality checks and load monitoring.
 
-Checks run on the typed entities; monitoring runs on the raw load logs
-(``OfficeID``, ``LoadDatetimeUTC``). Multi-table reports are one
-``unionByName`` of per-table aggregates - each aggregate is a partial+final
-hash aggregate, never a collect.
+Checks run on the typed entities; monitoring of all raw tables runs on the load
+log (``operators.loadlog``), which has a row for each load and never the records.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arspark.functions.dates import hours_between, minutes_between
+from arspark.operators import loadlog
 from arspark.operators.joins import not_in
 from arspark.operators.latest import changes_since, recent_window
+from arspark.session import scratch_path
 from arspark.sources import rawlog as R
 from arspark.sources.adapter import Domain
+from arspark.sources.specs import LANDED_FACTS
+from arspark.sources.staged import DIMS, FACTS
+from arspark.sources.tables import TABLE_NAMES
 
 DEFAULT_NOW = "2001-08-02 01:00:00"
 STALE_CHECK_NOW = "2001-08-03 06:00:00"  # a day later: some tables are overdue
@@ -83,12 +87,42 @@ def not_in_subquery(d: Domain) -> DataFrame:
 
 
 # --------------------------------------------------------------- monitoring
-def raw_logs(d: Domain) -> dict[str, DataFrame]:
-    """Landed raw rows (office, load time, whether the text is no JSON) of the monitored entities."""
-    return {name: build(d).select("OfficeID", "LoadDatetimeUTC", F.try_parse_json("RawDataString").isNull().alias("bad"))
-            for name, build in
-            [("Ticket_Fact", R.raw_ticket), ("Payment_Fact", R.raw_payment), ("Customer_Dim", R.raw_customer),
-             ("Appointment_Fact", R.raw_appointment), ("Employee_Dim", R.raw_employee)]}
+def _title(entity: str) -> str:
+    return "".join(x.capitalize() for x in entity.split("_"))
+
+
+#: Every entity that is pulled, by the name of its raw table: builder of its raw log.
+RAW_TABLES = {f"{_title(e)}_Fact": build for e, (build, _) in FACTS.items() if e not in ("customer", "employee")} \
+    | {f"{_title(e)}_Dim": build for e, (build, _) in FACTS.items() if e in ("customer", "employee")} \
+    | {f"{_title(e)}_Fact": (lambda d, spec=spec: R.raw_landed_fact(d, spec)) for e, spec in LANDED_FACTS.items()} \
+    | {f"{_title(e)}_Dim": build for e, (build, _) in DIMS.items()} | {"TicketItem_Fact": R.raw_ticket}
+
+
+def _log_path(d: Domain) -> str:
+    """The log's folder: one for each session and state of the driver's table files."""
+    spark, t = d.t.spark, d.t
+    jvm, seen = spark._jvm, []
+    for name in TABLE_NAMES:
+        p = jvm.org.apache.hadoop.fs.Path(f"{t.root.rstrip('/')}/{name}.parquet")
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(p):
+            seen.append((name, fs.getContentSummary(p).getLength(), fs.getFileStatus(p).getModificationTime()))
+    state = hashlib.sha256(repr((t.root, seen)).encode()).hexdigest()[:16]
+    return scratch_path(spark, f"load-log-{spark.sparkContext.applicationId}-{state}")
+
+
+def load_log(d: Domain) -> DataFrame:
+    """The load log of all raw tables. The fixture's raw logs are landed as one batch each when the first report asks for them."""
+    spark, path = d.t.spark, _log_path(d)
+    for name, build in RAW_TABLES.items():
+        if not loadlog.committed(spark, path, name, "0"):
+            loadlog.append(spark, path, name, "0", build(d))
+    return loadlog.read(spark, path)
+
+
+def raw_log(d: Domain, name: str) -> DataFrame:
+    """Landed raw rows (office, load time) of a raw table."""
+    return RAW_TABLES[name](d).select("OfficeID", "LoadDatetimeUTC")
 
 
 def offices_lookup(d: Domain) -> DataFrame:
@@ -115,13 +149,7 @@ def _union(parts):
 
 def watermarks(d: Domain) -> DataFrame:
     """Per (office, entity): last run, last run that brought a readable row, rows loaded, unreadable rows."""
-    return _union([raw.groupBy("OfficeID").agg(F.max("LoadDatetimeUTC").alias("last_run_utc"),
-                                               F.max(F.when(~F.col("bad"), F.col("LoadDatetimeUTC"))).alias("last_success_utc"),
-                                               F.count(F.lit(1)).alias("records_loaded"),
-                                               F.count_if("bad").alias("error_count"))
-                   .select(F.col("OfficeID").alias("office_id"), F.lit(name).alias("entity_name"), "last_run_utc",
-                           "last_success_utc", "records_loaded", "error_count")
-                   for name, raw in raw_logs(d).items()])
+    return loadlog.watermarks(load_log(d))
 
 
 def etl_monitoring(d: Domain, now=DEFAULT_NOW) -> DataFrame:
@@ -144,38 +172,31 @@ def recent_loads(d: Domain, now=DEFAULT_NOW, hours: int = 2) -> DataFrame:
                     minutes_between("last_run_utc", n).alias("minutes_ago")).orderBy(F.col("last_run_utc").desc())
 
 
+def _every_table(d: Domain, found: DataFrame, column: str) -> DataFrame:
+    """``found`` with a row for each raw table, as many as there are names."""
+    names = d.t.spark.range(0, 1, 1, 1).select(F.explode(F.array(*map(F.lit, RAW_TABLES))).alias(column))
+    return names.join(found.withColumnRenamed("entity", column), column, "left")
+
+
 def loads_today(d: Domain, now=DEFAULT_NOW) -> DataFrame:
     day = F.to_date(_now(now))
-    return _union([raw.filter(F.col("LoadDatetimeUTC") >= day.cast("timestamp_ntz")).agg(
-        F.count(F.lit(1)).alias("records_loaded"), F.countDistinct("OfficeID").alias("offices_loaded"),
-        F.max("LoadDatetimeUTC").alias("last_load_time")).select(F.lit(name).alias("entity"), "*")
-        for name, raw in raw_logs(d).items()])
+    today = load_log(d).filter(F.col("LoadDatetimeUTC") >= day.cast("timestamp_ntz")).groupBy("entity").agg(
+        F.sum("records").alias("n"), F.countDistinct("OfficeID").alias("offices"), F.max("LoadDatetimeUTC").alias("last_load_time"))
+    return _every_table(d, today, "entity").select("entity", F.coalesce("n", F.lit(0)).alias("records_loaded"),
+                                                   F.coalesce("offices", F.lit(0)).alias("offices_loaded"), "last_load_time")
 
 
 def load_detail(d: Domain) -> DataFrame:
-    """Per table and office: rows, newest load, distinct load times and rows of
-    the newest load (newest load per office joined back)."""
-    parts = []
-    for name, raw in raw_logs(d).items():
-        g = raw.groupBy("OfficeID").agg(F.count(F.lit(1)).alias("total_rows"),
-                                        F.max("LoadDatetimeUTC").alias("most_recent_load"),
-                                        F.countDistinct("LoadDatetimeUTC").alias("distinct_load_times"))
-        newest = F.broadcast(g.select(F.col("OfficeID").alias("o"), "most_recent_load"))  # one row per office
-        latest = raw.join(newest, (raw.OfficeID == F.col("o")) & (raw.LoadDatetimeUTC == F.col("most_recent_load")),
-                          "left_semi") \
-            .groupBy("OfficeID").agg(F.count(F.lit(1)).alias("rows_from_latest_load"))
-        parts.append(g.join(latest, "OfficeID", "left").select(F.lit(name).alias("table_name"), "OfficeID",
-                                                               "total_rows", "most_recent_load",
-                                                               "distinct_load_times", "rows_from_latest_load"))
-    return _union(parts)
+    """Per table and office: rows, newest load, distinct load times and rows of the newest load."""
+    return load_log(d).groupBy(F.col("entity").alias("table_name"), "OfficeID").agg(
+        F.sum("records").alias("total_rows"), F.max("LoadDatetimeUTC").alias("most_recent_load"),
+        F.count(F.lit(1)).alias("distinct_load_times"), F.max_by("records", "LoadDatetimeUTC").alias("rows_from_latest_load"))
 
 
 def table_freshness(d: Domain, now=DEFAULT_NOW) -> DataFrame:
-    n = _now(now)
-    return _union([raw.agg(F.count(F.lit(1)).alias("RecordCount"), F.max("LoadDatetimeUTC").alias("LastUpdate"))
-                   .select(F.lit(name).alias("TableName"), "RecordCount", "LastUpdate",
-                           hours_between("LastUpdate", n).alias("HoursSinceUpdate"))
-                   for name, raw in raw_logs(d).items()])
+    found = load_log(d).groupBy("entity").agg(F.sum("records").alias("n"), F.max("LoadDatetimeUTC").alias("LastUpdate"))
+    return _every_table(d, found, "TableName").select("TableName", F.coalesce("n", F.lit(0)).alias("RecordCount"), "LastUpdate",
+                                                      hours_between("LastUpdate", _now(now)).alias("HoursSinceUpdate"))
 
 
 def stale_tables(d: Domain, now=DEFAULT_NOW, max_hours: int = 25) -> DataFrame:
@@ -184,14 +205,14 @@ def stale_tables(d: Domain, now=DEFAULT_NOW, max_hours: int = 25) -> DataFrame:
 
 
 def load_date_histogram(d: Domain) -> DataFrame:
-    raw = raw_logs(d)["Customer_Dim"]
-    return raw.groupBy(F.to_date("LoadDatetimeUTC").alias("LoadDate")).agg(F.count(F.lit(1)).alias("RecordCount")) \
+    log = load_log(d).filter("entity = 'Customer_Dim'")
+    return log.groupBy(F.to_date("LoadDatetimeUTC").alias("LoadDate")).agg(F.sum("records").alias("RecordCount")) \
         .orderBy(F.col("LoadDate").desc())
 
 
 def rows_per_office(d: Domain) -> DataFrame:
-    raw = raw_logs(d)["Ticket_Fact"]
-    return raw.groupBy("OfficeID").agg(F.count(F.lit(1)).alias("row_count"),
+    log = load_log(d).filter("entity = 'Ticket_Fact'")
+    return log.groupBy("OfficeID").agg(F.sum("records").alias("row_count"),
                                        F.max("LoadDatetimeUTC").alias("last_load")).orderBy("OfficeID")
 
 
@@ -217,13 +238,13 @@ def _loads_by_office(raw: DataFrame) -> DataFrame:
 
 def recent_ticket_loads(d: Domain, now=DEFAULT_NOW) -> DataFrame:
     """Ticket rows of the last two days, per office."""
-    return _loads_by_office(recent_window(raw_logs(d)["Ticket_Fact"], _now(now)))
+    return _loads_by_office(recent_window(raw_log(d, "Ticket_Fact"), _now(now)))
 
 
 def ticket_change_window(d: Domain, seen="1998-01-01 00:00:00", now="1998-02-01 00:00:00") -> DataFrame:
     """Ticket rows that a run at ``now`` reads, per office, if the run before saw
     all loads below ``seen``; a fifth of the offices has not been run yet."""
-    raw = raw_logs(d)["Ticket_Fact"]
+    raw = raw_log(d, "Ticket_Fact")
     before = raw.filter((F.col("LoadDatetimeUTC") < _now(seen)) & (F.col("OfficeID") % 5 != 4))
     marks = before.groupBy(F.col("OfficeID").alias("office_id")).agg(F.max("LoadDatetimeUTC").alias("last_success_utc"))
     return _loads_by_office(changes_since(raw, marks.withColumn("entity_name", F.lit("Ticket_Fact")), "Ticket_Fact", _now(now)))
@@ -231,7 +252,7 @@ def ticket_change_window(d: Domain, seen="1998-01-01 00:00:00", now="1998-02-01
 
 def active_office_tickets(d: Domain) -> DataFrame:
     """Raw ticket rows restricted to active offices (scan_active_offices)."""
-    raw = raw_logs(d)["Ticket_Fact"]
+    raw = raw_log(d, "Ticket_Fact")
     return of_active_offices(raw, offices_lookup(d)).groupBy("OfficeID").agg(F.count(F.lit(1)).alias("rows"))
 
 

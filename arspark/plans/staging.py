@@ -14,14 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arspark.operators.latest import changed_or_added
-from arspark.operators.sinks import load_watermarks
 from arspark.operators.stage import cancellation_reasons_from_raw, project_raw, stage, stage_dimension, ticket_item_details
 from arspark.plans import ar, customer, ops, revenue
+from arspark.plans.quality import load_log
 from arspark.session import scratch_path
 from arspark.sources import rawlog as R
 from arspark.sources import specs as S
 from arspark.sources.adapter import Domain
-from arspark.sources.raw import bad_json_count, parse_raw
+from arspark.sources.raw import bad_json_count
 from arspark.sources.staged import DIMS, FACTS, StagedDomain
 from arspark.streaming.ingest import current_rows, land_files, run_upsert_stream
 
@@ -131,11 +131,11 @@ def json_bad_count(d: Domain) -> DataFrame:
 
 
 def load_watermark_report(d: Domain) -> DataFrame:
-    raws, bad = {}, {}
-    for entity, build in [("ticket", R.raw_ticket), ("payment", R.raw_payment), ("customer", R.raw_customer)]:
-        good, quarantine = parse_raw(build(d))
-        raws[entity], bad[entity] = good, quarantine
-    return load_watermarks(raws, bad)
+    """Per office and raw table: the last load with a readable record, readable records, unreadable ones."""
+    log = load_log(d).withColumn("good", F.col("records") - F.col("bad"))
+    marks = log.groupBy("OfficeID", "entity").agg(F.max(F.when(F.col("good") > 0, F.col("LoadDatetimeUTC"))).alias("lastRunTimestamp"),
+                                                  F.sum("good").alias("rowsLoaded"), F.sum("bad").alias("badRows"))
+    return marks.filter("rowsLoaded > 0")
 
 
 def registry_entries() -> dict:

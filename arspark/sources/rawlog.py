@@ -75,6 +75,8 @@ def two_versions(df: DataFrame, load: Column, stale: dict[str, Column], office:
 def _further_value(kind: str, field: str, k: Column) -> Column:
     """Value of a record's further field: follows the record's id and the field's name."""
     n = len(field)
+    if field == "officeID":
+        return k % 25
     none = k % 10 == 3  # every tenth time is the source's marker of no time
     later = lambda unit: F.lit("2001-01-01").cast("timestamp_ntz") + F.make_interval(**{unit: (k % 1000 + n).cast("int")})
     shown = lambda unit: F.date_format(later(unit), "yyyy-MM-dd HH:mm:ss")

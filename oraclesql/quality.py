@@ -12,14 +12,32 @@ def _log(source, office, first, again, bad="FALSE"):
 
 
 _FIXED = ("TIMESTAMP '2001-07-31 03:00:00'", "TIMESTAMP '2001-08-01 03:00:00'")
+def _daily(column):
+    return f"CAST({column} AS TIMESTAMP)", f"CAST({column} AS TIMESTAMP) + INTERVAL 1 DAY"
+
+
+def _hourly(column):
+    return column, f"{column} + INTERVAL 1 HOUR"
+
+
+_EVENT_FACTS = "AppointmentReminder Knock GenericFlagAssignment DisbursementItem AdditionalContacts Chargeback Disbursement Door Task".split()
 RAW_LOGS = {
-    "Ticket_Fact": _log("ticket", "officeID", "CAST(invoiceDate AS TIMESTAMP)",
-                        "CAST(invoiceDate AS TIMESTAMP) + INTERVAL 1 DAY", "ticketID % 101 = 0"),
-    "Payment_Fact": _log("payment", "officeID", "CAST(paymentDate AS TIMESTAMP)", "CAST(paymentDate AS TIMESTAMP) + INTERVAL 1 DAY"),
-    "Customer_Dim": _log("customer_v", "officeID", *_FIXED),
-    "Appointment_Fact": _log("appointment", "customerID % 25", "timeIn", "timeIn + INTERVAL 1 HOUR"),
-    "Employee_Dim": _log("employee", "officeID", *_FIXED),
-}
+    "Ticket_Fact": _log("ticket", "officeID", *_daily("invoiceDate"), "ticketID % 101 = 0"),
+    "TicketItem_Fact": _log("ticket", "officeID", *_daily("invoiceDate"), "ticketID % 101 = 0"),
+    "Payment_Fact": _log("payment", "officeID", *_daily("paymentDate")),
+    "AppliedPayment_Fact": "SELECT CAST(c_nationkey AS BIGINT) AS OfficeID, CAST(l_shipdate AS TIMESTAMP) AS LoadDatetimeUTC, FALSE AS bad "
+                           "FROM lineitem, orders, customer WHERE l_orderkey = o_orderkey AND o_custkey = c_custkey",
+    "Customer_Dim": _log("customer_v", "officeID", *_FIXED), "Employee_Dim": _log("employee", "officeID", *_FIXED),
+    "Appointment_Fact": _log("appointment", "customerID % 25", *_hourly("timeIn")),
+    "Subscription_Fact": _log("subscription", "officeID", *_daily("dateAdded")),
+    "Note_Fact": _log("note", "0", *_daily("dateCreated")), "Route_Fact": _log("route", "officeID", *_daily("routeDate")),
+    "PaymentProfile_Fact": _log("payment_profile", "paymentProfileID % 25", *_FIXED),
+    "Office_Dim": _log("office", "officeID", *_FIXED), "Region_Dim": _log("region_d", "regionID % 25", *_FIXED),
+    "ServiceType_Dim": _log("service_type", "officeID", *_FIXED), "CustomerSource_Dim": _log("customer_source", "sourceID % 25", *_FIXED),
+    "CancellationReason_Dim": _log("cancellation_reason", "0", *_FIXED), "Product_Dim": _log("part", "p_partkey % 25", *_FIXED),
+    "GenericFlag_Dim": _log("(SELECT MIN(event_id) AS id FROM events GROUP BY event_type)", "id % 25", *_FIXED),
+    "ReserviceReason_Dim": _log("nation", "n_nationkey % 25", *_FIXED),
+} | {f"{name}_Fact": _log("events", "user_id % 25", *_hourly("ts"), "event_id % 101 = 0") for name in _EVENT_FACTS}
 RAW_CTES = {f"raw_{k.lower()}": v for k, v in RAW_LOGS.items()}
 
 
@@ -101,3 +119,7 @@ LEFT JOIN (SELECT OfficeID, MAX(LoadDatetimeUTC) AS seen FROM raw_ticket_fact
 WHERE l.LoadDatetimeUTC >= CASE WHEN w.seen IS NULL THEN TIMESTAMP '1998-02-01' - INTERVAL 2 HOUR ELSE w.seen - INTERVAL 15 MINUTE END
   AND l.LoadDatetimeUTC <= TIMESTAMP '1998-02-01'
 GROUP BY l.OfficeID""")
+
+Q["load_watermarks"] = q(_each("SELECT OfficeID, '{name}' AS entity, MAX(LoadDatetimeUTC) FILTER (NOT bad) AS lastRunTimestamp, "
+                               "COUNT(*) FILTER (NOT bad) AS rowsLoaded, COUNT(*) FILTER (bad) AS badRows FROM {raw} GROUP BY OfficeID "
+                               "HAVING COUNT(*) FILTER (NOT bad) > 0"))

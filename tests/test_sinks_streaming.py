@@ -191,3 +191,24 @@ def test_lower_case_paths_are_staged(spark):
     got = stage(raw(spark, [(1, T0, {"itemid": 4, "V": "no"}), (1, T0, {"itemID": 5, "itemid": 9, "v": "y"})]), SPEC)
     assert {(r.itemID, r.v) for r in got.rows.collect()} == {(4, None), (5, "y")}
     assert got.null_keys.count() == 0
+
+
+def test_load_log_counts_a_batch_once(spark, tmpdir_path):
+    import shutil
+
+    from arspark.operators import loadlog
+    path = os.path.join(tmpdir_path, "log")
+    one = raw(spark, [(1, T0, {"itemID": 1}), (1, T0, "{bad"), (2, T1, {"itemID": 2})])
+    assert loadlog.append(spark, path, "item", "a", one) and not loadlog.append(spark, path, "item", "a", one)
+    assert loadlog.append(spark, path, "item", "b", raw(spark, [(1, T0, {"itemID": 3}), (1, T2, "{worse")]))
+    assert loadlog.append(spark, path, "other", "a", raw(spark, []))
+    want = {("item", 1, T0): (3, 1), ("item", 2, T1): (1, 0), ("item", 1, T2): (1, 1)}
+    got = lambda: {(r.entity, r.OfficeID, r.LoadDatetimeUTC): (r.records, r.bad) for r in loadlog.read(spark, path).collect()}
+    assert got() == want
+    w = {(r.entity_name, r.office_id): r for r in loadlog.watermarks(loadlog.read(spark, path)).collect()}
+    assert (w["item", 1].last_run_utc, w["item", 1].last_success_utc, w["item", 1].records_loaded, w["item", 1].error_count) == (T2, T0, 4, 2)
+    folder = os.path.join(path, "entity=item", "batch=a")
+    os.remove(os.path.join(folder, "_SUCCESS"))  # a write that died is written anew
+    shutil.rmtree(os.path.join(folder, "x"), ignore_errors=True)
+    assert loadlog.append(spark, path, "item", "a", one)
+    assert got() == want
