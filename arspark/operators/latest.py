@@ -82,12 +82,24 @@ def changes_since(raw: DataFrame, watermarks: DataFrame, entity: str, now, overl
     """Raw rows of one entity inside each office's change window, up to ``now``.
 
     ``watermarks`` has one row per (office_id, entity_name) with
-    last_success_utc; an office without one is on its first run."""
+    last_success_utc; an office without one is on its first run, as is one whose
+    last_success_utc is NULL. Of a landed raw table (with its ``LoadDate``) only
+    the folders of the windows are read."""
     now_c = now if isinstance(now, Column) else F.lit(now)
     own = watermarks.filter(F.col("entity_name") == entity).select(
-        F.col("office_id").alias("__office"), F.col("last_success_utc").alias("__last"))
-    known = raw.filter(F.col(load_col) <= now_c).join(own, F.col("OfficeID") == F.col("__office"), "left")
-    return known.filter(F.col(load_col) >= cdc_window("__last", now_c, overlap_minutes, first_run_hours)).drop("__office", "__last")
+        F.col("office_id").alias("__office"), cdc_window("last_success_utc", now_c, overlap_minutes, first_run_hours).alias("__from"))
+    upto = raw.filter(F.col(load_col) <= now_c)
+    inside = F.col(load_col) >= F.coalesce("__from", now_c - F.make_interval(hours=F.lit(first_run_hours)))
+    if "LoadDate" not in raw.columns:
+        return upto.join(own, F.col("OfficeID") == F.col("__office"), "left").filter(inside).drop("__office", "__from")
+    # a table with a folder for each office and day: the days of an office's window are joined to its folders, so the
+    # scan is pruned by them at run time; offices on their first run have one window, which prunes before it
+    days = own.withColumn("__day", F.explode(F.sequence(F.to_date("__from"), F.to_date(now_c))))
+    known = upto.join(days, (F.col("OfficeID") == F.col("__office")) & (F.col("LoadDate") == F.col("__day")))
+    first = now_c - F.make_interval(hours=F.lit(first_run_hours))
+    new = upto.filter(F.col("LoadDate").between(F.to_date(first), F.to_date(now_c)) & (F.col(load_col) >= first))
+    new = new.join(own, F.col("OfficeID") == F.col("__office"), "left_anti")
+    return known.filter(inside).drop("__office", "__from", "__day").unionByName(new)
 
 
 def _names(key) -> list[str]:

@@ -9,6 +9,7 @@ machine-local folder).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,21 +17,42 @@ from pyspark.sql import functions as F
 
 from arspark.operators.latest import latest_per_key
 
-RAW_PARTITIONS = ("OfficeID", "LoadDatetimeUTC")
+#: Folders of a raw table, landed by batch or by stream: reads of recent loads, or of some offices, list only theirs.
+RAW_PARTITIONS = ("OfficeID", "LoadDate")
 
 
-def replace_batch(df: DataFrame, path: str, partition_cols: Sequence[str] = RAW_PARTITIONS) -> None:
-    """Idempotent reload of (office, load time) batches: only the partitions
-    present in ``df`` are replaced (dynamic partition overwrite)."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(*partition_cols).parquet(path)
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
+
+
+def replace_batch(df: DataFrame, path: str) -> None:
+    """Idempotent reload of (office, load time) batches of a raw table: rows of the batches in ``df`` replace those
+    that the table holds of them, all others stay.
+
+    A folder holds all loads of an office and day, so the other loads of the days at hand are read (only their
+    folders are), written down together with the batch, and then the folders are replaced (dynamic partition
+    overwrite). A reload that fails half way is simply run again."""
+    spark = df.sparkSession
+    incoming = f"{path.rstrip('/')}/_incoming-{uuid.uuid4().hex}"
+    rows = df.withColumn("LoadDate", F.to_date("LoadDatetimeUTC"))
+    rows.write.parquet(f"{incoming}/new")
+    fresh = spark.read.schema(rows.schema).parquet(f"{incoming}/new")
+    if _exists(spark, path):
+        days, loads = (fresh.select("OfficeID", c).distinct() for c in ("LoadDate", "LoadDatetimeUTC"))
+        held = read_raw_table(spark, path).join(days.withColumn("__day", F.lit(True)).filter("__day"), ["OfficeID", "LoadDate"], "left_semi")
+        held.join(loads, ["OfficeID", "LoadDatetimeUTC"], "left_anti").select(*rows.columns).write.parquet(f"{incoming}/kept")
+        fresh = fresh.union(spark.read.schema(rows.schema).parquet(f"{incoming}/kept"))
+    fresh.repartition(*RAW_PARTITIONS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(*RAW_PARTITIONS).parquet(path)
+    p = spark._jvm.org.apache.hadoop.fs.Path(incoming)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def read_raw_table(spark: SparkSession, path: str) -> DataFrame:
     """Read a raw table written by :func:`replace_batch` or by the landing
-    stream. A partition column of load times comes back as ``timestamp`` and is
-    cast to TIMESTAMP_NTZ again; the stream's load date stays as a column, for
-    filters that prune folders."""
+    stream. The load date stays as a column, for filters that prune folders."""
     df = spark.read.parquet(path)
     return df.withColumn("LoadDatetimeUTC", F.col("LoadDatetimeUTC").cast("timestamp_ntz")) \
         .withColumn("OfficeID", F.col("OfficeID").cast("bigint"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from arspark.functions.dates import hours_between, minutes_between
 from arspark.operators import loadlog
 from arspark.operators.joins import not_in
 from arspark.operators.latest import changes_since, recent_window
+from arspark.operators.sinks import read_raw_table, replace_batch
 from arspark.session import scratch_path
 from arspark.sources import rawlog as R
 from arspark.sources.adapter import Domain
@@ -250,6 +252,19 @@ def ticket_change_window(d: Domain, seen="1998-01-01 00:00:00", now="1998-02-01
     return _loads_by_office(changes_since(raw, marks.withColumn("entity_name", F.lit("Ticket_Fact")), "Ticket_Fact", _now(now)))
 
 
+def ticket_changes_landed(d: Domain, landed="1997-12-20 00:00:00", seen="1998-01-25 00:00:00", now="1998-02-01 00:00:00") -> DataFrame:
+    """The same over a raw table: loads since ``landed`` are landed (the last day's twice), the next run reads each office's window only."""
+    spark = d.t.spark
+    path = scratch_path(spark, f"raw-tickets-{uuid.uuid4().hex}")
+    raw = R.raw_ticket(d).filter(F.col("LoadDatetimeUTC").between(_now(landed), _now(now)))
+    replace_batch(raw, path)
+    replace_batch(raw.filter(F.col("LoadDatetimeUTC") >= F.date_sub(_now(now), 1)), path)
+    table = read_raw_table(spark, path)
+    before = table.filter((F.col("LoadDate") <= F.to_date(_now(seen))) & (F.col("LoadDatetimeUTC") < _now(seen)) & (F.col("OfficeID") % 5 != 4))
+    marks = before.groupBy(F.col("OfficeID").alias("office_id")).agg(F.max("LoadDatetimeUTC").alias("last_success_utc"))
+    return _loads_by_office(changes_since(table, marks.withColumn("entity_name", F.lit("Ticket_Fact")), "Ticket_Fact", _now(now)))
+
+
 def active_office_tickets(d: Domain) -> DataFrame:
     """Raw ticket rows restricted to active offices (scan_active_offices)."""
     raw = raw_log(d, "Ticket_Fact")
@@ -263,5 +278,5 @@ REGISTRY = {
     "loads_today": loads_today, "load_detail": load_detail, "table_freshness": table_freshness,
     "stale_tables": lambda d: stale_tables(d, now=STALE_CHECK_NOW), "load_date_histogram": load_date_histogram, "rows_per_office": rows_per_office,
     "layer_row_counts": layer_row_counts, "scan_active_offices": active_office_tickets,
-    "not_in_subquery": not_in_subquery, "recent_ticket_loads": recent_ticket_loads, "ticket_change_window": ticket_change_window,
+    "not_in_subquery": not_in_subquery, "recent_ticket_loads": recent_ticket_loads, "ticket_change_window": ticket_change_window, "ticket_changes_landed": ticket_changes_landed,
 }

@@ -123,3 +123,10 @@ GROUP BY l.OfficeID""")
 Q["load_watermarks"] = q(_each("SELECT OfficeID, '{name}' AS entity, MAX(LoadDatetimeUTC) FILTER (NOT bad) AS lastRunTimestamp, "
                                "COUNT(*) FILTER (NOT bad) AS rowsLoaded, COUNT(*) FILTER (bad) AS badRows FROM {raw} GROUP BY OfficeID "
                                "HAVING COUNT(*) FILTER (NOT bad) > 0"))
+
+Q["ticket_changes_landed"] = q("""
+SELECT OfficeID, COUNT(*) AS loaded, MIN(LoadDatetimeUTC) AS first_load FROM landed LEFT JOIN marks USING (OfficeID)
+WHERE LoadDatetimeUTC >= IFNULL(since, TIMESTAMP '1998-02-01' - INTERVAL 2 HOUR) GROUP BY ALL""", {
+    "landed": "SELECT * FROM raw_ticket_fact WHERE LoadDatetimeUTC BETWEEN TIMESTAMP '1997-12-20' AND TIMESTAMP '1998-02-01'",
+    "marks": "SELECT OfficeID, MAX(LoadDatetimeUTC) - INTERVAL 15 MINUTE AS since FROM landed "
+             "WHERE LoadDatetimeUTC < TIMESTAMP '1998-01-25' AND OfficeID % 5 <> 4 GROUP BY ALL"})

@@ -212,3 +212,23 @@ def test_load_log_counts_a_batch_once(spark, tmpdir_path):
     shutil.rmtree(os.path.join(folder, "x"), ignore_errors=True)
     assert loadlog.append(spark, path, "item", "a", one)
     assert got() == want
+
+
+def test_changes_of_a_raw_table_read_only_their_folders(spark, tmpdir_path):
+    from arspark.operators.latest import changes_since
+    path = os.path.join(tmpdir_path, "raw")
+    days = [dt.datetime(2024, 1, 1 + k, h) for k in range(20) for h in (1, 23)]
+    sinks.replace_batch(parse_raw(raw(spark, [(o, t, {"itemID": o}) for o in range(6) for t in days]))[0], path)
+    sinks.replace_batch(parse_raw(raw(spark, [(2, days[-1], {"itemID": 2})] * 3))[0], path)  # one load of a day again, the other stays
+    table = sinks.read_raw_table(spark, path)
+    assert table.count() == 6 * 40 + 2 and len(os.listdir(os.path.join(path, "OfficeID=2"))) == 20
+    marks = [(0, "item", days[-3]), (1, "item", days[-20]), (2, "item", days[-1]), (3, "other", days[0]), (4, "item", None)]
+    spark.createDataFrame(marks, "office_id long, entity_name string, last_success_utc timestamp_ntz").write.parquet(f"{path}-marks")
+    now = days[-1] + dt.timedelta(minutes=30)
+    got = changes_since(table, spark.read.parquet(f"{path}-marks"), "item", now)
+    seen = {r.OfficeID: r.n for r in got.groupBy("OfficeID").agg(F.count("*").alias("n")).collect()}
+    assert seen == {0: 3, 1: 20, 2: 3, 3: 1, 4: 1, 5: 1}
+    plain = changes_since(table.drop("LoadDate"), spark.read.parquet(f"{path}-marks"), "item", now)
+    assert {r.OfficeID: r.n for r in plain.groupBy("OfficeID").agg(F.count("*").alias("n")).collect()} == seen
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
