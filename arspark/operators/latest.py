@@ -134,23 +134,41 @@ def lag_split(df: DataFrame, group: Sequence[str], split: str, order: str, value
         .drop("__prev_in", "__first", "__prev_b")
 
 
-def exact_median(df: DataFrame, group: Sequence[str], value: str, out: str = "median") -> DataFrame:
-    """PERCENTILE_CONT(0.5) per group without buffering a group's rows.
-
-    Rows are first reduced to a histogram - one row per (group, distinct
-    value) with its count, partially aggregated map side - and the rank
-    positions are found with running counts over that histogram. Interpolation
-    is ``(hi - pos) * v_lo + (pos - lo) * v_hi`` at ``pos = (n - 1) / 2``, the
-    same arithmetic as Spark's exact ``percentile``."""
+def exact_median(df: DataFrame, group: Sequence[str], value: str, out: str = "median", buckets: int = 256) -> DataFrame:
+    """PERCENTILE_CONT(0.5) per group; no task sees more than a small part of a group's values.
+
+    Rows are first reduced to a histogram: one row per (group, distinct value)
+    with its count, partially aggregated map side. A quantile sketch of bounded
+    size cuts each group's values into ``buckets`` ranges of about equal size
+    (however rough the cuts are, they are in order); the ranges' counts tell
+    which of them hold the two middle ranks, and only inside those are values
+    ordered. Interpolation is ``(hi - pos) * v_lo + (pos - lo) * v_hi`` at
+    ``pos = (n - 1) / 2``, the same arithmetic as Spark's exact ``percentile``."""
     g = list(group)
     h = df.filter(F.col(value).isNotNull()).groupBy(*g, value).agg(F.count(F.lit(1)).alias("__c"))
-    w_run = Window.partitionBy(*g).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    h = h.withColumn("__cum", F.sum("__c").over(w_run)) \
-        .withColumn("__n", F.sum("__c").over(Window.partitionBy(*g)))
+    share = [k / buckets for k in range(1, buckets)]
+
+    def renamed(t):  # a NULL group is a group like any other
+        return t.select(*(F.col(c).alias(f"__k{k}") for k, c in enumerate(g)), *(c for c in t.columns if c not in g))
+    same = [F.col(c).eqNullSafe(F.col(f"__k{k}")) for k, c in enumerate(g)]
+    keys = [f"__k{k}" for k in range(len(g))]
     pos = (F.col("__n") - 1).cast("double") * 0.5
-    h = h.withColumn("__pos", pos).withColumn("__lo", F.floor(pos)).withColumn("__hi", F.ceil(pos))
-    m = h.groupBy(*g).agg(F.first("__pos").alias("__pos"), F.first("__lo").alias("__lo"),
-                          F.first("__hi").alias("__hi"),
+    cuts = h.groupBy(*g).agg(F.percentile_approx(value, share, 10 * buckets).alias("__cuts"), F.sum("__c").alias("__n"))
+    step = max(2, round(buckets ** 0.5))  # a value is placed among every step-th cut first, then among those between two of them
+    cuts = cuts.withColumn("__coarse", F.filter("__cuts", lambda x, i: (i + 1) % step == 0))
+    cuts = cuts.withColumn("__pos", pos).withColumn("__lo", F.floor(pos)).withColumn("__hi", F.ceil(pos)).drop("__n")
+    cut = h.join(renamed(cuts), same) if g else h.crossJoin(cuts)  # one row of cuts
+    below = lambda a: F.size(F.filter(a, lambda x: x < F.col(value)))
+    cut = cut.withColumn("__b", below("__coarse") * step)
+    cut = cut.withColumn("__b", F.col("__b") + below(F.slice("__cuts", F.col("__b") + 1, F.lit(step - 1)))).drop("__cuts", "__coarse", *keys)
+    per = cut.groupBy(*g, "__b").agg(F.sum("__c").alias("__in"), F.first("__lo").alias("__l"), F.first("__hi").alias("__h"))
+    before = F.sum("__in").over(Window.partitionBy(*g).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__in")
+    holds = lambda r: (F.col("__before") <= F.col(r)) & (F.col(r) < F.col("__before") + F.col("__in"))
+    picked = per.withColumn("__before", before).filter(holds("__l") | holds("__h")).select(*g, F.col("__b").alias("__pb"), "__before")
+    m = cut.join(renamed(picked), [*same, F.col("__b") == F.col("__pb")]).drop("__pb", *keys)
+    run = Window.partitionBy(*g, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    m = m.withColumn("__cum", F.col("__before") + F.sum("__c").over(run))
+    m = m.groupBy(*g).agg(F.first("__pos").alias("__pos"), F.first("__lo").alias("__lo"), F.first("__hi").alias("__hi"),
                           F.min(F.when(F.col("__cum") > F.col("__lo"), F.col(value))).alias("__vlo"),
                           F.min(F.when(F.col("__cum") > F.col("__hi"), F.col(value))).alias("__vhi"))
     med = F.when((F.col("__lo") == F.col("__hi")) | (F.col("__vlo") == F.col("__vhi")), F.col("__vlo").cast("double")) \

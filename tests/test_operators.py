@@ -97,3 +97,17 @@ def test_not_in_has_the_null_rules_of_sql(spark):
         assert got.count() == spark.sql("SELECT * FROM kept WHERE k NOT IN (SELECT x FROM listed)").count()
     plan = not_in(df, "k", others, "x")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_median_of_one_large_group(spark):
+    """Millions of distinct values in one group beside small and NULL groups: percentile's value, and no task orders a whole group."""
+    from arspark.operators.latest import exact_median
+    big = spark.range(0, 1_000_001, 1, 8).select(F.lit("big").alias("k"), (F.pmod(F.xxhash64("id"), F.lit(10**12)) / 7).alias("v"))
+    rows = [("even", 1.0), ("even", 2.0), ("even", 2.0), ("even", 9.0), (None, 5.0), (None, None), ("one", -3.5), ("nulls", None)] + [("tie", 4.0)] * 9
+    df = big.unionByName(spark.createDataFrame(rows, "k string, v double"))
+    got = {r.k: r.median for r in exact_median(df, ["k"], "v").collect()}
+    want = {r.k: r.p for r in df.groupBy("k").agg(F.percentile("v", 0.5).alias("p")).collect() if r.p is not None}
+    assert got == want and len(want) == 5
+    assert exact_median(df, [], "v").first().median == df.agg(F.percentile("v", 0.5)).first()[0]
+    money = df.select("k", F.col("v").cast("decimal(18,2)").alias("v"))
+    assert {r.k: r.median for r in exact_median(money, ["k"], "v", buckets=4).filter("k != 'big'").collect()} == {"even": 2.0, "one": -3.5, "tie": 4.0}
