@@ -63,16 +63,21 @@ class Scratch:
         self.close()
 
 
+def trim() -> None:
+    """Hand free memory of this process back to the system."""
+    pa.default_memory_pool().release_unused()
+    give = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library on Linux
+    if give:
+        give(0)
+
+
 def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     """``run`` over a task's batches; then the worker, which may wait idle beside others, hands its free memory back."""
     def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library on Linux
-            if trim:
-                trim(0)
+            trim()
     return tidy
 
 

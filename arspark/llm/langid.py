@@ -21,7 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from arspark.llm.common import released, trim
 from arspark.llm.subword import Model, Space, examples, fit, sampled, softmax
 from arspark.llm.text import as_bytes, blocks
 
@@ -41,36 +43,37 @@ SPACE = Space(chars=(2, 3, 4), words=(), bits=15, table=letters_only(), squeeze=
 
 
 def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
-          per_label: int = 1200, max_rows: int = 12_000, alpha: float = 0.001) -> tuple[Model, float]:
+          per_label: int = 800, max_rows: int = 8000, alpha: float = 0.001) -> tuple[Model, float]:
     """Model and rejection bound from rows where ``learn`` holds; never reads more than about ``max_rows`` texts."""
     rows = docs.filter(learn & F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
     n_labels = max(1, rows.select(label_col).distinct().count())
     sample = sampled(rows, F.col(label_col), F.col(id_col), max(1, min(per_label, max_rows // n_labels)))
     found = examples(sample.select(F.col(label_col).cast("string").alias("label"), F.col(text_col).cast("string").alias("text")), SPACE)
     model, z, y = fit(found, SPACE)
+    del found
+    trim()
     p = softmax(z / model.temperature) if len(y) else np.zeros((0, 1))
     right = p.max(axis=1)[p.argmax(axis=1) == y] if len(y) else np.zeros(0)
     return model, float(np.quantile(right, alpha, method="lower")) if len(right) else 0.0
 
 
-PREDICTION = "lang_pred string, score double, rejected boolean"
-
-
 def _predict(sent):
-    def run(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, bound = sent.value
         names = np.array([UND if x is None else x for x in model.labels], dtype=object)
-        for text, letters in columns:
-            raw, off = as_bytes(text)
-            some = letters.to_numpy(zero_copy_only=False).astype(bool)
-            label, score = np.full(len(text), UND, dtype=object), np.zeros(len(text))
+        for batch in batches:
+            raw, off = as_bytes(batch.column("text"))
+            some = batch.column("some").to_numpy(zero_copy_only=False).astype(bool)
+            label, score = np.full(batch.num_rows, UND, dtype=object), np.zeros(batch.num_rows)
             if model.labels != [None]:
                 for i, j in blocks(off):
                     p = softmax(model.logits(raw, off, i, j) / model.temperature)
                     k = p.argmax(axis=1)
                     label[i:j] = np.where(some[i:j], names[k], UND)
                     score[i:j] = np.where(some[i:j], p[np.arange(j - i), k], 0.0)
-            yield pa.StructArray.from_arrays([pa.array(label, pa.string()), pa.array(score), pa.array((score < bound) | (label == UND))], ["lang_pred", "score", "rejected"])
+            keep = [c for c in batch.schema.names if c not in ("some", "text")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(label, pa.string()), pa.array(score), pa.array((score < bound) | (label == UND))],
+                                             [*keep, "lang_pred", "score", "rejected"])
     return run
 
 
@@ -79,7 +82,8 @@ def identify(docs: DataFrame, model: tuple[Model, float], text_col: str = "text"
     sent = docs.sparkSession.sparkContext.broadcast(model)
     text = F.col(text_col).cast("string")
     names = {f"__c{k}": c for k, c in enumerate(carry)}
-    # a scalar function: texts go to Python and only the prediction comes back
-    predict = F.arrow_udf(_predict(sent), PREDICTION)
-    rows = docs.select(*(F.col(c).alias(k) for k, c in names.items()), predict(text, F.coalesce(text.rlike(r"\p{L}"), F.lit(False))).alias("__found"))
-    return rows.select(*(F.col(k).alias(c) for k, c in names.items()), "__found.*")
+    rows = docs.select(*(F.col(c).alias(k) for k, c in names.items()), text.alias("text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("some"))
+    schema = T.StructType([f for f in rows.schema.fields if f.name not in ("some", "text")]
+                          + T.StructType.fromDDL("lang_pred string, score double, rejected boolean").fields)
+    out = rows.mapInArrow(released(_predict(sent)), schema)
+    return out.select(*(F.col(k).alias(c) for k, c in names.items()), "lang_pred", "score", "rejected")
