@@ -15,11 +15,18 @@ from arspark.llm.queries import vocabulary_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is named with enough confidence; the others go."""
+    """Documents whose language is named with enough confidence; the others go.
+
+    A document is judged by its text alone, so rejected texts are looked up by their hash:
+    the documents themselves don't pass through Python.
+    """
     fold = F.coalesce(crc_fold("doc_id", 3) == 1, F.lit(False))
     model = langid.train(docs, ~fold)
-    found = langid.identify(docs, model, carry=tuple(docs.columns))
-    return found.filter(~F.col("rejected")).select(*docs.columns)
+    keyed = docs.withColumn("__text", F.xxhash64("text"))
+    found = langid.identify(keyed, model, carry=("__text",))
+    gone = Scratch(spark, "language").save(found.filter("rejected").select("__text").distinct(), keep=True)
+    maybe = rows_with_ids(keyed, gone, "__text").join(gone, "__text", "left_anti").select(*keyed.columns)
+    return rows_with_ids(keyed, gone, "__text", others=True).union(maybe).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
