@@ -83,7 +83,9 @@ def daily_ar(d: Domain, by: Sequence[str] = ("OfficeID",), as_of=DEFAULT_AS_OF,
     now = _agg(aging, by, F.sum("BalanceAmount").alias("_now"))
     money = "decimal(28,2)"
     change = F.coalesce(F.col("Invoiced").cast(money), F.lit(0).cast(money)) - F.coalesce(F.col("Applied").cast(money), F.lit(0).cast(money))
-    days = days.join(now, by, "left").withColumn("_change", change.cast(money))
+    # company-wide: a scalar subquery
+    days = days.withColumn("_now", now.select("_now").scalar()) if by == [ALL] else days.join(now, by, "left")
+    days = days.withColumn("_change", change.cast(money))
     group, run = Window.partitionBy(*by), Window.partitionBy(*by).orderBy("Day").rowsBetween(Window.unboundedPreceding, 0)
     opening = F.coalesce(F.col("_now").cast(money), F.lit(0).cast(money)) - F.sum("_change").over(group).cast(money)
     days = days.withColumn("OpeningAR", opening.cast(money))
