@@ -9,7 +9,9 @@ from __future__ import annotations
 import datetime as _dt
 import hashlib
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -116,9 +118,9 @@ def _log_path(d: Domain) -> str:
 def load_log(d: Domain) -> DataFrame:
     """The load log of all raw tables. The fixture's raw logs are landed as one batch each when the first report asks for them."""
     spark, path = d.t.spark, _log_path(d)
-    for name, build in RAW_TABLES.items():
-        if not loadlog.committed(spark, path, name, "0"):
-            loadlog.append(spark, path, name, "0", build(d))
+    missing = [name for name in RAW_TABLES if not loadlog.committed(spark, path, name, "0")]
+    with ThreadPoolExecutor(4) as pool:  # many of the tables are too small to keep a cluster busy one by one
+        list(pool.map(inheritable_thread_target(spark)(lambda name: loadlog.append(spark, path, name, "0", RAW_TABLES[name](d))), missing))
     return loadlog.read(spark, path)
 
 
