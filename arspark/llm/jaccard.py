@@ -22,10 +22,19 @@ represented by one row, so copies are never paired with each other.
   connected group needn't all be seen. First each shingle's classes are paired
   with one of them (a star, as many pairs as entries; the centre is the class
   with most shared entries, which among altered copies is the original), pairs
-  are verified on whole sets, and groups are joined. Then all pairs of classes
-  of different groups that share enough prefix entries are verified, so nothing
-  is left out. For a pair the prefixes are those that its two sizes ask for,
-  which are parts of the ones at hand.
+  are verified on whole sets, and groups are joined. Then pairs of classes of
+  different groups that share enough prefix entries are verified, so nothing is
+  left out. For a pair the prefixes are those that its two sizes ask for, which
+  are parts of the ones at hand.
+* Stars. Altered copies of one text that don't link with it share most of their
+  entries all the same, so pairing them by entries would form all pairs. Two
+  classes a and b that tried the same centre h share at least
+  k = (overlap that links them) - min(|a & h|, |b & h|) shingles outside h. Where
+  k > 0 they meet by the shingles that they have beyond h, a prefix filter over
+  those alone (the e - k + 1 first of e), and never by h's own. k is at most 0
+  only if the shorter one lies almost whole in a longer h; those pairs, and pairs
+  of different stars, meet by prefix entries. Stars of up to ``STAR`` classes are
+  paired by entries as well, which is as exact and cheaper.
 * Counting bounds the overlap before any text is fetched: beyond their c shared
   prefix entries two documents share at most as much as the longer rest holds,
   so c must make up for what the threshold asks for their two sizes.
@@ -47,7 +56,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,6 +73,10 @@ COST_UNIT, MOST_L = 64.0, 8
 SPREAD = 1 << 15
 #: Entries of a task that are sent at once, and partners of a class that one task verifies.
 FLUSH, PARTNERS = 1 << 18, 512
+#: Classes that tried one centre, beyond which they are paired by what they have beyond it.
+STAR = 32
+#: Times that such a star's classes are held against a centre; after the first, against a better one.
+TURNS = 2
 
 
 def digests(vals: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -127,11 +140,15 @@ def levels_of(counts: np.ndarray) -> np.ndarray:
     return out
 
 
+def _levels(vals: np.ndarray, level: np.ndarray) -> np.ndarray:
+    return level[(vals >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.int64)
+
+
 def prefixes(vals: np.ndarray, first: np.ndarray, level: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
     """Prefix entries of each row's set: (shingle, row, place in the row's order, the row's l, estimated frequency)."""
     n = np.diff(first)
     rows = np.repeat(np.arange(len(n)), n)
-    lv = level[(vals >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.int64)
+    lv = _levels(vals, level)
     order = np.argsort(rows * 256 + lv, kind="stable")
     vals, lv = vals[order], lv[order]
     at = np.arange(len(vals)) - np.repeat(first[:-1], n)
@@ -242,6 +259,34 @@ def _verify(percent: int):
     return run
 
 
+def _beyond(percent: int, sent):
+    """Rows come sorted as for ``_verify``. For each partner one row with its overlap with the hub (pos -1), and its first shingles beyond the hub."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level, now, own = sent.value, None, None
+        for batch in batches:
+            head, found = [], []
+            for hub, member, cls, vals in zip(*(batch.column(c).to_pylist() for c in ("hub", "member", "cls", "vals"))):
+                x = np.frombuffer(vals, dtype=np.uint64)
+                if not member:
+                    now, own = hub, x
+                    continue
+                if now != hub:
+                    continue
+                k = np.searchsorted(own, x)
+                rest = x[own[np.minimum(k, len(own) - 1)] != x]
+                both = len(x) - len(rest)
+                first = rest[np.argsort(_levels(rest, level), kind="stable")]
+                first = first[:max(0, len(rest) - max(1, -(-len(x) * percent // 100) - both) + 1)]
+                head.append((hub, cls, both, len(own), 1 + len(first)))
+                found.append(np.concatenate([np.zeros(1, np.uint64), first]).view(np.int64))
+            if head:
+                hub, cls, both, size, times = (np.array(c, dtype=np.int64) for c in zip(*head))
+                pos = np.concatenate([np.arange(-1, t - 1) for t in times.tolist()]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.repeat(c, times)) for c in (hub, cls, both, size)), pa.array(np.concatenate(found)), pa.array(pos)],
+                                                 ["star", "cls", "both", "n_star", "shingle", "pos"])
+    return run
+
+
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
     """Of pairs of classes, those that link, as (a, b). Columns hub, own_hub, cls, own, and shared: prefix entries in common."""
     size = lambda c: classes.select(F.col("cls").alias(c), F.col("n").alias(f"n_{c}"))
@@ -251,6 +296,13 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int
     near = near.filter((F.least("n_hub", "n_cls") * 100 >= F.greatest("n_hub", "n_cls") * percent)
                        & (F.col("shared") >= least - F.greatest(rest("n_hub", "own_hub"), rest("n_cls", "own"))))
     near = scratch.save(near.select("hub", "cls"))
+    edges = scratch.save(_by_hub(near, classes, texts, words, scratch).mapInArrow(released(_verify(percent)), "a long, b long").distinct())
+    scratch.drop(near)
+    return edges
+
+
+def _by_hub(near: DataFrame, classes: DataFrame, texts: DataFrame, words: int, scratch: Scratch) -> DataFrame:
+    """Whole sets of the pairs (hub, cls), sorted within tasks: a hub's own set, then its partners'."""
     parts = near.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("parts"))
     # partners of a hub with many of them are dealt over several parts, each of which gets the hub's own set
     member = near.join(parts, "hub").select("hub", F.pmod(F.hash("cls"), F.col("parts")).alias("part"), F.lit(1).alias("member"), "cls")
@@ -260,10 +312,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int
     # repeated rows have the same key; one of them will do
     rows = rows_with_ids(texts, uses.select("key").distinct(), "key").select("key", "text").dropDuplicates(["key"]).join(uses, "key").select("use", "cls", "text")
     sets = rows.mapInArrow(released(_whole_sets(words)), "hub long, part int, member int, cls long, vals binary")
-    sets = sets.repartition("hub", "part").sortWithinPartitions("hub", "part", "member")
-    edges = scratch.save(sets.mapInArrow(released(_verify(percent)), "a long, b long").distinct())
-    scratch.drop(near, uses)
-    return edges
+    return sets.repartition("hub", "part").sortWithinPartitions("hub", "part", "member")
 
 
 def classes_of(docs: DataFrame, scratch: Scratch, words: int = 5, percent: int = 75) -> tuple[DataFrame, DataFrame]:
@@ -298,25 +347,121 @@ def classes_of(docs: DataFrame, scratch: Scratch, words: int = 5, percent: int =
     pairs = wide.join(centre, "shingle").filter("cls != c.cls").select(F.col("c.cls").alias("hub"), F.col("c.own").alias("own_hub"), "cls", "own")
     pairs = pairs.groupBy("hub", "cls").agg(F.count(F.lit(1)).alias("shared"), F.first("own_hub").alias("own_hub"), F.first("own").alias("own"))
     pairs = pairs.groupBy("cls").agg(F.max(F.struct("shared", "hub", "own_hub", "own")).alias("p")).select("cls", "p.*")
-    edges = _verified(pairs, classes, docs, words, percent, scratch)
+    tried = scratch.save(pairs)
+    edges = _verified(tried, classes, docs, words, percent, scratch)
     roots = components(edges, scratch)
     # every pair of different groups that shares enough of its prefixes
     left = scratch.save(_mixed(wide, roots))
-    a, b = (left.select("shingle", *(F.col(c).alias(f"{c}_{k}") for c in ("cls", "grp", "n", "own", "pos"))) for k in "ab")
-    a = a.filter(F.col("pos_a") < F.col("n_a") - F.ceil(2 * F.col("n_a") * percent / (100 + percent)) + F.col("own_a"))  # a is the shorter one
-    apart = (F.col("grp_a") != F.col("grp_b")) & (F.struct("n_a", "cls_a") < F.struct("n_b", "cls_b")) & (F.col("n_a") * 100 >= F.col("n_b") * percent)
-    least = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
-    match = F.least("own_a", "own_b")
-    # the l-prefixes that this pair's sizes ask for; they are parts of both prefixes
-    inside = (F.col("pos_a") < F.col("n_a") - least + match) & (F.col("pos_b") < F.col("n_b") - least + match)
-    pairs = a.join(b, "shingle").filter(apart & inside).groupBy("cls_a", "cls_b").agg(
-        F.count(F.lit(1)).alias("shared"), F.first("own_a").alias("own_hub"), F.first("own_b").alias("own"))
-    pairs = pairs.filter(F.col("shared") >= F.least("own_hub", "own")).select(F.col("cls_a").alias("hub"), F.col("cls_b").alias("cls"), "own_hub", "own")
+    crowd = _crowded(left, tried, scratch)
+    if crowd.isEmpty():
+        pairs = _meeting(left, left, "shingle", percent)
+    else:
+        for turn in range(TURNS):
+            beyond = scratch.save(_by_hub(crowd.select(F.col("star").alias("hub"), "cls"), classes, docs, words, scratch).mapInArrow(
+                released(_beyond(percent, level)), "star long, cls long, both long, n_star long, shingle long, pos int"))
+            overlap = scratch.save(beyond.filter("pos < 0").drop("shingle", "pos").distinct())
+            known = overlap.filter("star != cls").join(classes.select("cls", "n"), "cls")
+            linked = F.col("both") * 100 >= percent * (F.col("n") + F.col("n_star") - F.col("both"))
+            edges = scratch.save(edges.union(known.filter(linked).select(F.col("star").alias("a"), F.col("cls").alias("b"))))
+            if turn + 1 < TURNS:
+                crowd = scratch.save(crowd.drop("star").join(_recentred(beyond, overlap, crowd), "cls"))
+        roots = components(edges, scratch)
+        left = scratch.save(_mixed(left.drop("grp"), roots))
+        groups = roots.select(F.col("node").alias("cls"), "root")
+        crowd = crowd.join(groups, "cls", "left").withColumn("grp", F.coalesce("root", "cls")).drop("root")
+        pairs = _apart_or_inside(left, overlap, percent, scratch).union(_outside(beyond.filter("pos >= 0"), crowd, percent)).distinct()
+    pairs = pairs.select(F.col("cls_a").alias("hub"), F.col("cls_b").alias("cls"), F.col("own_a").alias("own_hub"), F.col("own_b").alias("own"))
     edges = edges.union(_verified(_counted(pairs, left), classes, docs, words, percent, scratch))
     roots = components(edges, scratch)
     return members, roots.select(F.col("node").alias("cls"), "root")
 
 
+def _sides(a: DataFrame, b: DataFrame, keys: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """Both tables with their columns named by side, but for ``keys``."""
+    return tuple(x.select(*(F.col(c).alias(c if c in keys else f"{c}_{k}") for c in x.columns)) for x, k in ((a, "a"), (b, "b")))
+
+
+def _ordered(percent: int) -> Column:
+    """The pair is of different groups, a is the shorter one, and the sizes can link."""
+    return (F.col("grp_a") != F.col("grp_b")) & (F.struct("n_a", "cls_a") < F.struct("n_b", "cls_b")) & (F.col("n_a") * 100 >= F.col("n_b") * percent)
+
+
+def _least(percent: int) -> Column:
+    """Overlap that links a pair."""
+    return F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
+
+
+def _shared_places(a: DataFrame, b: DataFrame, keys: tuple[str, ...], percent: int) -> DataFrame:
+    """Prefix entries, as (cls_a, cls_b, own_a, own_b, ...), that pairs share inside the prefixes that their sizes ask for."""
+    a, b = _sides(a, b, keys)
+    a = a.filter(F.col("pos_a") < F.col("n_a") - F.ceil(2 * F.col("n_a") * percent / (100 + percent)) + F.col("own_a"))  # a is the shorter one
+    match, least = F.least("own_a", "own_b"), _least(percent)
+    # the l-prefixes that this pair's sizes ask for; they are parts of both prefixes
+    inside = (F.col("pos_a") < F.col("n_a") - least + match) & (F.col("pos_b") < F.col("n_b") - least + match)
+    return a.join(b, list(keys)).filter(_ordered(percent) & inside)
+
+
+def _enough(shared: DataFrame) -> DataFrame:
+    """Pairs that share as many prefix entries as both prefixes ask for."""
+    pairs = shared.groupBy("cls_a", "cls_b").agg(F.count(F.lit(1)).alias("shared"), F.first("own_a").alias("own_a"), F.first("own_b").alias("own_b"))
+    return pairs.filter(F.col("shared") >= F.least("own_a", "own_b")).drop("shared")
+
+
+def _meeting(a: DataFrame, b: DataFrame, key: str, percent: int) -> DataFrame:
+    return _enough(_shared_places(a, b, (key,), percent))
+
+
+def _crowded(left: DataFrame, tried: DataFrame, scratch: Scratch) -> DataFrame:
+    """(star, cls, n, own) of the classes whose centre more than ``STAR`` classes tried."""
+    centre = tried.select("cls", F.col("hub").alias("star"))
+    classes = left.groupBy("cls").agg(F.first("n").alias("n"), F.first("own").alias("own")).join(centre, "cls")
+    classes = scratch.save(classes)
+    crowds = classes.groupBy("star").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > STAR).select("star")
+    return scratch.save(classes.join(crowds, "star"))
+
+
+def _recentred(beyond: DataFrame, overlap: DataFrame, crowd: DataFrame) -> DataFrame:
+    """(cls, star): each star's classes with its better centre, the class that has most of what is common in the star.
+
+    That is what the old centre has, and the shingles beyond it that more than half of the classes have.
+    """
+    size = overlap.groupBy("star").agg(F.count(F.lit(1)).alias("k"))
+    common = beyond.filter("pos >= 0").groupBy("star", "shingle").agg(F.count(F.lit(1)).alias("m")).join(size, "star").filter("2 * m > k").select("star", "shingle")
+    more = beyond.filter("pos >= 0").join(common, ["star", "shingle"]).groupBy("cls").agg(F.count(F.lit(1)).alias("more"))
+    near = overlap.join(more, "cls", "left").withColumn("near", F.col("both") + F.coalesce("more", F.lit(0)))
+    best = near.groupBy("star").agg(F.max_by("cls", F.struct("near", "cls")).alias("centre"))
+    return crowd.select("cls", "star").join(best, "star").select("cls", F.col("centre").alias("star"))
+
+
+def _apart_or_inside(left: DataFrame, overlap: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs by prefix entries, but for those of one star that must share a shingle beyond its centre."""
+    entries = scratch.save(left.select("shingle", "cls", "grp", "n", "own", "pos").join(overlap, "cls", "left"))
+    inner, outer = entries.filter("star IS NOT NULL"), entries.filter("star IS NULL")
+    found = _shared_places(outer, entries, ("shingle",), percent).unionByName(_shared_places(inner, outer, ("shingle",), percent))
+    # two stars: shingles that both have, so that classes of one star never meet here
+    has = scratch.save(inner.select("shingle", "star").distinct())
+    both = has.withColumnRenamed("star", "star_a").join(has.withColumnRenamed("star", "star_b"), "shingle").filter("star_a != star_b")
+    between = both.withColumnRenamed("star_a", "star").join(inner, ["shingle", "star"]).withColumnRenamed("star", "centre")
+    between = _shared_places(between.withColumnRenamed("star_b", "star"), inner, ("shingle", "star"), percent)
+    untried = lambda centre, other: F.coalesce(F.col(centre) != F.col(other), F.lit(True))  # noqa: E731  a star's classes have all been held against its centre
+    found = found.filter(untried("star_a", "cls_b") & untried("star_b", "cls_a")).select("cls_a", "cls_b", "own_a", "own_b").union(
+        between.filter(untried("centre_a", "cls_b") & untried("star", "cls_a")).select("cls_a", "cls_b", "own_a", "own_b"))
+    # one star: the shorter class lies almost whole in the centre, which is longer
+    short = inner.filter((F.col("n") < F.col("n_star")) & (F.col("both") >= F.ceil(2 * F.col("n") * percent / (100 + percent))))
+    long = inner.filter(F.col("both") * 100 >= percent * F.col("n"))
+    within = _shared_places(short, long, ("shingle", "star"), percent).filter(_least(percent) <= F.least("both_a", "both_b"))
+    return _enough(found.union(within.select("cls_a", "cls_b", "own_a", "own_b")))
+
+
+def _outside(beyond: DataFrame, crowd: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one star that share a shingle beyond its centre among the first ones that the pair asks for."""
+    rows = beyond.drop("n_star").join(crowd.select("cls", "n", "grp", "own"), "cls")
+    a, b = _sides(rows, rows, ("star", "shingle"))
+    more = _least(percent) - F.least("both_a", "both_b")
+    inside = (F.col("pos_a") <= F.col("n_a") - F.col("both_a") - more) & (F.col("pos_b") <= F.col("n_b") - F.col("both_b") - more)
+    return a.join(b, ["star", "shingle"]).filter(_ordered(percent) & (more > 0) & inside).select("cls_a", "cls_b", "own_a", "own_b").distinct()
+
+
 def _counted(pairs: DataFrame, entries: DataFrame) -> DataFrame:
     """Pairs with ``shared``: how many entries of their whole prefixes they have in common."""
     lists = entries.groupBy("cls").agg(F.collect_list("shingle").alias("all"))  # a class has no more than its document's prefix

@@ -91,6 +91,69 @@ def test_near_duplicates_without_ids(spark):
     assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [1, 5]
 
 
+def linked_groups(texts):
+    """Smallest index that each text's links reach, by brute force; texts of five words or more."""
+    sets = [frozenset(tuple(t[i:i + 5]) for i in range(len(t) - 4)) for t in texts]
+    low = list(range(len(sets)))
+
+    def find(x):
+        while low[x] != x:
+            x = low[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 75 * len(a | sets[j]):
+                a_root, b_root = sorted((find(i), find(j)))
+                low[b_root] = a_root
+    return [find(i) for i in range(len(sets))]
+
+
+def altered(rng, n, size=120):
+    """Copies of one text with words replaced, pieces cut off its end, passages that many share, and copies of altered copies."""
+    words = [f"w{k}" for k in range(3000)]
+    base = [rng.choice(words) for _ in range(size)]
+    passage, out = [rng.choice(words) for _ in range(12)], [base]
+    for k in range(n):
+        t = list(base if k % 5 else rng.choice(out))
+        for _ in range(rng.choice([0, 1, 3, 5, 6, 8])):
+            t[rng.randrange(len(t))] = rng.choice(words)
+        if k % 7 == 0:
+            t = t[:rng.randint(60, len(t))] if len(t) > 60 else t
+        if k % 6 == 0:
+            t = t + passage
+        if k % 11 == 0:
+            t = base[10:rng.randint(80, size)]
+        out.append(t)
+    return out
+
+
+@pytest.mark.parametrize("star, turns, whole", [(3, 1, True), (3, 2, True), (3, 3, False), (1 << 40, 2, True)])
+def test_near_duplicates_in_crowded_stars(spark, monkeypatch, star, turns, whole):
+    """Altered copies of two texts, with and without the original; every way of pairing gives the same groups."""
+    monkeypatch.setattr(jaccard, "STAR", star)
+    monkeypatch.setattr(jaccard, "TURNS", turns)
+    rng = random.Random(star + turns)
+    texts = altered(rng, 150)[0 if whole else 1:] + altered(rng, 60, 90)[1:]
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()}
+    assert got == dict(enumerate(linked_groups(texts)))
+
+
+def test_pairs_grow_with_the_copies(spark, monkeypatch):
+    """Twice as many copies, too far from each other to link, don't bring four times the pairs."""
+    seen, real = [], jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, *a: seen.append(pairs.count()) or real(pairs, *a))
+    rng = random.Random(1)
+    base = [f"w{k}" for k in range(120)]
+    for n in (150, 300):
+        texts = [[w if rng.random() > 0.06 else f"n{rng.random()}" for w in base] for _ in range(n)]
+        docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+        got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()}
+        assert got == dict(enumerate(linked_groups(texts)))
+    assert len(seen) == 4 and seen[1] <= 5 * 150 and seen[3] <= 5 * 300, seen
+
+
 def test_prefixes_share_enough():
     """Two sets of the asked similarity share at least l entries of their l-prefixes, whatever the order."""
     rng = np.random.default_rng(2)
