@@ -33,8 +33,8 @@ represented by one row, so copies are never paired with each other.
   k > 0 they meet by the shingles that they have beyond h, a prefix filter over
   those alone (the e - k + 1 first of e), and never by h's own. k is at most 0
   only if the shorter one lies almost whole in a longer h; those pairs, and pairs
-  of different stars, meet by prefix entries. Stars of up to ``STAR`` classes are
-  paired by entries as well, which is as exact and cheaper.
+  of different stars, meet by prefix entries. Stars with up to ``STAR`` classes
+  that don't link with the centre are paired by entries as well, which is as exact.
 * Counting bounds the overlap before any text is fetched: beyond their c shared
   prefix entries two documents share at most as much as the longer rest holds,
   so c must make up for what the threshold asks for their two sizes.
@@ -352,9 +352,9 @@ def classes_of(docs: DataFrame, scratch: Scratch, words: int = 5, percent: int =
     roots = components(edges, scratch)
     # every pair of different groups that shares enough of its prefixes
     left = scratch.save(_mixed(wide, roots))
-    crowd = _crowded(left, tried, scratch)
+    crowd = _crowded(tried, classes, roots, scratch)
     if crowd.isEmpty():
-        pairs = _meeting(left, left, "shingle", percent)
+        pairs = _enough(_shared_places(left, left, ("shingle",), percent))
     else:
         for turn in range(TURNS):
             beyond = scratch.save(_by_hub(crowd.select(F.col("star").alias("hub"), "cls"), classes, docs, words, scratch).mapInArrow(
@@ -366,10 +366,13 @@ def classes_of(docs: DataFrame, scratch: Scratch, words: int = 5, percent: int =
             if turn + 1 < TURNS:
                 crowd = scratch.save(crowd.drop("star").join(_recentred(beyond, overlap, crowd), "cls"))
         roots = components(edges, scratch)
-        left = scratch.save(_mixed(left.drop("grp"), roots))
-        groups = roots.select(F.col("node").alias("cls"), "root")
-        crowd = crowd.join(groups, "cls", "left").withColumn("grp", F.coalesce("root", "cls")).drop("root")
-        pairs = _apart_or_inside(left, overlap, percent, scratch).union(_outside(beyond.filter("pos >= 0"), crowd, percent)).distinct()
+        groups = scratch.save(roots.select(F.col("node").alias("cls"), "root"))
+        crowd = scratch.save(crowd.join(groups, "cls", "left").withColumn("grp", F.coalesce("root", "cls")).drop("root"))
+        stars = overlap.join(crowd.select("cls", "grp"), "cls")
+        pairs = _apart_or_inside(left, stars, percent, scratch).union(_outside(beyond.filter("pos >= 0"), crowd, percent)).distinct()
+        # entries of other classes still have the groups from before the stars
+        side = lambda k: groups.select(F.col("cls").alias(f"cls_{k}"), F.col("root").alias(f"root_{k}"))
+        pairs = pairs.join(side("a"), "cls_a", "left").join(side("b"), "cls_b", "left").filter(F.coalesce("root_a", "cls_a") != F.coalesce("root_b", "cls_b"))
     pairs = pairs.select(F.col("cls_a").alias("hub"), F.col("cls_b").alias("cls"), F.col("own_a").alias("own_hub"), F.col("own_b").alias("own"))
     edges = edges.union(_verified(_counted(pairs, left), classes, docs, words, percent, scratch))
     roots = components(edges, scratch)
@@ -407,17 +410,13 @@ def _enough(shared: DataFrame) -> DataFrame:
     return pairs.filter(F.col("shared") >= F.least("own_a", "own_b")).drop("shared")
 
 
-def _meeting(a: DataFrame, b: DataFrame, key: str, percent: int) -> DataFrame:
-    return _enough(_shared_places(a, b, (key,), percent))
-
-
-def _crowded(left: DataFrame, tried: DataFrame, scratch: Scratch) -> DataFrame:
-    """(star, cls, n, own) of the classes whose centre more than ``STAR`` classes tried."""
-    centre = tried.select("cls", F.col("hub").alias("star"))
-    classes = left.groupBy("cls").agg(F.first("n").alias("n"), F.first("own").alias("own")).join(centre, "cls")
-    classes = scratch.save(classes)
-    crowds = classes.groupBy("star").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > STAR).select("star")
-    return scratch.save(classes.join(crowds, "star"))
+def _crowded(tried: DataFrame, classes: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
+    """(star, cls, n, own) of the classes whose centre more than ``STAR`` classes tried without a link."""
+    side = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    stars = scratch.save(tried.select("cls", "own", F.col("hub").alias("star")).join(side("cls"), "cls", "left").join(side("star"), "star", "left"))
+    lone = stars.filter(F.coalesce("root_cls", "cls") != F.coalesce("root_star", "star"))
+    crowds = lone.groupBy("star").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > STAR).select("star")
+    return scratch.save(stars.select("star", "cls", "own").join(crowds, "star").join(classes.select("cls", "n"), "cls"))
 
 
 def _recentred(beyond: DataFrame, overlap: DataFrame, crowd: DataFrame) -> DataFrame:
@@ -433,24 +432,31 @@ def _recentred(beyond: DataFrame, overlap: DataFrame, crowd: DataFrame) -> DataF
     return crowd.select("cls", "star").join(best, "star").select("cls", F.col("centre").alias("star"))
 
 
-def _apart_or_inside(left: DataFrame, overlap: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """Pairs by prefix entries, but for those of one star that must share a shingle beyond its centre."""
-    entries = scratch.save(left.select("shingle", "cls", "grp", "n", "own", "pos").join(overlap, "cls", "left"))
-    inner, outer = entries.filter("star IS NOT NULL"), entries.filter("star IS NULL")
-    found = _shared_places(outer, entries, ("shingle",), percent).unionByName(_shared_places(inner, outer, ("shingle",), percent))
+def _apart_or_inside(left: DataFrame, stars: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs by prefix entries, but for those of one star that must share a shingle beyond its centre. ``stars``: star, cls, both, n_star, grp."""
+    entries = left.select("shingle", "cls", "grp", "n", "own", "pos")
+    # most entries are of no star: they are told by a bitmap of fixed size, not by a shuffle
+    maybe = scratch.save(rows_with_ids(entries, stars.select("cls"), "cls"))
+    inner = scratch.save(maybe.drop("grp").join(stars, "cls"))
+    outer = scratch.save(rows_with_ids(entries, stars.select("cls"), "cls", others=True).union(maybe.join(stars.select("cls"), "cls", "left_anti").select(*entries.columns)))
+    near = scratch.save(rows_with_ids(outer, inner.select("shingle").distinct(), "shingle"))
+    names = ("cls_a", "cls_b", "own_a", "own_b")
+    found = _shared_places(outer, outer, ("shingle",), percent).select(*names)
+    # a star's classes have all been held against its centre
+    one = _shared_places(near, inner, ("shingle",), percent).filter("star_b != cls_a").select(*names)
+    other = _shared_places(inner, near, ("shingle",), percent).filter("star_a != cls_b").select(*names)
+    found = found.union(one).union(other)
     # two stars: shingles that both have, so that classes of one star never meet here
     has = scratch.save(inner.select("shingle", "star").distinct())
     both = has.withColumnRenamed("star", "star_a").join(has.withColumnRenamed("star", "star_b"), "shingle").filter("star_a != star_b")
     between = both.withColumnRenamed("star_a", "star").join(inner, ["shingle", "star"]).withColumnRenamed("star", "centre")
     between = _shared_places(between.withColumnRenamed("star_b", "star"), inner, ("shingle", "star"), percent)
-    untried = lambda centre, other: F.coalesce(F.col(centre) != F.col(other), F.lit(True))  # noqa: E731  a star's classes have all been held against its centre
-    found = found.filter(untried("star_a", "cls_b") & untried("star_b", "cls_a")).select("cls_a", "cls_b", "own_a", "own_b").union(
-        between.filter(untried("centre_a", "cls_b") & untried("star", "cls_a")).select("cls_a", "cls_b", "own_a", "own_b"))
+    found = found.union(between.filter("centre_a != cls_b AND star != cls_a").select(*names))
     # one star: the shorter class lies almost whole in the centre, which is longer
     short = inner.filter((F.col("n") < F.col("n_star")) & (F.col("both") >= F.ceil(2 * F.col("n") * percent / (100 + percent))))
     long = inner.filter(F.col("both") * 100 >= percent * F.col("n"))
     within = _shared_places(short, long, ("shingle", "star"), percent).filter(_least(percent) <= F.least("both_a", "both_b"))
-    return _enough(found.union(within.select("cls_a", "cls_b", "own_a", "own_b")))
+    return _enough(found.union(within.select(*names)))
 
 
 def _outside(beyond: DataFrame, crowd: DataFrame, percent: int) -> DataFrame:
@@ -459,7 +465,7 @@ def _outside(beyond: DataFrame, crowd: DataFrame, percent: int) -> DataFrame:
     a, b = _sides(rows, rows, ("star", "shingle"))
     more = _least(percent) - F.least("both_a", "both_b")
     inside = (F.col("pos_a") <= F.col("n_a") - F.col("both_a") - more) & (F.col("pos_b") <= F.col("n_b") - F.col("both_b") - more)
-    return a.join(b, ["star", "shingle"]).filter(_ordered(percent) & (more > 0) & inside).select("cls_a", "cls_b", "own_a", "own_b").distinct()
+    return a.join(b, ["star", "shingle"]).filter(_ordered(percent) & (more > 0) & inside).select("cls_a", "cls_b", "own_a", "own_b")
 
 
 def _counted(pairs: DataFrame, entries: DataFrame) -> DataFrame:
