@@ -73,8 +73,9 @@ COST_UNIT, MOST_L = 64.0, 8
 SPREAD = 1 << 15
 #: Entries of a task that are sent at once, and partners of a class that one task verifies.
 FLUSH, PARTNERS = 1 << 18, 512
-#: Classes that tried one centre, beyond which they are paired by what they have beyond it.
-STAR = 32
+#: Classes that tried one centre without a link, beyond which the star is paired by what its classes have beyond the centre.
+#: Up to this many, the pairs of a class cost less than reading the whole sets of its star twice more.
+STAR = 128
 #: Times that such a star's classes are held against a centre; after the first, against a better one.
 TURNS = 2
 
