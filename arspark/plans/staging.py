@@ -23,6 +23,7 @@ from arspark.sources import specs as S
 from arspark.sources.adapter import Domain
 from arspark.sources.raw import bad_json_count
 from arspark.sources.staged import DIMS, FACTS, StagedDomain
+from arspark.sources.tables import pieces
 from arspark.streaming.ingest import current_rows, land_files, run_upsert_stream
 
 # entity -> columns left out of the typed output (nested values that have queries of their own, fixture-only fields)
@@ -75,16 +76,22 @@ def stage_ticket_incremental(d: Domain, cutoff: str = "1998-01-01") -> DataFrame
 def stage_ticket_streamed(d: Domain, cutoff: str = "1996-01-01") -> DataFrame:
     """The ticket log landed as files and merged by the stream into a bucketed
     target, in two runs of several micro-batches: later loads first, then the
-    earlier ones with a tenth of the later ones once more. Must equal a full run."""
+    earlier ones with a tenth of the later ones once more. Must equal a full run.
+
+    Landed files go once they are merged, and of the target only the newest
+    version stays; files and buckets are as many as the tables ask for."""
     spark = d.t.spark
     root = scratch_path(spark, f"ticket-stream-{uuid.uuid4().hex}")
     raw = R.raw_ticket(d).select("OfficeID", "LoadDatetimeUTC", "RawDataString")
     late = F.col("LoadDatetimeUTC") >= F.lit(cutoff).cast("timestamp_ntz")
     again = late & (F.pmod(F.xxhash64("RawDataString"), F.lit(10)) == 0)
+    n = pieces(spark, d.t.root)
+    files, landed = max(8, 2 * -(-n // 4)), spark._jvm.org.apache.hadoop.fs.Path(f"{root}/landed")
     for part in (late, ~late | again):
-        land_files(raw.filter(part), f"{root}/landed", n_files=8)
+        land_files(raw.filter(part), f"{root}/landed", n_files=files)
         run_upsert_stream(spark, f"{root}/landed", S.TICKET, f"{root}/target", f"{root}/bad", checkpoint=f"{root}/progress",
-                          buckets=16, max_files_per_trigger=4)
+                          buckets=max(16, n), max_files_per_trigger=files // 2, keep=1)
+        landed.getFileSystem(spark._jsc.hadoopConfiguration()).delete(landed, True)
     return _typed(S.TICKET, current_rows(spark, f"{root}/target", S.TICKET.names), ("items",))
 
 

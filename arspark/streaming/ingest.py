@@ -72,13 +72,15 @@ def dedupe_stream(df: DataFrame, key_path: str, version_path: str = "$.dateUpdat
         .dropDuplicatesWithinWatermark(["_k", "_ver"]).drop("_k", "_ver", "_event_time")
 
 
-def _batch_upsert(spec: EntitySpec, target_path: str, quarantine_path: str, buckets: int):
+def _batch_upsert(spec: EntitySpec, target_path: str, quarantine_path: str, buckets: int, held: bool, keep: int | None):
     def fn(batch: DataFrame, epoch_id: int):
         spark = batch.sparkSession
         if batch.isEmpty():  # a run that has nothing new leaves the target as it is
             return
-        # the micro-batch feeds two writes (quarantine, merge): read and parse it once
-        batch = batch.persist()
+        # the micro-batch feeds two writes (quarantine, merge): landed files are read for each of them, as a copy of their
+        # texts would fill the executors' disks; only what came through a stream's state is held
+        if held:
+            batch = batch.persist()
         st = stage(batch, spec)
         # epochs start anew with a new checkpoint, so a folder is named by the checkpoint's query id too
         query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
@@ -86,13 +88,16 @@ def _batch_upsert(spec: EntitySpec, target_path: str, quarantine_path: str, buck
             .parquet(f"{quarantine_path.rstrip('/')}/part={query}-{epoch_id}")
         # the target remembers a checkpoint's last epoch: one that is replayed after its commit is left out
         tables.upsert(spark, target_path, st.rows, spec.keys, tie_breakers=spec.tie_breakers, buckets=buckets, batch=(query, epoch_id))
-        batch.unpersist()
+        if keep:
+            tables.retain(spark, target_path, keep, older_than_s=0)
+        if held:
+            batch.unpersist()
     return fn
 
 
 def run_upsert_stream(spark: SparkSession, src_dir: str, spec: EntitySpec, target_path: str,
                       quarantine_path: str, checkpoint: str | None = None, dedupe: bool = False, buckets: int = 64,
-                      max_files_per_trigger: int | None = None):
+                      max_files_per_trigger: int | None = None, keep: int | None = None):
     """Land -> (dedupe) -> per micro-batch: quarantine bad JSON, merge the
     newest version per key into the bucketed target, which rewrites only the
     buckets that the batch's keys fall into. Runs what is available
@@ -102,22 +107,23 @@ def run_upsert_stream(spark: SparkSession, src_dir: str, spec: EntitySpec, targe
     that arrive twice, late records and unparsable rows all reach it or the
     quarantine. Versions are numbered by the target, so a new checkpoint on an
     old target and batch upserts between two runs add to it. ``dedupe`` saves merge work but drops rows later than its
-    watermark, so it is off unless asked for.
+    watermark, so it is off unless asked for. ``keep``: versions of the target that stay; for a target
+    with this one writer, and no reader of older ones.
     """
     checkpoint = checkpoint or scratch_path(spark, f"stream-{spec.name}")
     df = read_raw_stream(spark, src_dir, max_files_per_trigger)
     if dedupe:
         df = dedupe_stream(df, f"$.{spec.keys[0]}")
-    q = df.writeStream.foreachBatch(_batch_upsert(spec, target_path, quarantine_path, buckets)) \
+    q = df.writeStream.foreachBatch(_batch_upsert(spec, target_path, quarantine_path, buckets, dedupe, keep)) \
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return q
 
 
 def land_files(df: DataFrame, out_dir: str, n_files: int = 1) -> None:
-    """Write raw text rows as envelope JSON-lines files (test/bench helper)."""
+    """Write raw text rows as envelope JSON-lines files, gzipped (test/bench helper)."""
     df.select("OfficeID", F.date_format("LoadDatetimeUTC", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("LoadDatetimeUTC"),
-              "RawDataString").repartition(n_files).write.mode("append").json(out_dir)
+              "RawDataString").repartition(n_files).write.mode("append").json(out_dir, compression="gzip")
 
 
 def current_rows(spark: SparkSession, target_path: str, columns: Sequence[str]) -> DataFrame | None:
