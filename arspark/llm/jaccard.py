@@ -60,7 +60,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arspark.llm.common import Scratch, released, rows_with_ids
+from arspark.llm.common import Scratch, released, rows_with_ids, trim
 from arspark.llm.components import components
 from arspark.llm.text import NOT_SPACE, Words, as_bytes, blocks, mix, odd, shingle_sets
 
@@ -131,9 +131,9 @@ def _sum_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([zlib.compress(c.tobytes(), 1) for c in total.values()], pa.binary())], ["chunk", "counts"])
 
 
-def levels_of(counts: np.ndarray) -> np.ndarray:
-    """For each counter 0, or 1 + floor(2 * log2(excess)) if it stands out from the mean load."""
-    mean = counts.mean()
+def levels_of(counts: np.ndarray, mean: float | None = None) -> np.ndarray:
+    """For each counter 0, or 1 + floor(2 * log2(excess)) if it stands out from the mean load (of all counters, if these are some of them)."""
+    mean = counts.mean() if mean is None else mean
     excess = counts - mean
     out = np.zeros(len(counts), dtype=np.uint8)
     high = excess > 5 * np.sqrt(mean) + 8
@@ -316,6 +316,18 @@ def _by_hub(near: DataFrame, classes: DataFrame, texts: DataFrame, words: int, s
     return sets.repartition("hub", "part").sortWithinPartitions("hub", "part", "member")
 
 
+def _level(profile: DataFrame) -> np.ndarray:
+    """Level of each counter of the sketch that all tasks' chunks add up to. The driver holds the chunks packed and unpacks one at a time."""
+    # as many rows as the sketch has chunks
+    chunks = profile.filter("chunk IS NOT NULL").select("chunk", "counts").repartition("chunk").mapInArrow(released(_sum_chunks), "chunk int, counts binary").collect()
+    counts = lambda r: np.frombuffer(zlib.decompress(r["counts"]), dtype=np.int64)
+    mean = sum(int(counts(r).sum()) for r in chunks) / (1 << SKETCH_BITS)
+    level = np.zeros((1 << (SKETCH_BITS - CHUNK_BITS), 1 << CHUNK_BITS), dtype=np.uint8)
+    for r in chunks:
+        level[r["chunk"]] = levels_of(counts(r), mean)
+    return level.ravel()
+
+
 def classes_of(docs: DataFrame, scratch: Scratch, words: int = 5, percent: int = 75) -> tuple[DataFrame, DataFrame]:
     """(id, cls, n) of every row of ``docs`` (columns id, text), and (cls, root) of classes that link with another."""
     spark = docs.sparkSession
@@ -323,11 +335,8 @@ def classes_of(docs: DataFrame, scratch: Scratch, words: int = 5, percent: int =
     docs = docs.withColumn("key", F.xxhash64("id", "text"))
     found = T.StructType([T.StructField("id", kind), *T.StructType.fromDDL("key long, cls long, n long, chunk int, counts binary").fields])
     profile = scratch.save(docs.mapInArrow(released(_profile(words)), found))
-    counts = np.zeros((1 << (SKETCH_BITS - CHUNK_BITS), 1 << CHUNK_BITS), dtype=np.int64)
-    # as many rows as the sketch has chunks
-    for r in profile.filter("chunk IS NOT NULL").select("chunk", "counts").repartition("chunk").mapInArrow(released(_sum_chunks), "chunk int, counts binary").collect():
-        counts[r["chunk"]] = np.frombuffer(zlib.decompress(r["counts"]), dtype=np.int64)
-    level = spark.sparkContext.broadcast(levels_of(counts.ravel()))
+    level = spark.sparkContext.broadcast(_level(profile))
+    trim()
     rows = profile.filter("chunk IS NULL")
     members = rows.select("id", "cls", "n")
     # the row that stands for a class: that of its smallest id, or one without an id if it has no other
@@ -352,8 +361,8 @@ def classes_of(docs: DataFrame, scratch: Scratch, words: int = 5, percent: int =
     edges = _verified(tried, classes, docs, words, percent, scratch)
     roots = components(edges, scratch)
     # every pair of different groups that shares enough of its prefixes
-    left = scratch.save(_mixed(wide, roots))
     crowd = _crowded(tried, classes, roots, scratch)
+    left = scratch.save(_mixed(wide, roots, crowd))
     if crowd.isEmpty():
         pairs = _enough(_shared_places(left, left, ("shingle",), percent))
     else:
@@ -435,12 +444,10 @@ def _recentred(beyond: DataFrame, overlap: DataFrame, crowd: DataFrame) -> DataF
 
 def _apart_or_inside(left: DataFrame, stars: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Pairs by prefix entries, but for those of one star that must share a shingle beyond its centre. ``stars``: star, cls, both, n_star, grp."""
-    entries = left.select("shingle", "cls", "grp", "n", "own", "pos")
-    # most entries are of no star: they are told by a bitmap of fixed size, not by a shuffle
-    maybe = scratch.save(rows_with_ids(entries, stars.select("cls"), "cls"))
-    inner = scratch.save(maybe.drop("grp").join(stars, "cls"))
-    outer = scratch.save(rows_with_ids(entries, stars.select("cls"), "cls", others=True).union(maybe.join(stars.select("cls"), "cls", "left_anti").select(*entries.columns)))
-    near = scratch.save(rows_with_ids(outer, inner.select("shingle").distinct(), "shingle"))
+    # most entries are of no star and meet none: they bring along what tells them, so nothing is looked up for each
+    entries = lambda which: left.filter(which).select("shingle", "cls", "grp", "n", "own", "pos")
+    inner = scratch.save(entries("crowded").drop("grp").join(stars, "cls"))
+    outer, near = entries("NOT crowded"), entries("NOT crowded AND meets")
     names = ("cls_a", "cls_b", "own_a", "own_b")
     found = _shared_places(outer, outer, ("shingle",), percent).select(*names)
     # a star's classes have all been held against its centre
@@ -476,11 +483,15 @@ def _counted(pairs: DataFrame, entries: DataFrame) -> DataFrame:
     return both.withColumn("shared", F.size(F.array_intersect("all_hub", "all"))).drop("all", "all_hub")
 
 
-def _mixed(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    """Entries, with their class's group, of shingles that classes of more than one group have."""
-    known = shared.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("grp", F.coalesce("root", "cls")).drop("root")
-    several = known.groupBy("shingle").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).filter("lo != hi").select("shingle")
-    return known.join(several, "shingle", "left_semi")
+def _mixed(shared: DataFrame, roots: DataFrame, crowd: DataFrame) -> DataFrame:
+    """Entries, with their class's group, of shingles that classes of more than one group have.
+
+    ``crowded``: the class is of a crowded star. ``meets``: a class of one has the shingle.
+    """
+    known = roots.select(F.col("node").alias("cls"), "root").join(crowd.select("cls", F.lit(True).alias("crowded")), "cls", "full")
+    known = shared.join(known, "cls", "left").withColumn("grp", F.coalesce("root", "cls")).withColumn("crowded", F.coalesce("crowded", F.lit(False))).drop("root")
+    several = known.groupBy("shingle").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"), F.max("crowded").alias("meets"))
+    return known.join(several.filter("lo != hi").select("shingle", "meets"), "shingle")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75) -> DataFrame:

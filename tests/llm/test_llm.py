@@ -8,6 +8,7 @@ import pathlib
 import random
 import re
 import tempfile
+import tracemalloc
 import types
 import zlib
 
@@ -154,6 +155,37 @@ def test_pairs_grow_with_the_copies(spark, monkeypatch):
     assert len(seen) == 4 and seen[1] <= 5 * 150 and seen[3] <= 5 * 300, seen
 
 
+def test_entries_are_not_looked_up_one_by_one(spark, monkeypatch):
+    """Crowded stars look up only rows of texts, however many prefix entries there are."""
+    seen, real = [], jaccard.rows_with_ids
+    monkeypatch.setattr(jaccard, "STAR", 3)
+    monkeypatch.setattr(jaccard, "rows_with_ids", lambda rows, *a, **b: seen.append(rows.columns) or real(rows, *a, **b))
+    texts = altered(random.Random(4), 80)
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()}
+    assert got == dict(enumerate(linked_groups(texts)))
+    assert len(seen) == 2 + jaccard.TURNS and all("text" in c for c in seen), seen
+
+
+def test_levels_of_the_sketch_by_chunks(spark):
+    """The levels equal those of all counters at once, and the driver never holds the unpacked counters."""
+    rng = np.random.default_rng(3)
+    parts = {k: rng.poisson(40, 1 << jaccard.CHUNK_BITS).astype(np.int32) for k in (0, 5, 255)}
+    for p in parts.values():
+        p[rng.integers(0, len(p), 9)] += 5000
+    packed = [(k, zlib.compress(p.tobytes(), 1)) for k, p in parts.items() for _ in range(2)]
+    profile = spark.createDataFrame([*packed, (None, None)], "chunk int, counts binary")
+    whole = np.zeros((1 << (jaccard.SKETCH_BITS - jaccard.CHUNK_BITS), 1 << jaccard.CHUNK_BITS), dtype=np.int64)
+    for k, p in parts.items():
+        whole[k] = 2 * p.astype(np.int64)
+    tracemalloc.start()
+    got = jaccard._level(profile)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(got, jaccard.levels_of(whole.ravel())) and got.any()
+    assert most < whole.nbytes / 2, most
+
+
 def test_prefixes_share_enough():
     """Two sets of the asked similarity share at least l entries of their l-prefixes, whatever the order."""
     rng = np.random.default_rng(2)
