@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arspark.llm.common import released
+from arspark.llm.common import Scratch, released
 from arspark.llm.text import NOT_SPACE, Words, as_bytes, grams, mix
 
 PAD = 4
@@ -153,11 +153,16 @@ def sampled(rows: DataFrame, label: Column, key: Column, per_label: int) -> Data
 
 
 def examples(sample: DataFrame, space: Space) -> list[tuple]:
-    """(label, feature indexes, weights) of a bounded sample with columns label and text, in a fixed order."""
+    """(label, feature indexes, weights) of a bounded sample with columns label and text, in a fixed order.
+
+    The rows are made side by side and saved; the driver's JVM holds those of one partition of the saved table at a time.
+    """
     kind = sample.schema["label"].dataType.simpleString()
-    rows = sample.select("label", "text").mapInArrow(released(_examples(space)), f"label {kind}, idx binary, weight binary").collect()
-    rows.sort(key=lambda r: (str(r["label"]), r["idx"], r["weight"]))
-    return [(r["label"], np.frombuffer(r["idx"], np.int32), np.frombuffer(r["weight"], np.float32)) for r in rows]
+    rows = sample.select("label", "text").mapInArrow(released(_examples(space)), f"label {kind}, idx binary, weight binary")
+    with Scratch(sample.sparkSession, "examples") as scratch:
+        found = [tuple(r) for r in scratch.save(rows).toLocalIterator()]
+    found.sort(key=lambda r: (str(r[0]), r[1], r[2]))
+    return [(label, np.frombuffer(idx, np.int32), np.frombuffer(weight, np.float32)) for label, idx, weight in found]
 
 
 def fit(found: list[tuple], space: Space, dim: int = 16, epochs: int = 5, rate: float = 0.5, seed: int = 11, held: float = 0.2) -> tuple[Model, np.ndarray, np.ndarray]:

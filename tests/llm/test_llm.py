@@ -17,7 +17,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from arspark.llm import decontam, jaccard, langid, lm, packing, quality, suffix_dedup, token_counts, vptree, warc
+from arspark.llm import decontam, jaccard, langid, lm, packing, quality, subword, suffix_dedup, token_counts, vptree, warc
 from arspark.llm.common import Scratch, crc_fold, table
 from arspark.llm.queries import vocabulary_path
 from arspark.llm.text import NOT_SPACE, Words, as_bytes
@@ -244,6 +244,23 @@ def test_language_and_quality(spark):
     assert quality.score(odd_rows, quality.train(docs, labels.limit(0))).filter("score != 0.5").count() == 0
 
 
+def test_examples_come_in_pieces(spark, monkeypatch):
+    texts = [(k % 3, f"document {k} " + " ".join(f"w{k * 31 + i}x" for i in range(200))) for k in range(300)]
+    df = spark.createDataFrame(texts, "label int, text string").repartition(8)
+    raw = lambda t: (np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))
+    want = []
+    for label, t in texts:
+        kinds = [np.unique(h, return_counts=True) for h, _ in langid.SPACE.features(*raw(t), 0, 1)]
+        total = [c.sum() for _, c in kinds]
+        want.append((label, np.concatenate([u for u, _ in kinds]).astype(np.int32).tobytes(), np.concatenate([c / n for (_, c), n in zip(kinds, total)]).astype(np.float32).tobytes()))
+    # rows that the driver's JVM is asked for at once
+    at_once, collect = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: at_once.append(out := collect(self)) or out)
+    got = subword.examples(df, langid.SPACE)
+    assert [(x[0], x[1].tobytes(), x[2].tobytes()) for x in got] == sorted(want, key=lambda r: (str(r[0]), r[1], r[2]))
+    assert max(map(len, at_once), default=0) < len(texts) / 2
+
+
 def test_lm(spark, odd):
     model = lm.fit(odd)
     got = lm.score(odd, model).collect()
