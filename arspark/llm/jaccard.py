@@ -375,7 +375,6 @@ def classes_of(docs: DataFrame, scratch: Scratch, words: int = 5, percent: int =
             edges = scratch.save(edges.union(known.filter(linked).select(F.col("star").alias("a"), F.col("cls").alias("b"))))
             if turn + 1 < TURNS:
                 crowd = scratch.save(crowd.drop("star").join(_recentred(beyond, overlap, crowd), "cls"))
-                scratch.drop(beyond, overlap)
         roots = components(edges, scratch)
         groups = scratch.save(roots.select(F.col("node").alias("cls"), "root"))
         crowd = scratch.save(crowd.join(groups, "cls", "left").withColumn("grp", F.coalesce("root", "cls")).drop("root"))
