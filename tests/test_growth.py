@@ -5,6 +5,7 @@ import json
 import os
 from types import SimpleNamespace
 
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from arspark.operators import buckets
@@ -48,6 +49,32 @@ def test_reports_land_their_own_table_and_a_shared_log_once(spark, monkeypatch,
         | {(e, *k): v for e in ("Ticket_Fact", "TicketItem_Fact") for k, v in lines.items()}
 
 
+def test_reports_that_count_loads_read_no_text(spark, monkeypatch, tmpdir_path):
+    built, unread = [], F.raise_error(F.lit("a text was read")).cast("string")
+
+    def customers(d):
+        built.append("customer")
+        return raw(spark, [(1, T0, {"a": 1}), (None, T1, "{bad"), (2, T1, {"a": 2}), (2, T1, {"a": 2})]).withColumn("RawDataString", unread)
+
+    def tickets(d):
+        built.append("ticket")
+        return raw(spark, [(1, T0, "{bad"), (1, None, {"a": 1})])
+    monkeypatch.setattr(Q, "RAW_TABLES", {"Customer_Dim": customers, "Ticket_Fact": tickets, "TicketItem_Fact": tickets})
+    monkeypatch.setattr(Q, "_log_path", lambda d: os.path.join(tmpdir_path, "log"))
+    d = SimpleNamespace(t=SimpleNamespace(spark=spark))
+    assert Q.load_log(d, "Ticket_Fact").count() == 2  # one table is in the full log, two are not
+    fresh = {("Customer_Dim", 4, T1, 21), ("Ticket_Fact", 2, T0, 48), ("TicketItem_Fact", 2, T0, 48)}
+    assert {tuple(r) for r in Q.table_freshness(d, "2024-01-03 00:00:00").collect()} == fresh
+    today = {("Customer_Dim", 3, 1, T1), ("Ticket_Fact", 0, 0, None), ("TicketItem_Fact", 0, 0, None)}
+    assert {tuple(r) for r in Q.loads_today(d, "2024-01-02 09:00:00").collect()} == today
+    assert {tuple(r) for r in Q.stale_tables(d, "2024-01-03 00:00:00").collect()} == {("Ticket_Fact", 48), ("TicketItem_Fact", 48)}
+    assert built.count("customer") == 1
+    monkeypatch.setitem(Q.RAW_TABLES, "Customer_Dim", lambda d: raw(spark, [(1, T0, {"a": 1}), (None, T1, "{bad")]))
+    got = {(r.entity, r.OfficeID, r.LoadDatetimeUTC, r.records, r.bad) for r in Q.load_log(d).collect()}
+    lines = {(1, T0, 1, 1), (1, None, 1, 0)}  # a log of loads does not stand in for the full one
+    assert got == {("Customer_Dim", 1, T0, 1, 0), ("Customer_Dim", None, T1, 1, 1)} | {(e, *x) for e in ("Ticket_Fact", "TicketItem_Fact") for x in lines}
+
+
 def test_first_upsert_writes_once(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "t")
     rows = [(k % 5, T0 if k < 5 else T1, f"v{k}") for k in range(10)]
