@@ -5,8 +5,10 @@ Layout of a table folder::
     _manifests/<version>.json   what the version is made of: schema, keys, folder of each bucket
     data/<write>/bucket=<k>/    files of the buckets that one write replaced
 
-A key's bucket is ``pmod(xxhash64(key), n)``, fixed when the table is made. An
-upsert deals its batch out by bucket, merges each bucket that got rows with that
+A key's bucket is ``pmod(hash(key), n)``, fixed when the table is made (``xxhash64`` in
+tables of older manifests). This is how Spark deals rows out by key into ``n`` partitions, so the
+one shuffle that finds each key's newest row also puts a bucket's rows into one task. An
+upsert deals its batch out, merges each bucket that got rows with that
 bucket's current files, writes the merged buckets into a folder of its own, and
 then commits: a manifest that names the new folders for those buckets and the
 old ones for all others is renamed into place. A rename that would replace a
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from arspark.operators.latest import latest_per_key
+from arspark.session import FREE_SHUFFLES, INITIAL, settings
 
 BUCKET = "bucket"
 
@@ -49,6 +52,7 @@ class Manifest:
     schema: str
     buckets: dict[str, str] = field(default_factory=dict)  # bucket -> the write whose folder holds it
     batches: dict[str, int] = field(default_factory=dict)  # source of numbered batches -> the last one merged
+    by: str = "xxhash64"  # function of the keys that names the bucket; manifests from before it was written have this one
 
     @property
     def struct(self) -> StructType:
@@ -116,8 +120,14 @@ def manifest(spark: SparkSession, path: str, version: int | None = None) -> Mani
     return Manifest(**json.loads(_Files(spark, path).read(f"_manifests/{known[-1] if version is None else version}.json")))
 
 
-def _of(keys: Sequence[str], n: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
+def _of(keys: Sequence[str], n: int, by: str) -> Column:
+    return F.pmod({"hash": F.hash, "xxhash64": F.xxhash64}[by](*keys), F.lit(n)).cast("int")
+
+
+def _write(rows: DataFrame, folder: str, n: int) -> None:
+    """Write rows by bucket. Shuffles below have ``n`` partitions, a bucket each, and their files go once the rows are written."""
+    with settings(rows.sparkSession, {"spark.sql.shuffle.partitions": str(n), INITIAL: str(n), FREE_SHUFFLES: "true"}):
+        rows.write.partitionBy(BUCKET).parquet(folder)
 
 
 def _rows(spark: SparkSession, path: str, m: Manifest, buckets: Sequence[str], schema: StructType) -> DataFrame:
@@ -161,29 +171,33 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, key, order: str =
         raise ValueError(f"the table's keys are {current.keys}")
     if current and batch and current.batches.get(batch[0], -1) >= batch[1]:
         return read(spark, path)
-    n = current.n if current else buckets
+    n, by = (current.n, current.by) if current else (buckets, "hash")
     schema = _merged_schema(current.struct if current else None, source.schema)
     write = uuid.uuid4().hex
     incoming, folder = f"{files.root}/_incoming/{write}", f"{files.root}/data/{write}"
-    newest = latest_per_key(source.withColumn(BUCKET, _of(keys, n)).repartition(n, BUCKET), [BUCKET, *keys], order, tie_breakers)
+    def newest(rows: DataFrame, ties: Sequence[str]) -> DataFrame:
+        if by == "hash":
+            return latest_per_key(rows, keys, order, ties).withColumn(BUCKET, _of(keys, n, by))
+        return latest_per_key(rows.withColumn(BUCKET, _of(keys, n, by)).repartition(n, BUCKET), [BUCKET, *keys], order, ties)
+
     landing = incoming if current else folder  # the first write has nothing to be merged with: it is written once
-    newest.write.partitionBy(BUCKET).parquet(landing)
+    _write(newest(source, tie_breakers), landing, n)
     touched = [x.split("=")[1] for x in files.names(f"_incoming/{write}" if current else f"data/{write}") if x.startswith(f"{BUCKET}=")]
     if touched and current:
         fresh = spark.read.schema(StructType([*source.schema.fields])).parquet(incoming)
         held = [b for b in touched if b in current.buckets]
         if held:
             old = _rows(spark, path, current, held, current.struct).withColumn("__side", F.lit(0))
-            both = old.unionByName(fresh.withColumn("__side", F.lit(1)), allowMissingColumns=True).withColumn(BUCKET, _of(keys, n))
-            merged = latest_per_key(both.repartition(n, BUCKET), [BUCKET, *keys], order, ["__side", *tie_breakers]).drop("__side")
+            both = old.unionByName(fresh.withColumn("__side", F.lit(1)), allowMissingColumns=True)
+            merged = newest(both, ["__side", *tie_breakers]).drop("__side")
         else:
-            merged = fresh.withColumn(BUCKET, _of(keys, n)).repartition(n, BUCKET)
-        merged.select(*(f.name for f in schema.fields), BUCKET).write.partitionBy(BUCKET).parquet(folder)
+            merged = fresh.withColumn(BUCKET, _of(keys, n, by)).repartition(n, BUCKET)
+        _write(merged.select(*(f.name for f in schema.fields), BUCKET), folder, n)
     files.delete(f"_incoming/{write}")
     if not touched and current and not batch:
         return read(spark, path)
     after = Manifest(current.version + 1 if current else 1, n, keys, order, schema.json(), {**(current.buckets if current else {}), **{b: write for b in touched}},
-                     {**(current.batches if current else {}), **({batch[0]: batch[1]} if batch else {})})
+                     {**(current.batches if current else {}), **({batch[0]: batch[1]} if batch else {})}, by)
     if not files.create(f"_manifests/{after.version}.json", json.dumps(asdict(after))):
         files.delete(f"data/{write}")
         raise ConcurrentUpsert(f"version {after.version} of {path} was committed by another writer")

@@ -82,13 +82,13 @@ def stage_ticket_streamed(d: Domain, cutoff: str = "1996-01-01") -> DataFrame:
     version stays; files and buckets are as many as the tables ask for."""
     spark = d.t.spark
     root = scratch_path(spark, f"ticket-stream-{uuid.uuid4().hex}")
-    raw = R.raw_ticket(d).select("OfficeID", "LoadDatetimeUTC", "RawDataString")
-    late = F.col("LoadDatetimeUTC") >= F.lit(cutoff).cast("timestamp_ntz")
-    again = late & (F.pmod(F.xxhash64("RawDataString"), F.lit(10)) == 0)
     n = pieces(spark, d.t.root)
     files, landed = max(8, 2 * -(-n // 4)), spark._jvm.org.apache.hadoop.fs.Path(f"{root}/landed")
+    raw = R.raw_ticket(d, files).select("OfficeID", "LoadDatetimeUTC", "RawDataString")  # a file for each of its partitions
+    late = F.col("LoadDatetimeUTC") >= F.lit(cutoff).cast("timestamp_ntz")
+    again = late & (F.pmod(F.xxhash64("RawDataString"), F.lit(10)) == 0)
     for part in (late, ~late | again):
-        land_files(raw.filter(part), f"{root}/landed", n_files=files)
+        land_files(raw.filter(part), f"{root}/landed", n_files=None)
         run_upsert_stream(spark, f"{root}/landed", S.TICKET, f"{root}/target", f"{root}/bad", checkpoint=f"{root}/progress",
                           buckets=max(16, n), max_files_per_trigger=files // 2, keep=1)
         landed.getFileSystem(spark._jsc.hadoopConfiguration()).delete(landed, True)

@@ -22,7 +22,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from arspark.operators import buckets as tables
 from arspark.operators.spec import EntitySpec
 from arspark.operators.stage import stage
-from arspark.session import scratch_path
+from arspark.session import FREE_SHUFFLES, scratch_path, settings
 from arspark.sources.raw import parse_raw
 
 RAW_ENVELOPE_SCHEMA = StructType([StructField("OfficeID", LongType()), StructField("LoadDatetimeUTC", StringType()),
@@ -120,10 +120,12 @@ def run_upsert_stream(spark: SparkSession, src_dir: str, spec: EntitySpec, targe
     return q
 
 
-def land_files(df: DataFrame, out_dir: str, n_files: int = 1) -> None:
-    """Write raw text rows as envelope JSON-lines files, gzipped (test/bench helper)."""
-    df.select("OfficeID", F.date_format("LoadDatetimeUTC", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("LoadDatetimeUTC"),
-              "RawDataString").repartition(n_files).write.mode("append").json(out_dir, compression="gzip")
+def land_files(df: DataFrame, out_dir: str, n_files: int | None = 1) -> None:
+    """Write raw text rows as envelope JSON-lines files, gzipped (test/bench helper); ``n_files=None``: one for
+    each partition that ``df`` has, so that the texts aren't shuffled. Shuffle files go once the files are written."""
+    rows = df.select("OfficeID", F.date_format("LoadDatetimeUTC", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("LoadDatetimeUTC"), "RawDataString")
+    with settings(df.sparkSession, {FREE_SHUFFLES: "true"}):
+        (rows.repartition(n_files) if n_files else rows).write.mode("append").json(out_dir, compression="gzip")
 
 
 def current_rows(spark: SparkSession, target_path: str, columns: Sequence[str]) -> DataFrame | None:

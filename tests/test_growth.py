@@ -3,14 +3,17 @@ import datetime as dt
 import glob
 import json
 import os
+import time
 from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from arspark.operators import buckets
+from arspark.operators.latest import latest_per_key
 from arspark.operators.spec import Col, EntitySpec
 from arspark.plans import quality as Q
+from arspark.session import FREE_SHUFFLES, INITIAL
 from arspark.sources import rawlog as R
 from arspark.sources import tables
 from arspark.sources.specs import TASK
@@ -85,6 +88,62 @@ def test_first_upsert_writes_once(spark, tmpdir_path):
     assert {r.v for r in buckets.upsert(spark, path, later, "itemID").collect()} == {"v5", "v6", "v7", "v8", "v9", "new"}
 
 
+def _shuffles(spark):
+    return spark.sparkContext._jsc.sc().newShuffleId()
+
+
+def _left(spark, ids):
+    """Shuffle files of these shuffles that are still on the disk."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    names = [blocks.apply(k).name() for k in range(blocks.size())]
+    return [x for x in names if x.startswith("shuffle_") and int(x.split("_")[1]) in ids]
+
+
+def test_upsert_shuffles_a_batch_once_and_frees_its_files(spark, tmpdir_path):
+    path, kept = os.path.join(tmpdir_path, "t"), {k: spark.conf.get(k, None) for k in (FREE_SHUFFLES, INITIAL, "spark.sql.shuffle.partitions")}
+    source = spark.createDataFrame([(k % 40, T0 if k < 40 else T1, f"v{k}") for k in range(80)], "itemID long, lastLoadTime timestamp_ntz, v string")
+    first = _shuffles(spark)
+    buckets.upsert(spark, path, latest_per_key(source, "itemID", "lastLoadTime"), "itemID", buckets=4)
+    made = set(range(first + 1, _shuffles(spark)))
+    assert len(made) == 1
+    assert max(len(os.listdir(f)) for f in glob.glob(f"{path}/data/*/bucket=*")) <= 2  # a data file and its checksum
+    again = _shuffles(spark)
+    buckets.upsert(spark, path, latest_per_key(source.withColumn("v", F.lit("again")), "itemID", "lastLoadTime"), "itemID")
+    made |= set(range(again + 1, _shuffles(spark)))
+    assert len(made) == 3  # the batch, and then what is merged
+    assert {(r.itemID, r.v) for r in buckets.read(spark, path).collect()} == {(k, "again") for k in range(40)}
+    until = time.time() + 20
+    while _left(spark, made) and time.time() < until:
+        time.sleep(0.2)
+    assert not _left(spark, made)
+    assert kept == {k: spark.conf.get(k, None) for k in kept}
+
+
+def test_table_of_an_older_manifest_keeps_its_buckets(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t")
+    old = spark.createDataFrame([(k, T0, "old") for k in range(20)], "itemID long, lastLoadTime timestamp_ntz, v string")
+    of = F.pmod(F.xxhash64("itemID"), F.lit(4)).cast("int")
+    old.withColumn("bucket", of).write.partitionBy("bucket").parquet(f"{path}/data/w")
+    os.makedirs(f"{path}/_manifests")
+    with open(f"{path}/_manifests/1.json", "w") as f:
+        json.dump({"version": 1, "n": 4, "keys": ["itemID"], "order": "lastLoadTime", "schema": old.schema.json(), "buckets": {str(k): "w" for k in range(4)}, "batches": {}}, f)
+    later = spark.createDataFrame([(k, T1, "new") for k in range(10, 30)], old.schema)
+    buckets.upsert(spark, path, later, "itemID")
+    assert {(r.itemID, r.v) for r in buckets.read(spark, path).collect()} == {(k, "old" if k < 10 else "new") for k in range(30)}
+    w = buckets.manifest(spark, path).buckets
+    held = spark.read.option("basePath", path + "/data/" + w["0"]).parquet(*(f"{path}/data/{w[b]}/bucket={b}" for b in w))
+    assert held.filter(F.col("bucket") != of).count() == 0
+
+
+def test_landing_by_partition_shuffles_no_text(spark, domain, tmpdir_path):
+    path, first = os.path.join(tmpdir_path, "in"), _shuffles(spark)
+    rows = raw(spark, [(1, T0, {"itemID": k}) for k in range(30)]).repartition(3, "RawDataString")
+    land_files(rows, path, n_files=None)
+    assert set(range(first + 1, _shuffles(spark))) == {first + 1}
+    assert len(glob.glob(f"{path}/*.json.gz")) == 3 and spark.read.json(path).count() == 30
+    assert R.raw_ticket(domain, 5).rdd.getNumPartitions() == 5
+
+
 def test_stream_keeps_the_versions_asked_for(spark, tmpdir_path):
     at = lambda x: os.path.join(tmpdir_path, x)
     land_files(raw(spark, [(1, T0, {"itemID": k, "v": "a"}) for k in range(20)] + [(1, T0, "{bad")]), at("in"), n_files=4)
