@@ -13,10 +13,12 @@ from arspark.operators import buckets
 from arspark.operators.latest import latest_per_key
 from arspark.operators.spec import Col, EntitySpec
 from arspark.plans import quality as Q
+from arspark.plans import staging
 from arspark.session import FREE_SHUFFLES, INITIAL
 from arspark.sources import rawlog as R
 from arspark.sources import tables
 from arspark.sources.specs import TASK
+from arspark.sources.staged import contract
 from arspark.streaming.ingest import current_rows, land_files, run_upsert_stream
 
 T0, T1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2, 3)
@@ -135,6 +137,18 @@ def test_table_of_an_older_manifest_keeps_its_buckets(spark, tmpdir_path):
     assert held.filter(F.col("bucket") != of).count() == 0
 
 
+def test_a_mart_stages_the_widest_tables_first(spark, monkeypatch):
+    asked = []
+
+    class Recorded(staging.StagedDomain):
+        def table(self, entity):
+            asked.append(entity)
+            return spark.createDataFrame([], contract(entity))
+    monkeypatch.setattr(staging, "StagedDomain", Recorded)
+    mart = staging.registry_entries()["payment_velocity_staged"](SimpleNamespace(t=SimpleNamespace(spark=spark)))
+    assert asked[:2] == ["payment", "ticket"] and set(asked) == {"payment", "ticket", "applied_payment"} and mart.count() == 0
+
+
 def test_landing_by_partition_shuffles_no_text(spark, domain, tmpdir_path):
     path, first = os.path.join(tmpdir_path, "in"), _shuffles(spark)
     rows = raw(spark, [(1, T0, {"itemID": k}) for k in range(30)]).repartition(3, "RawDataString")
